@@ -13,8 +13,6 @@ unreadable document).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -250,7 +248,3 @@ def state_at(
 ) -> DataFrame:
     """The table of a consumer standing at segment `position`: everything before it has been applied."""
     return replay(log.where(F.col("segment_id") < position), base, keys)
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
