@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from doclog.functions.scale import CHUNK_BITS, chunk_of
 
 SPAN_BITS = 12
 
-BEFORE_SEQ = Window.partitionBy("chunk").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
-"""Rows of the same chunk with a smaller seq; the items of one request see the same rows."""
+
+def before_seq() -> WindowSpec:
+    """Rows of the same chunk with a smaller seq; the items of one request see the same rows."""
+    return Window.partitionBy("chunk").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
 
 
 def before_chunk(
@@ -51,7 +53,7 @@ def running_before(log: DataFrame, values: dict[str, Column], chunk_bits: int =
     rows = log.withColumn("chunk", chunk_of(F.col("seq"), chunk_bits))
     totals = rows.groupBy("chunk").agg(*[F.sum(v).alias(n) for n, v in values.items()])
     heads = before_chunk(totals, names)
-    inside = rows.withColumns({f"in_{n}": F.sum(v).over(BEFORE_SEQ) for n, v in values.items()})
+    inside = rows.withColumns({f"in_{n}": F.sum(v).over(before_seq()) for n, v in values.items()})
     sums = {
         n: F.coalesce(F.col(f"in_{n}"), F.lit(0)) + F.coalesce(F.col(n), F.lit(0)) for n in names
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,15 +36,11 @@ def replay_targets(
     """Replay one log into many targets, each from its own `file_position`; `base` holds their tables by `target`.
 
     The log is read and reduced once, between the distinct positions; a target then combines the reduced rows from
-    its position on. So the wide rows are never copied per target.
+    its position on. So the wide rows are never copied per target. A target without a position takes no part.
     """
-    starts = _distinct_positions(positions)
-    parts = []
-    for i in range(0, len(starts), ROUND_POSITIONS):
-        some = starts[i : i + ROUND_POSITIONS]
-        within = positions.where(F.col("file_position").between(some[0], some[-1]))
-        own = None if base is None else base.join(within.select("target"), "target", "left_semi")
-        parts.append(_replay_round(log, within, some, own, keys, chunk_bits))
+    parts = [
+        _replay_round(log, some, base, list(keys), chunk_bits) for some in _rounds_of_targets(positions)
+    ]
     if not parts:
         raise ValueError("no positions to replay from")
     out = parts[0]
@@ -53,44 +49,54 @@ def replay_targets(
     return out
 
 
-def _distinct_positions(positions: DataFrame) -> list[int]:
-    """The distinct positions, fetched page by page."""
-    distinct, found = positions.select("file_position").where("file_position is not null").distinct(), []
+def _rounds_of_targets(positions: DataFrame) -> Iterator[dict[int, list[str]]]:
+    """Targets by position, in rounds of bounded size; the control table is fetched page by page."""
+    order = F.struct("file_position", "target")
+    listed = positions.where("file_position is not null").select(order.alias("at"))
+    last = None
     while True:
-        rest = distinct.where(F.col("file_position") > found[-1]) if found else distinct
-        rows = [r[0] for r in rest.orderBy("file_position").limit(TARGET_PAGE).collect()]
-        found += rows
+        rest = listed if last is None else listed.where(F.col("at") > F.struct(*[F.lit(v) for v in last]))
+        rows = [r[0] for r in rest.orderBy("at").limit(TARGET_PAGE).collect()]
+        some: dict[int, list[str]] = {}
+        for at in rows:
+            if at.file_position not in some and len(some) == ROUND_POSITIONS:
+                yield some
+                some = {}
+            some.setdefault(at.file_position, []).append(at.target)
+        if some:
+            yield some
         if len(rows) < TARGET_PAGE:
-            return found
+            return
+        last = rows[-1]
 
 
-def _replay_round(log, positions, starts, base, keys, chunk_bits) -> DataFrame:
-    keys = list(keys)
+def _replay_round(log, targets: dict[int, list[str]], base, keys: list[str], chunk_bits: int) -> DataFrame:
     fields = doc_fields(log)
+    starts = sorted(targets)
     used = log.where(F.col("segment_id") >= starts[0])
     epoch = count_below(starts, lambda p: F.col("segment_id") >= p)
     _, steps = reduce_epochs(used, keys, epoch, chunk_bits)
     step_type = steps.schema["steps"].dataType.elementType
 
-    # Every target sees the reduced rows from its own position on: one copy per distinct position, then per target.
-    cuts = F.array(*[F.struct(F.lit(p).cast("long").alias("file_position"), F.lit(i + 1).alias("from_epoch"))
-                     for i, p in enumerate(starts)])
-    per_cut = steps.select(*keys, "steps", F.inline(cuts))
-    per_cut = per_cut.withColumn(
-        "steps", F.expr("filter(steps, s -> s.epoch >= from_epoch)")
-    ).where(F.size("steps") > 0)
-    empty = F.lit(None).cast(_doc_type(fields))
+    def names(p: int) -> Column:
+        return F.array(*[F.lit(t) for t in targets[p]]).alias("targets")
+
+    cuts = F.array(*[F.struct(F.lit(i + 1).alias("from_epoch"), names(p)) for i, p in enumerate(starts)])
+    per_cut = (
+        steps.select(*keys, "steps", F.inline(cuts))
+        .withColumn("steps", F.expr("filter(steps, s -> s.epoch >= from_epoch)"))
+        .where(F.size("steps") > 0)
+    )
     if base is None:
-        folded = fold_steps(per_cut.withColumn("start", empty), [], fields, keys, step_type)
-        folded = folded.where("state.exists").select("file_position", *keys, "state.doc.*")
-        return folded.join(positions.select("file_position", "target"), "file_position").select(
-            "target", *keys, *[f.name for f in fields]
+        folded = fold_steps(
+            per_cut.withColumn("start", F.lit(None).cast(_doc_type(fields))), [], fields, keys, step_type
         )
+        return folded.where("state.exists").select(F.explode("targets").alias("target"), *keys, "state.doc.*")
+    mine = base.where(F.col("target").isin(*[t for names in targets.values() for t in names]))
     start = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    per_target = per_cut.join(positions.select("file_position", "target"), "file_position").select(
-        "target", *keys, "steps"
+    joined = per_cut.select(F.explode("targets").alias("target"), *keys, "steps").join(
+        mine.select("target", *keys, start.alias("start")), ["target", *keys], "full"
     )
-    joined = per_target.join(base.select("target", *keys, start.alias("start")), ["target", *keys], "full")
     folded = fold_steps(joined, [], fields, keys, step_type)
     state = F.when(F.col("steps").isNull(), F.col("start")).otherwise(
         F.when(F.col("state.exists"), F.col("state.doc"))

@@ -45,16 +45,13 @@ def dead_letters(log: DataFrame, failed: DataFrame, target: str) -> DataFrame:
 
 
 def segment_errors(log: DataFrame, failures: DataFrame | None = None) -> DataFrame:
-    """First request of each segment that stops it: of unknown kind, or one of `failures`."""
-    at = F.struct("seq", "item")
-    unreadable = log.where(request_code(F.col("action")) == S.CODE_UNKNOWN).select(
-        "segment_id", at.alias("at"), F.lit("unknown request type").alias("reason")
+    """First request of each segment that stops it (`stop`, its seq): of unknown kind, or one of `failures`."""
+    stops = log.where(request_code(F.col("action")) == S.CODE_UNKNOWN).select(
+        "segment_id", "seq", F.lit("unknown request type").alias("reason")
     )
     if failures is not None:
-        unreadable = unreadable.unionByName(failures.select("segment_id", at.alias("at"), "reason"))
-    return unreadable.groupBy("segment_id").agg(
-        F.min("at").alias("at"), F.min_by("reason", "at").alias("reason")
-    )
+        stops = stops.unionByName(failures.select("segment_id", "seq", "reason"))
+    return stops.groupBy("segment_id").agg(F.min("seq").alias("stop"), F.min_by("reason", "seq").alias("reason"))
 
 
 def apply_error_policy(
@@ -63,21 +60,18 @@ def apply_error_policy(
     """(requests that take effect, report of the segments in error).
 
     A segment takes effect up to the request that stops it. With `skip_error` the log goes on with the next segment,
-    otherwise it ends there. `tries` is what the report says was spent on the segment.
+    otherwise it ends there. `tries` is what is spent on a segment before giving up on it.
     """
     if not skip_error:
         errors = errors.orderBy("segment_id").limit(1)
-    marked = broadcast_if_small(errors.select("segment_id", F.col("at").alias("stop")))
-    kept = log.join(marked, "segment_id", "left").where(
-        F.col("stop").isNull() | (F.struct("seq", "item") < F.col("stop"))
-    )
+    marked = broadcast_if_small(errors.select("segment_id", "stop"))
+    kept = log.join(marked, "segment_id", "left").where("stop is null or seq < stop")
     if not skip_error:
-        last = errors.agg(F.max("segment_id")).scalar()
+        last = errors.agg(F.max("segment_id").alias("last")).scalar()
         kept = kept.where(last.isNull() | (F.col("segment_id") <= last))
     report = errors.select(
         "segment_id",
-        F.col("at.seq").alias("seq"),
-        F.col("at.item").alias("item"),
+        F.col("stop").alias("seq"),
         "reason",
         F.lit(retry + 1).alias("tries"),
         F.lit(skip_error).alias("skipped"),

@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 from doclog import schema as S
 from doclog.functions.scale import CHUNK_BITS, chunk_of, order_code
 
-_EXISTS = F.lit(1).cast("long")
+
+def _one() -> Column:
+    return F.lit(1).cast("long")
 
 
 def parse_docs(log: DataFrame, doc_type: T.StructType) -> DataFrame:
@@ -68,9 +70,9 @@ def with_chunk_state(
         {"chunk": chunk_of(F.col("seq"), chunk_bits), "code": order_code(F.col("seq"), F.col("item"), chunk_bits)}
     )
     tail = F.max(F.when(defines, F.col("code") + leaves.cast("long")))
-    chunks = log.groupBy(*group, "chunk").agg(tail.bitwiseAND(_EXISTS).alias("tail"))
+    chunks = log.groupBy(*group, "chunk").agg(tail.bitwiseAND(_one()).alias("tail"))
     if base is not None:
-        start = base.select(*keys, F.lit(S.MIN_LONG).alias("chunk"), _EXISTS.alias("tail"))
+        start = base.select(*keys, F.lit(S.MIN_LONG).alias("chunk"), _one().alias("tail"))
         chunks = chunks.unionByName(start)
     before = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.withColumn("carried", F.last("tail", ignorenulls=True).over(before)).drop("tail")
@@ -139,7 +141,7 @@ def effects(log: DataFrame, fields: Sequence[T.StructField], effective: Column,
     """
     full = F.col("action").isin(*S.FULL_WRITES) & effective
     state = F.max(F.when(full, F.col("code") + (F.col("action") != "delete").cast("long")))
-    out = [(state.bitwiseAND(_EXISTS) == 1).alias(f"exists{suffix}")]
+    out = [(state.bitwiseAND(_one()) == 1).alias(f"exists{suffix}")]
     for f in fields:
         at = F.when(effective & carries(log, f.name), F.col("code"))
         value = F.struct(F.col("doc").getField(f.name).alias("v"))

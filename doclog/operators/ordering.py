@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
-from doclog.functions.prefix import BEFORE_SEQ, before_chunk, running_before
+from doclog.functions.prefix import before_chunk, before_seq, running_before
 from doclog.functions.scale import CHUNK_BITS, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
@@ -82,7 +82,7 @@ def roll_by_marker(
     marks = rows.groupBy("chunk").agg(F.max(at_marker).alias("__start"))
     heads = before_chunk(marks, ["__start"], F.max)
     rows = (
-        rows.withColumn("__seen", F.max(at_marker).over(BEFORE_SEQ))
+        rows.withColumn("__seen", F.max(at_marker).over(before_seq()))
         .join(heads, "chunk")
         .withColumn("__start", F.coalesce(F.greatest("__seen", "__start"), F.lit(0)))
         .withColumn("__bucket", F.expr(f"(__bytes - __start) div {int(max_bytes)}L"))

@@ -1 +1,64 @@
 """Structured Streaming capture and replay."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from doclog import schema as S
+from doclog.plans.jobs import capture_batch, replay_target
+
+
+def _trigger(writer, available_now: bool, seconds: int):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
+
+
+def capture_stream(
+    requests: DataFrame,
+    log_path: str,
+    targets: Sequence[str],
+    checkpoint: str,
+    order_by: Sequence[str] | None = None,
+    max_bytes: int = S.SEGMENT_BYTES,
+    available_now: bool = False,
+    poll_seconds: int = S.POLL_SECONDS,
+    first_batch: int = 0,
+) -> StreamingQuery:
+    """Append a stream of requests to the log; each micro-batch closes its segments.
+
+    A repeated micro-batch is recognised by its number and not written twice. A capture that starts over with a new
+    checkpoint must set `first_batch` past the batches already in the log.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        capture_batch(batch, log_path, targets, first_batch + batch_id, order_by, max_bytes)
+
+    writer = requests.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, poll_seconds).start()
+
+
+def replay_stream(
+    spark: SparkSession,
+    log_path: str,
+    table_path: str,
+    doc_type: T.StructType,
+    checkpoint: str,
+    available_now: bool = False,
+    poll_seconds: int = S.POLL_SECONDS,
+    **options,
+) -> StreamingQuery:
+    """Keep a target table following the log.
+
+    The stream is the manifest, so a segment is only seen whole; the table's own commit decides what is due, which
+    makes a repeated micro-batch harmless and gives every target its own offset. `options` go to `replay_target`.
+    """
+    manifest = spark.readStream.schema(S.SEGMENTS).json(f"{log_path}/manifest")
+
+    def follow(batch: DataFrame, batch_id: int) -> None:
+        replay_target(batch.sparkSession, log_path, table_path, doc_type, **options)
+
+    writer = manifest.writeStream.foreachBatch(follow).option("checkpointLocation", checkpoint)
+    return _trigger(writer, available_now, poll_seconds).start()
