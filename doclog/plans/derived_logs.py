@@ -17,13 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_requests(spark: SparkSession, sf_dir: str, click: str = "update") -> DataFrame:
     """One keyed request per event: signup indexes, view creates, error deletes, click and purchase update."""
     events = table(spark, sf_dir, "events")
     kind, seq = F.col("event_type"), F.col("event_id")
     action = (
         F.when(kind == "signup", "index").when(kind == "view", "create").when(kind == "error", "delete")
-        .otherwise("update")
+        .when(kind == "click", click).otherwise("update")
     )
     k = F.get_json_object("props", "$.k").cast("int").alias("k")
     full, patch = F.to_json(F.struct("value", k)), F.to_json(F.struct("value"))
@@ -51,25 +51,32 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_docs(event_requests(spark, sf_dir), EVENT_DOC)
 
 
+def requests_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests, where index requests of odd users leave the id to be made and updates carry a version."""
+    action, user = F.col("action"), F.col("id").cast("long")
+    return event_requests(spark, sf_dir).withColumns(
+        {
+            "version": F.when(action == "update", user),
+            "id": F.when((action == "index") & (user % 2 == 1), F.lit(None)).otherwise(F.col("id")),
+        }
+    )
+
+
 def bulk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events, ten to a bulk request, items in order."""
     rows = event_requests(spark, sf_dir)
-    fields = [f.name for f in S.ITEM.fields if f.name in rows.columns]
-    item = F.struct("item", *fields)
-    items = F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(*[x[n].alias(n) for n in fields]))
-    return rows.groupBy("request_id").agg(
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in S.REQUEST.fields}
+    names = S.ITEM.names
+    item = F.struct("item", *[(F.col(n) if n in rows.columns else blank[n]).alias(n) for n in names])
+    items = F.transform(
+        F.array_sort(F.collect_list(item), lambda a, b: a["item"] - b["item"]),
+        lambda x: F.struct(*[x[n].alias(n) for n in names]),
+    )
+    bulks = rows.groupBy("request_id").agg(
         F.min("seq").alias("seq"), items.alias("items"), F.sum("bytes").alias("bytes")
-    ).select(
-        "seq",
-        F.lit(0).alias("item"),
-        "request_id",
-        F.lit("bulk").alias("action"),
-        *[F.lit(None).cast("string").alias(n) for n in ("index", "type", "id")],
-        F.lit(None).cast("long").alias("version"),
-        F.lit(None).cast("string").alias("doc"),
-        "items",
-        "bytes",
     )
+    bulks = bulks.withColumns({"item": F.lit(0), "action": F.lit("bulk")})
+    return bulks.select(*[(F.col(n) if n in bulks.columns else blank[n]).alias(n) for n in S.REQUEST.names])
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +128,7 @@ def barrier_log(spark: SparkSession, sf_dir: str, barriers: list[dict]) -> DataF
         {"query": F.lit(None).cast(S.QUERY), "set": F.lit(None).cast(S.SET)}
     )
 
-    def pick(cases) -> F.Column:
+    def pick(cases):
         out = F.lit(None)
         for seq, value in cases:
             out = F.when(F.col("seq") == seq, value).otherwise(out)
