@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.functions.prefix import before_chunk, before_seq, running_before
-from doclog.functions.scale import CHUNK_BITS, materialize
+from doclog.functions.scale import CHUNK_BITS, chunk_of, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
@@ -76,21 +76,48 @@ def roll_by_marker(
     """
     is_marker = F.coalesce(F.col(marker), F.lit(False))
     size = F.when(is_marker, F.lit(0).cast("long")).otherwise(F.col("bytes"))
-    rows = running_before(log, {"__bytes": size, "__epoch": is_marker.cast("long")}, chunk_bits)
-    at_marker = F.when(is_marker, F.col("__bytes"))
-
-    marks = rows.groupBy("chunk").agg(F.max(at_marker).alias("__start"))
-    heads = before_chunk(marks, ["__start"], F.max)
-    rows = (
-        rows.withColumn("__seen", F.max(at_marker).over(before_seq()))
-        .join(heads, "chunk")
-        .withColumn("__start", F.coalesce(F.greatest("__seen", "__start"), F.lit(0)))
-        .withColumn("__bucket", F.expr(f"(__bytes - __start) div {int(max_bytes)}L"))
-        .where(~is_marker)
+
+    def in_chunk(df: DataFrame) -> DataFrame:
+        """Bytes and markers before the row, and bytes before its latest marker, all counted inside the chunk."""
+        seen = df.withColumns(
+            {
+                "__bytes": F.coalesce(F.sum(size).over(before_seq()), F.lit(0)),
+                "__epoch": F.coalesce(F.count_if(is_marker).over(before_seq()), F.lit(0)),
+            }
+        )
+        return seen.withColumn("__mark", F.max(F.when(is_marker, F.col("__bytes"))).over(before_seq()))
+
+    rows = log.withColumn("chunk", chunk_of(F.col("seq"), chunk_bits))
+    narrow = in_chunk(rows.select("chunk", "seq", "bytes", marker))
+
+    # One small row per chunk, written once: what the chunk adds, then what lies before it.
+    adds = narrow.groupBy("chunk").agg(
+        F.sum(size).alias("bytes"),
+        F.count_if(is_marker).alias("epoch"),
+        F.max(F.when(is_marker, F.col("__bytes"))).alias("mark"),
+    )
+    adds = materialize(adds, "chunks")
+    heads = before_chunk(adds, ["bytes", "epoch"])
+    marks = adds.join(heads.select("chunk", F.col("bytes").alias("b")), "chunk").select(
+        "chunk", (F.coalesce("b", F.lit(0)) + F.col("mark")).alias("mark")
+    )
+    heads = heads.join(before_chunk(marks, ["mark"], F.max), "chunk").select(
+        "chunk", *[F.coalesce(n, F.lit(0)).alias(f"__head_{n}") for n in ("bytes", "epoch", "mark")]
     )
 
+    def placed(df: DataFrame) -> DataFrame:
+        """Add the epoch (markers so far) and the size bucket inside it; markers themselves leave."""
+        start = F.coalesce(F.col("__head_bytes") + F.col("__mark"), F.col("__head_mark"))
+        return (
+            df.join(heads, "chunk")
+            .where(~is_marker)
+            .withColumns({"__start": start, "__epoch": F.col("__epoch") + F.col("__head_epoch")})
+            .withColumn("__bucket", F.expr(f"(__bytes + __head_bytes - __start) div {int(max_bytes)}L"))
+        )
+
+    # Segments in order of their first chunk; few rows again, so numbering them is cheap.
     pair = ["__epoch", "__bucket"]
-    seen = rows.groupBy("chunk", *pair).agg(F.lit(1).alias("one"))
+    seen = materialize(placed(narrow).select("chunk", *pair).distinct(), "cuts")
     opened = seen.groupBy(*pair).agg(F.min("chunk").alias("chunk"))
     place = Window.partitionBy("chunk").orderBy(*pair)
     counts = before_chunk(opened.groupBy("chunk").agg(F.count("*").alias("earlier")), ["earlier"])
@@ -101,11 +128,11 @@ def roll_by_marker(
 
     in_order = Window.partitionBy("chunk").orderBy("seq")
     now, last = F.struct(*pair), F.lag(F.struct(*pair)).over(in_order)
-    opens = F.when(last.isNotNull() & (last != now), 1).otherwise(0)
     return (
-        rows.withColumn("__opens", opens)
+        placed(in_chunk(rows))
+        .withColumn("__opens", F.when(last.isNotNull() & (last != now), 1).otherwise(0))
         .withColumn("__step", F.sum("__opens").over(in_order))
         .join(bases, "chunk")
         .withColumn("segment_id", F.col("__base") + F.col("__step") + F.lit(first - 1))
-        .drop("chunk", "__bytes", "__start", "__seen", "__opens", "__step", "__base", *pair)
+        .select(*log.columns, "segment_id")
     )

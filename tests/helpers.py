@@ -55,3 +55,80 @@ def golden(b):
 
 def request_frame(spark, rows):
     return spark.createDataFrame(rows, S.REQUEST)
+
+
+FIELDS = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+
+
+def random_log(rng, n, ids, by_query=()):
+    """`n` random requests; half of them on one id. By-query requests sit at the given places."""
+    rows = []
+    for seq in range(n):
+        if seq in by_query:
+            lo = rng.randint(0, 9)
+            action = rng.choice(["delete_by_query", "update_by_query"])
+            query = rng.choice([
+                {"kind": "range", "field": "a", "lo": str(lo), "hi": str(lo + 2)},
+                {"kind": "term", "field": "b", "lo": "x", "hi": None},
+                {"kind": "term", "field": "id", "lo": "0", "hi": None},
+                {"kind": "range", "field": "a", "lo": None, "hi": "1"},
+            ])
+            sets = {"b": "x"} if action == "update_by_query" else None
+            rows.append(request(seq, action, index=None, indices=["sample"], query=query, set=sets))
+            continue
+        key = "0" if rng.random() < 0.5 else str(rng.randint(1, ids))
+        action = rng.choice(["index", "create", "update", "update", "update", "delete"])
+        body = {"a": rng.choice(["null", str(rng.randint(0, 9))]), "b": rng.choice(["null", '"x"', '"y"'])}
+        if action != "index":
+            body = {k: v for k, v in body.items() if rng.random() < 0.6}
+        text = "{" + ", ".join(f'"{k}": {v}' for k, v in body.items()) + "}"
+        if rng.random() < 0.03:
+            text = "{broken"
+        rows.append(request(seq, action, id=key, doc=None if action == "delete" else text))
+    return rows
+
+
+def dict_fold(rows, state=None):
+    """The log applied one request after another: (documents by id, seqs of failed requests)."""
+    import json
+
+    docs, failed = dict(state or {}), []
+    at = {n: i for i, n in enumerate(S.REQUEST.names)}
+    for row in rows:
+        get = lambda n: row[at[n]]
+        action, key = get("action"), get("id")
+        if action in ("delete_by_query", "update_by_query"):
+            q = get("query")
+            for k, d in list(docs.items()):
+                v = k if q["field"] == "id" else d.get(q["field"])
+                if v is None:
+                    continue
+                conv = (lambda x: x) if isinstance(v, str) else int
+                if q["kind"] == "term":
+                    hit = v == conv(q["lo"])
+                else:
+                    hit = (q["lo"] is None or v >= conv(q["lo"])) and (q["hi"] is None or v <= conv(q["hi"]))
+                if hit and action == "delete_by_query":
+                    del docs[k]
+                elif hit:
+                    docs[k] = d | get("set")
+            continue
+        if action == "delete":
+            docs.pop(key, None)
+            continue
+        try:
+            body = json.loads(get("doc"))
+        except ValueError:
+            failed.append(get("seq"))
+            continue
+        if action == "index" or (action == "create" and key not in docs):
+            docs[key] = body
+        elif action == "update" and key in docs:
+            docs[key] = docs[key] | body
+        else:
+            failed.append(get("seq"))
+    return docs, failed
+
+
+def typed(docs):
+    return {k: (d.get("a"), d.get("b")) for k, d in docs.items()}
