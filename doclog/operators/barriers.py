@@ -53,15 +53,16 @@ def count_below(cuts: Sequence, is_past) -> Column:
 
 @dataclass
 class Rule:
-    """A by-query request: structured `query` and string `set`, or SQL `where` and SQL expressions in `assign`."""
+    """A by-query request: structured `query` and string `set`, or a condition `where` and expressions `assign`,
+    each a column or SQL text."""
 
     seq: int
     item: int
     action: str
     query: dict | None = None
     set: dict[str, str] | None = None
-    where: str | None = None
-    assign: dict[str, str] = field(default_factory=dict)
+    where: str | Column | None = None
+    assign: dict[str, str | Column] = field(default_factory=dict)
 
     @property
     def position(self) -> Position:
@@ -238,7 +239,7 @@ def _states(per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.where("state.exists").select(*keys, "state.doc.*")
 
 
-def _rounds(log: DataFrame, size: int):
+def rounds(log: DataFrame, size: int):
     """Yield (part of the log, its by-query requests, last?) with at most `size` requests each."""
     past: Position | None = None
     while True:
@@ -262,7 +263,7 @@ def replay_with_queries(
 ) -> DataFrame:
     """Fold a log that may hold by-query requests (columns `query`, `set`) into the table of surviving documents."""
     state = base
-    for part, rules, last in _rounds(log, size):
+    for part, rules, last in rounds(log, size):
         if not rules:
             return replay(part, state, keys, chunk_bits)
         state = _states(_round(part, state, rules, keys, chunk_bits)[1], keys)
@@ -281,7 +282,7 @@ def outcomes_with_queries(
     """`request_outcomes` for a log that may hold by-query requests; those themselves never fail."""
     keys = list(keys)
     state, parts = base, []
-    for part, rules, last in _rounds(log, size):
+    for part, rules, last in rounds(log, size):
         rows, per_key = _round(part, state, rules, keys, chunk_bits)
         began = per_key.select(*keys, F.inline("state.began")).withColumnRenamed("exists", "began")
         # Epoch starts meet the rows chunk by chunk, so a busy key is not joined as one group.
@@ -300,6 +301,10 @@ def outcomes_with_queries(
     return out
 
 
+def _column(e: str | Column) -> Column:
+    return F.expr(e) if isinstance(e, str) else e
+
+
 def replay_by_epochs(
     log: DataFrame, rules: Sequence[Rule], base: DataFrame | None = None, keys: Sequence[str] = ("id",)
 ) -> DataFrame:
@@ -317,11 +322,11 @@ def replay_by_epochs(
         past = rule.position
         if state is None or not part.isEmpty():
             state = replay(part, state, keys)
-        where = F.expr(rule.where)
+        where = _column(rule.where)
         if rule.action == "delete_by_query":
             state = apply_delete_by_query(state, where)
         else:
-            state = apply_update_by_query(state, where, {n: F.expr(e) for n, e in rule.assign.items()})
+            state = apply_update_by_query(state, where, {n: _column(e) for n, e in rule.assign.items()})
         state = materialize(state, "epoch")
     rest = keyed if past is None else keyed.where(after(past))
     return replay(rest, state, keys).select(*keys, *[f.name for f in fields])

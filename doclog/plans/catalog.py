@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog.functions.scale import shared_dir
-from doclog.operators import barriers, consumers, failures, fold, ordering, routing, segments, shaping
+from doclog.operators import barriers, consumers, documents, failures, fold, ordering, routing, segments, shaping
 from doclog.plans import derived_logs as D
 from doclog.plans import jobs
 from doclog.sources import tables
@@ -260,6 +260,27 @@ def replay(spark, sf):
     return fold.replay(D.event_log(spark, sf))
 
 
+def _event_fields(docs):
+    return docs.select("id", F.from_json("doc", D.EVENT_DOC).alias("d"), F.json_object_keys("doc").alias("names")).select(
+        "id", "d.*", F.array_join(F.sort_array("names"), ",").alias("names")
+    )
+
+
+def replay_documents(spark, sf):
+    return _event_fields(documents.replay_documents(D.event_requests(spark, sf)))
+
+
+def replay_pages(spark, sf):
+    docs = documents.replay_documents(D.page_requests(spark, sf))
+    paths = {"url": "$.url", "chars": "$.html.chars", "tag": "$.html.tags[0]", "lang": "$.lang", "source": "$.source"}
+    return docs.select("id", *[F.get_json_object("doc", p).alias(n) for n, p in paths.items()])
+
+
+def documents_by_query(spark, sf):
+    log = D.barrier_requests(spark, sf, [CLEAR_RULE, DELETE_RULE, UPDATE_RULE])
+    return _event_fields(documents.replay_documents_with_queries(log)[0]).drop("names")
+
+
 def replay_base(spark, sf):
     return fold.replay(D.order_changes(spark, sf), D.customer_base(spark, sf))
 
@@ -380,6 +401,9 @@ QUERIES: dict[str, Query] = {
     "q_outcomes": outcomes,
     "q_dead_letter": dead_letter,
     "q_replay": replay,
+    "q_replay_documents": replay_documents,
+    "q_replay_pages": replay_pages,
+    "q_documents_by_query": documents_by_query,
     "q_replay_base": replay_base,
     "q_replay_lineitem": replay_lineitem,
     "q_replay_conv": replay_conv,

@@ -120,8 +120,35 @@ def turn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as documents with nested and repeated values, patched or (by short ones) deleted by the documents of
+    the same number."""
+    pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    html = F.struct(F.length("html").alias("chars"), F.array("url").alias("tags"))
+    body = F.struct("url", html.alias("html"))
+    opened = pages.select(
+        F.col("page_id").alias("seq"), F.lit("index").alias("action"), F.col("page_id").alias("id"),
+        F.to_json(body).alias("doc"),
+    )
+    patch = F.when(F.col("lang") == "en", F.to_json(F.struct("lang", "source"))).otherwise(
+        F.to_json(F.struct("lang", F.struct(F.col("n_chars").alias("chars")).alias("html")))
+    )
+    short = F.col("n_chars") < 100
+    patched = docs.select(
+        (F.col("doc_id") + (1 << 40)).alias("seq"),
+        F.when(short, "delete").otherwise("update").alias("action"),
+        F.col("doc_id").alias("id"),
+        F.when(~short, patch).alias("doc"),
+    )
+    return opened.unionByName(patched).withColumn("item", F.lit(0))
+
+
 def barrier_log(spark: SparkSession, sf_dir: str, barriers: list[dict]) -> DataFrame:
     """The event log with by-query requests in place of the events at their positions."""
+    return parse_docs(barrier_requests(spark, sf_dir, barriers), EVENT_DOC)
+
+
+def barrier_requests(spark: SparkSession, sf_dir: str, barriers: list[dict]) -> DataFrame:
     rows = event_requests(spark, sf_dir)
     taken = [b["seq"] for b in barriers]
     keyed = rows.where(~F.col("seq").isin(*taken)).withColumns(
@@ -150,4 +177,4 @@ def barrier_log(spark: SparkSession, sf_dir: str, barriers: list[dict]) -> DataF
         .withColumn("id", F.lit(None).cast("string"))
         .withColumn("doc", F.lit(None).cast("string"))
     )
-    return parse_docs(keyed.unionByName(by_query), EVENT_DOC)
+    return keyed.unionByName(by_query)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
+from doclog.operators.documents import replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
 from doclog.operators.fold import parse_docs
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
@@ -76,6 +77,12 @@ def capture_batch(
     return Captured(write_segments(log, path, batch_id, arranged=True), rejected, passed)
 
 
+def table_schema(doc_type: T.StructType | None) -> T.StructType:
+    """Columns of a target table: the key, then the declared fields or the document as JSON."""
+    fields = [T.StructField("doc", T.StringType())] if doc_type is None else doc_type.fields
+    return T.StructType([T.StructField("id", T.StringType()), *fields])
+
+
 class SegmentError(RuntimeError):
     """Replay stopped at a segment it could not apply."""
 
@@ -96,7 +103,7 @@ def replay_target(
     spark: SparkSession,
     log_path: str,
     table_path: str,
-    doc_type: T.StructType,
+    doc_type: T.StructType | None,
     position: int = 0,
     dead_letter_path: str | None = None,
     retry: int = S.SEGMENT_RETRIES,
@@ -110,6 +117,8 @@ def replay_target(
 ) -> int:
     """Bring a target table up to date with the log and return the position reached.
 
+    `doc_type` declares the fields of the documents; None keeps them as JSON text in a column `doc`.
+
     Runs of segments are folded as one distributed job each and committed together with the position, so a run is
     applied exactly once. A run that breaks is repeated in smaller pieces; a single segment that keeps breaking is
     skipped, or stops the replay when `skip_error` is off.
@@ -154,12 +163,13 @@ def _replay_run(
     target = table_path.rstrip("/").rsplit("/", 1)[-1]
     lo, end = due[0], due[-1] + 1
     raw = scan_segments(spark, log_path, lo, due[-1], check=False)
-    log = parse_docs(assign_ids(flatten_bulk(raw)), doc_type)
+    flat = assign_ids(flatten_bulk(raw))
+    log = flat if doc_type is None else parse_docs(flat, doc_type)
     errors = segment_errors(log)
     stopped = None if skip_error else errors.agg(F.min("segment_id")).first()[0]
     log, _ = apply_error_policy(log, errors, skip_error, retry)
 
-    schema = T.StructType([T.StructField("id", T.StringType()), *doc_type.fields])
+    schema = table_schema(doc_type)
     at = tables.last_commit(spark, table_path)
     buckets = at.buckets if at else buckets
     changed = None
@@ -168,21 +178,26 @@ def _replay_run(
         changed = [r.b for r in touched.collect()]
     base = tables.read_table(spark, table_path, schema, at, changed) if at else None
 
+    def outcomes() -> DataFrame:
+        if doc_type is None:
+            return replay_documents_with_queries(log, base)[1]
+        return outcomes_with_queries(log, base)
+
     if request_retry < 0:
         # Without dead letters a failing request ends its segment, and what follows is judged from the state there.
-        failed = split_failures(outcomes_with_queries(log, base), request_retry)[2]
+        failed = split_failures(outcomes(), request_retry)[2]
         first = failed.orderBy("seq").select("segment_id", "seq").limit(1).collect()
         if first:
             bad, seq = first[0]
             log, end = log.where(F.col("seq") < seq), bad + 1
             stopped = None if skip_error else bad
     elif dead_letter_path is not None:
-        failed = split_failures(outcomes_with_queries(log, base), request_retry)[1]
-        write_dead_letter(dead_letters(log, failed, target), dead_letter_path)
+        failed = split_failures(outcomes(), request_retry)[1]
+        write_dead_letter(dead_letters(flat, failed, target), dead_letter_path)
 
     if stopped is not None:
         end = stopped
-    state = replay_with_queries(log, base)
+    state = replay_documents_with_queries(log, base)[0] if doc_type is None else replay_with_queries(log, base)
     tables.publish_table(state, table_path, end, ["id"], changed, buckets, node, time.time())
     if stopped is not None:
         raise SegmentError(f"segment {stopped} cannot be applied")

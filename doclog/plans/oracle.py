@@ -247,6 +247,15 @@ ORACLE: dict[str, str] = {
           CASE action WHEN 'create' THEN 'document exists' ELSE 'document missing' END AS reason, 1 AS attempts
         FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY seq) AS position FROM o) WHERE failed"""),
     "q_replay": sql(REQ, outcomes("req"), state("o", "s"), final="SELECT * FROM s"),
+    "q_replay_documents": sql(REQ, outcomes("req"), final="""
+        SELECT id, arg_max_null(value, seq) AS value, arg_max_null(k, seq) FILTER (WHERE has_k) AS k, 'k,value' AS names
+        FROM o WHERE NOT failed GROUP BY id HAVING arg_max(action, seq) FILTER (WHERE action <> 'update') <> 'delete'"""),
+    "q_replay_pages": """
+        SELECT page_id AS id, url, CAST(CASE WHEN lang IS NULL OR lang = 'en' THEN length(html) ELSE n_chars END AS VARCHAR)
+            AS chars, CASE WHEN lang IS NULL OR lang = 'en' THEN url END AS tag, lang,
+          CASE WHEN lang = 'en' THEN source END AS source
+        FROM pages LEFT JOIN documents ON doc_id = page_id WHERE n_chars IS NULL OR n_chars >= 100""",
+    "q_documents_by_query": sql(*THREE_RULES, final="SELECT * FROM s4"),
     "q_replay_base": sql(_ORD, outcomes("changes"), final="""
         SELECT id, arg_max_null(balance, seq) AS balance FROM o WHERE NOT failed GROUP BY id
         HAVING arg_max(action, seq) FILTER (WHERE action <> 'update') <> 'delete'"""),

@@ -44,7 +44,7 @@ def replay_stream(
     spark: SparkSession,
     log_path: str,
     table_path: str,
-    doc_type: T.StructType,
+    doc_type: T.StructType | None,
     checkpoint: str,
     available_now: bool = False,
     poll_seconds: int = S.POLL_SECONDS,

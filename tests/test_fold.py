@@ -1,9 +1,11 @@
+import json
 import random
 
 import pytest
 
 from doclog.operators.barriers import Rule, outcomes_with_queries, replay_by_epochs, replay_with_queries
 from doclog.operators.consumers import replay_targets
+from doclog.operators.documents import replay_documents, replay_documents_with_queries
 from doclog.operators.fold import parse_docs, replay, request_outcomes, state_at
 from doclog.operators.ordering import roll_by_size
 from doclog.operators.shaping import flatten_bulk
@@ -92,3 +94,25 @@ def test_state_at_a_position(spark):
     rows = random_log(random.Random(9), 200, 10)
     log = roll_by_size(parse_docs(request_frame(spark, rows), FIELDS), 1000)
     assert table(state_at(log, 4)) == typed(dict_fold([r for r in rows if r[0] * 50 // 1000 + 1 < 4])[0])
+
+
+def docs_of(df):
+    return {r["id"]: json.loads(r["doc"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_documents_without_a_schema(spark, seed):
+    rng = random.Random(300 + seed)
+    rows = random_log(rng, 250, 8)
+    base = {str(i): {"deep": {"x": [i, None, "é\""]}, "n": 1.5} for i in range(5, 12)}
+    want, _ = dict_fold(rows, base)
+    frame = spark.createDataFrame([(k, json.dumps(d)) for k, d in base.items()], "id string, doc string")
+    assert docs_of(replay_documents(request_frame(spark, rows), frame, chunk_bits=3)) == want
+
+
+def test_documents_with_by_query_requests(spark):
+    rows = random_log(random.Random(5), 150, 8, by_query={40, 90, 91})
+    want, failed = dict_fold(rows)
+    state, outcomes = replay_documents_with_queries(request_frame(spark, rows))
+    assert docs_of(state) == want
+    assert sorted(r.seq for r in outcomes.where("failed").collect()) == failed

@@ -200,3 +200,19 @@ def test_streams_follow_and_rerun(spark, tmp_path):
     assert messages(read(spark, t)) == golden(1000) | golden(2000)
     assert tables.last_commit(spark, t).position == 3
     assert read_requests(spark, str(src)).count() == 24
+
+
+def test_documents_of_any_shape(spark, tmp_path):
+    log, t = str(tmp_path / "log"), str(tmp_path / "t")
+    capture_batch(request_frame(spark, scenario(1000)), log, ["sample"], 0)
+    odd = [request(13, "index", id="a", doc='{"x": {"y": [1, 2]}, "z": null}'),
+           request(14, "update", id="a", doc='{"w": 1}'), request(15, "update", id="b", doc="{}")]
+    capture_batch(request_frame(spark, odd), log, ["sample"], 1)
+    dead = str(tmp_path / "dead")
+    assert replay_target(spark, log, t, None, dead_letter_path=dead) == 3
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("doc", T.StringType())])
+    got = {r["id"]: json.loads(r["doc"]) for r in tables.read_table(spark, t, schema).collect()}
+    assert {k: d["msg"] for k, d in got.items() if k != "a"} == golden(1000)
+    assert got["1005"] == {"id": 1005, "msg": "test 1005"}
+    assert got["a"] == {"x": {"y": [1, 2]}, "z": None, "w": 1}
+    assert [(r.seq, r.position) for r in read_dead_letters(spark, dead).collect()] == [(15, 3)]
