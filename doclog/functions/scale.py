@@ -15,11 +15,18 @@ BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the session names for durable intermediate data."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder the session names in `spark.checkpoint.dir` for durable intermediate data.
+
+    Only a local session may do without: it gets a temporary folder of its own.
+    """
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    path = path or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="doclog-")
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 

@@ -21,10 +21,11 @@ from doclog.functions.scale import CHUNK_BITS, materialize
 from doclog.operators.fold import (
     doc_fields,
     effects,
-    fails,
     label_outcomes,
     merge_effects,
     replay,
+    request_outcomes,
+    takes_effect,
     with_chunk_state,
 )
 
@@ -69,6 +70,36 @@ class Rule:
         return (self.seq, self.item)
 
 
+def by_key(log: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Turn by-query requests for one value of the key into plain requests for that key.
+
+    They then need no round of their own. `lenient` marks them: unlike plain updates they do not fail when nothing
+    matches.
+    """
+    if len(keys) != 1 or "query" not in log.columns:
+        return log
+    (key,) = keys
+    kind, query, action = log.schema[key].dataType, F.col("query"), F.col("action")
+    hit = F.coalesce(
+        action.isin(*S.BY_QUERY) & (query["kind"] == "term") & (query["field"] == key), F.lit(False)
+    )
+    fields = doc_fields(log)
+    none = F.lit(None)
+    patch = F.struct(*[_assigned(F.struct("set"), f, none.cast(f.dataType)).alias(f.name) for f in fields])
+    is_update = hit & (action == "update_by_query")
+    changes = {
+        "action": F.when(is_update, "update").when(hit, "delete").otherwise(action),
+        key: F.when(hit, query["lo"].try_cast(kind)).otherwise(F.col(key)),
+        "doc": F.when(is_update, patch).otherwise(F.col("doc")),
+        "lenient": hit,
+    }
+    carried = F.coalesce(F.map_keys("set"), F.array().cast("array<string>"))
+    before = F.col("present") if "present" in log.columns else none.cast("array<string>")
+    changes["present"] = F.when(is_update, carried).otherwise(before)
+    # A value that is no key at all matches nothing.
+    return log.withColumns(changes).where(~(F.col("lenient") & F.col(key).isNull()))
+
+
 def next_rules(log: DataFrame, past: Position | None, limit: int) -> list[Rule]:
     """The first `limit` by-query requests after `past`, in log order."""
     rows = log.where(F.col("action").isin(*S.BY_QUERY))
@@ -100,8 +131,8 @@ def reduce_epochs(
     """(rows with their chunk state, one `steps` array per key with the effect of each epoch it was touched in)."""
     fields = doc_fields(keyed)
     rows = with_chunk_state(keyed.withColumn("epoch", epoch), keys, None, chunk_bits, ["epoch"])
-    if_absent = ~fails(rows, F.coalesce("known", F.lit(False)))
-    if_present = ~fails(rows, F.coalesce("known", F.lit(True)))
+    if_absent = takes_effect(rows, F.coalesce("known", F.lit(False)))
+    if_present = takes_effect(rows, F.coalesce("known", F.lit(True)))
     chunks = rows.groupBy(*keys, "epoch", "chunk").agg(
         *effects(rows, fields, if_absent, "_a"), *effects(rows, fields, if_present, "_p")
     )
@@ -263,7 +294,7 @@ def replay_with_queries(
 ) -> DataFrame:
     """Fold a log that may hold by-query requests (columns `query`, `set`) into the table of surviving documents."""
     state = base
-    for part, rules, last in rounds(log, size):
+    for part, rules, last in rounds(by_key(log, keys), size):
         if not rules:
             return replay(part, state, keys, chunk_bits)
         state = _states(_round(part, state, rules, keys, chunk_bits)[1], keys)
@@ -281,8 +312,13 @@ def outcomes_with_queries(
 ) -> DataFrame:
     """`request_outcomes` for a log that may hold by-query requests; those themselves never fail."""
     keys = list(keys)
+    log = by_key(log, keys)
+    own = ~F.col("lenient") if "lenient" in log.columns else F.lit(True)
     state, parts = base, []
     for part, rules, last in rounds(log, size):
+        if not rules:
+            parts.append(request_outcomes(part, state, keys, chunk_bits).where(own))
+            break
         rows, per_key = _round(part, state, rules, keys, chunk_bits)
         began = per_key.select(*keys, F.inline("state.began")).withColumnRenamed("exists", "began")
         # Epoch starts meet the rows chunk by chunk, so a busy key is not joined as one group.
@@ -290,7 +326,7 @@ def outcomes_with_queries(
         exists = F.coalesce("known", "began", F.lit(False))
         parts.append(
             label_outcomes(
-                rows.join(chunks, [*keys, "epoch", "chunk"]).withColumn("exists_before", exists)
+                rows.join(chunks, [*keys, "epoch", "chunk"]).withColumn("exists_before", exists).where(own)
             ).drop("known", "began", "epoch")
         )
         if not last:

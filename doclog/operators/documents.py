@@ -21,7 +21,7 @@ from doclog.operators.barriers import (
     apply_update_by_query,
     rounds,
 )
-from doclog.operators.fold import fails, request_outcomes, with_chunk_state
+from doclog.operators.fold import request_outcomes, takes_effect, with_chunk_state
 
 FIELDS = "map<string,variant>"
 
@@ -59,7 +59,7 @@ def replay_documents(
     keys = list(keys)
     rows = with_chunk_state(check_docs(log), keys, base, chunk_bits)
     full, writes = F.col("action").isin(*S.FULL_WRITES), F.col("action").isin(*S.DOC_WRITES)
-    parts = rows.where(~fails(rows, F.coalesce("known", F.lit(False)))).select(
+    parts = rows.where(takes_effect(rows, F.coalesce("known", F.lit(False)))).select(
         *keys, "chunk", "code", F.inline(_entries(full, F.col("action") != "delete", F.when(writes, F.col("doc"))))
     )
     value = F.struct("live", "value")

@@ -89,9 +89,9 @@ def with_chunk_state(
     )
 
 
-def fails(log: DataFrame, exists: Column) -> Column:
+def takes_effect(log: DataFrame, exists: Column) -> Column:
     action = F.col("action")
-    return ~is_valid(log) | ((action == "create") & exists) | ((action == "update") & ~exists)
+    return is_valid(log) & ~((action == "create") & exists) & ~((action == "update") & ~exists)
 
 
 def request_outcomes(
@@ -175,7 +175,7 @@ def replay(
     """
     fields = doc_fields(log)
     rows = with_chunk_state(log, keys, base, chunk_bits)
-    ok = ~fails(rows, F.coalesce("known", F.lit(False)))
+    ok = takes_effect(rows, F.coalesce("known", F.lit(False)))
     chunks = rows.groupBy(*keys, "chunk").agg(*effects(rows, fields, ok))
     if base is not None:
         chunks = chunks.unionByName(base_as_effect(base, keys, fields))

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
-from doclog.operators.documents import replay_documents_with_queries
+from doclog.operators.documents import check_docs, replay_documents, replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
-from doclog.operators.fold import parse_docs
+from doclog.operators.fold import parse_docs, replay, request_outcomes
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
 from doclog.operators.routing import classify_requests, route_requests
 from doclog.operators.shaping import assign_ids, flatten_bulk
@@ -30,9 +30,9 @@ class Captured:
     segments: DataFrame
     """manifest rows of the batch"""
     rejected: DataFrame
-    """requests aimed only partly at targets, or of a kind the log does not take, with `reason`"""
+    """requests aimed only partly at targets"""
     passed: DataFrame
-    """requests for other indices, which the log leaves alone"""
+    """requests for other indices and of kinds the log does not take: it leaves them alone"""
 
 
 def capture_batch(
@@ -52,18 +52,16 @@ def capture_batch(
     has_marker = "marker" in reqs.columns
     marker = F.coalesce(F.col("marker"), F.lit(False)) if has_marker else F.lit(False)
     routed = classify_requests(route_requests(reqs, targets))
-    known = F.col("code") != S.CODE_UNKNOWN
-    reason = F.when(~known, "unknown request type").when(F.col("route") == "reject", "mixed target requests")
-    aimed = routed.where(~marker & (F.col("route") != "pass")).withColumn("reason", reason)
-    rejected = aimed.where("reason is not null").drop("code")
-    passed = routed.where(~marker & (F.col("route") == "pass")).drop("code", "route")
+    route = F.when(F.col("code") == S.CODE_UNKNOWN, "pass").otherwise(F.col("route"))
+    routed = routed.withColumn("route", F.when(marker, "marker").otherwise(route)).drop("code")
+    rejected, passed = (routed.where(F.col("route") == r).drop("route") for r in ("reject", "pass"))
 
     written = read_manifest(spark, path).where(F.col("batch_id") == batch_id)
     if not written.isEmpty():
         return Captured(written, rejected, passed)
     segment, seq, _ = last_written(spark, path)
     size = F.coalesce("bytes", F.length(F.to_json(F.struct(*S.REQUEST.names))).cast("long"))
-    taken = routed.where(marker | ((F.col("route") == "capture") & known)).withColumn("bytes", size)
+    taken = routed.where(F.col("route").isin("capture", "marker")).withColumn("bytes", size)
     log = taken.select(*S.REQUEST.names, *(["marker"] if has_marker else []))
     if order_by is not None:
         # Ordering columns beyond the request's own travel along only until the rows are numbered.
@@ -165,24 +163,41 @@ def _replay_run(
     raw = scan_segments(spark, log_path, lo, due[-1], check=False)
     flat = assign_ids(flatten_bulk(raw))
     log = flat if doc_type is None else parse_docs(flat, doc_type)
-    errors = segment_errors(log)
-    stopped = None if skip_error else errors.agg(F.min("segment_id")).first()[0]
-    log, _ = apply_error_policy(log, errors, skip_error, retry)
-
     schema = table_schema(doc_type)
     at = tables.last_commit(spark, table_path)
     buckets = at.buckets if at else buckets
-    changed = None
-    if log.where(F.col("action").isin(*S.BY_QUERY)).isEmpty():
-        touched = log.select(tables.bucket_of(["id"], buckets).alias("b")).distinct()
-        changed = [r.b for r in touched.collect()]
+
+    # One narrow pass tells what the run needs: at most one row per bucket comes back.
+    facts = (
+        classify_requests(flat)
+        .groupBy(tables.bucket_of(["id"], buckets).alias("bucket"))
+        .agg(
+            F.count_if(F.col("action").isin(*S.BY_QUERY)).alias("by_query"),
+            F.count_if(F.col("code") == S.CODE_UNKNOWN).alias("unknown"),
+        )
+        .collect()
+    )
+    by_query = any(f.by_query for f in facts)
+    stopped = None
+    if any(f.unknown for f in facts):
+        errors = segment_errors(log)
+        stopped = None if skip_error else errors.agg(F.min("segment_id")).first()[0]
+        log, _ = apply_error_policy(log, errors, skip_error, retry)
+    changed = None if by_query else [f.bucket for f in facts]
     base = tables.read_table(spark, table_path, schema, at, changed) if at else None
 
     def outcomes() -> DataFrame:
+        if not by_query:
+            return request_outcomes(log if doc_type is not None else check_docs(log), base)
         if doc_type is None:
             return replay_documents_with_queries(log, base)[1]
         return outcomes_with_queries(log, base)
 
+    def fold() -> DataFrame:
+        if doc_type is None:
+            return replay_documents_with_queries(log, base)[0] if by_query else replay_documents(log, base)
+        return replay_with_queries(log, base) if by_query else replay(log, base)
+
     if request_retry < 0:
         # Without dead letters a failing request ends its segment, and what follows is judged from the state there.
         failed = split_failures(outcomes(), request_retry)[2]
@@ -197,8 +212,7 @@ def _replay_run(
 
     if stopped is not None:
         end = stopped
-    state = replay_documents_with_queries(log, base)[0] if doc_type is None else replay_with_queries(log, base)
-    tables.publish_table(state, table_path, end, ["id"], changed, buckets, node, time.time())
+    tables.publish_table(fold(), table_path, end, ["id"], changed, buckets, node, time.time())
     if stopped is not None:
         raise SegmentError(f"segment {stopped} cannot be applied")
     return end

@@ -30,11 +30,14 @@ def capture_stream(
     """Append a stream of requests to the log; each micro-batch closes its segments.
 
     A repeated micro-batch is recognised by its number and not written twice. A capture that starts over with a new
-    checkpoint must set `first_batch` past the batches already in the log.
+    checkpoint must set `first_batch` past the batches already in the log. Requests refused because they are aimed
+    only partly at targets are kept under `rejected`.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        capture_batch(batch, log_path, targets, first_batch + batch_id, order_by, max_bytes)
+        number = first_batch + batch_id
+        got = capture_batch(batch, log_path, targets, number, order_by, max_bytes)
+        got.rejected.write.mode("overwrite").parquet(f"{log_path}/rejected/batch_id={number}")
 
     writer = requests.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, poll_seconds).start()
