@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.functions.scale import CHUNK_BITS
-from doclog.operators.barriers import count_below, fold_steps, reduce_epochs
+from doclog.operators.barriers import count_below, reduce_epochs
 from doclog.operators.fold import doc_fields
 from doclog.operators.segments import page
 
@@ -81,31 +81,56 @@ def _replay_round(log, targets: dict[int, list[str]], base, keys: list[str], chu
     def names(p: int) -> Column:
         return F.array(*[F.lit(t) for t in targets[p]]).alias("targets")
 
+    # `later` holds, for each touched epoch, the effect of everything from it on; a position needs one of them.
     cuts = F.array(*[F.struct(F.lit(i + 1).alias("from_epoch"), names(p)) for i, p in enumerate(starts)])
-    per_cut = (
-        steps.select(*keys, "steps", F.inline(cuts))
-        .withColumn("steps", F.expr("filter(steps, s -> s.epoch >= from_epoch)"))
-        .where(F.size("steps") > 0)
+    per_target = (
+        steps.withColumn("later", effects_from_each(F.col("steps"), step_type, [f.name for f in fields]))
+        .select(*keys, "later", F.inline(cuts))
+        .withColumn("effect", F.expr("try_element_at(filter(later, s -> s.epoch >= from_epoch), -1)"))
+        .where("effect is not null")
+        .select(F.explode("targets").alias("target"), *keys, "effect")
     )
     if base is None:
-        folded = fold_steps(
-            per_cut.withColumn("start", F.lit(None).cast(_doc_type(fields))), [], fields, keys, step_type
-        )
-        return folded.where("state.exists").select(F.explode("targets").alias("target"), *keys, "state.doc.*")
+        alone = F.col("effect.if_absent")
+        values = [alone.getField(f.name).getField("v").alias(f.name) for f in fields]
+        return per_target.where(alone.getField("exists")).select("target", *keys, *values)
     mine = base.where(F.col("target").isin(*[t for names in targets.values() for t in names]))
     start = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    joined = per_cut.select(F.explode("targets").alias("target"), *keys, "steps").join(
-        mine.select("target", *keys, start.alias("start")), ["target", *keys], "full"
-    )
-    folded = fold_steps(joined, [], fields, keys, step_type)
-    state = F.when(F.col("steps").isNull(), F.col("start")).otherwise(
-        F.when(F.col("state.exists"), F.col("state.doc"))
-    )
-    return folded.withColumn("kept", state).where("kept is not null").select("target", *keys, "kept.*")
-
-
-def _doc_type(fields) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    joined = per_target.join(mine.select("target", *keys, start.alias("start")), ["target", *keys], "full")
+    was = F.col("start").isNotNull()
+    effect = F.when(was, F.col("effect.if_present")).otherwise(F.col("effect.if_absent"))
+    values = []
+    for f in fields:
+        new = effect.getField(f.name)
+        old = F.col("start").getField(f.name)
+        values.append(F.when(new.isNotNull(), new.getField("v")).otherwise(old).alias(f.name))
+    return joined.where(F.coalesce(effect.getField("exists"), was)).select("target", *keys, *values)
+
+
+def effects_from_each(steps: Column, step_type: T.DataType, fields: Sequence[str]) -> Column:
+    """For each step, latest first, the combined effect of it and all later ones, on an absent and a present document."""
+    parts = ["exists", *fields]
+    case_type = step_type["if_absent"].dataType
+
+    def then(first: Column, present: bool, rest: Column) -> Column:
+        """The effect `first` on a document that is (not) there, followed by `rest`."""
+        there = F.coalesce(first["exists"], F.lit(present))
+        second = F.when(there, rest["if_present"]).otherwise(rest["if_absent"])
+        return F.struct(*[F.coalesce(second[n], first[n]).alias(n) for n in parts]).cast(case_type)
+
+    def add(done: Column, step: Column) -> Column:
+        both = F.struct(
+            step["epoch"].alias("epoch"),
+            then(step["if_absent"], False, done["rest"]).alias("if_absent"),
+            then(step["if_present"], True, done["rest"]).alias("if_present"),
+        ).cast(step_type)
+        return F.struct(both.alias("rest"), F.array_append(done["all"], both).alias("all"))
+
+    nothing = F.struct(*[F.lit(None).cast(case_type[n].dataType).alias(n) for n in parts]).cast(case_type)
+    none = F.struct(F.lit(0).alias("epoch"), nothing.alias("if_absent"), nothing.alias("if_present")).cast(step_type)
+    zero = F.struct(none.alias("rest"), F.array().cast(T.ArrayType(step_type)).alias("all"))
+    latest_first = F.array_sort(steps, lambda a, b: b["epoch"] - a["epoch"])
+    return F.aggregate(latest_first, zero, add, lambda done: done["all"])
 
 
 def start_consumer(positions: DataFrame, target: str, node: str, now: Column, position: int = 0) -> DataFrame:
