@@ -21,15 +21,14 @@ from doclog.operators.barriers import (
     apply_update_by_query,
     rounds,
 )
-from doclog.operators.fold import request_outcomes, takes_effect, with_chunk_state
+from doclog.operators.fold import readable, request_outcomes, takes_effect, with_chunk_state
 
 FIELDS = "map<string,variant>"
 
 
 def check_docs(log: DataFrame) -> DataFrame:
-    """Add `valid`: requests that bring a document bring a JSON object."""
-    readable = F.json_object_keys("doc").isNotNull() | ~F.col("action").isin(*S.DOC_WRITES)
-    return log.withColumn("valid", readable)
+    """Add `valid`, unless a captured log has it."""
+    return log if "valid" in log.columns else log.withColumn("valid", readable(F.col("doc"), F.col("action")))
 
 
 def _entries(full: Column, live: Column, doc: Column) -> Column:

@@ -26,15 +26,23 @@ def _one() -> Column:
     return F.lit(1).cast("long")
 
 
+def readable(doc: Column, action: Column) -> Column:
+    """Requests that bring a document must bring a JSON object."""
+    return F.json_object_keys(doc).isNotNull() | ~action.isin(*S.DOC_WRITES)
+
+
 def parse_docs(log: DataFrame, doc_type: T.StructType) -> DataFrame:
-    """Turn JSON `doc` into a struct of the declared fields, keeping which fields were given."""
-    keys = F.json_object_keys("doc")
-    readable = keys.isNotNull() | ~F.col("action").isin(*S.DOC_WRITES)
+    """Turn JSON `doc` into a struct of the declared fields, keeping which fields a patch gives.
+
+    A log that was captured already says which documents are readable; then the columns that decide existence can be
+    read without the documents.
+    """
+    valid = F.col("valid") if "valid" in log.columns else readable(F.col("doc"), F.col("action"))
     return log.withColumns(
         {
-            "present": keys,
-            "valid": readable,
-            "doc": F.when(keys.isNotNull(), F.from_json("doc", doc_type)),
+            "valid": valid,
+            "present": F.when(F.col("action") == "update", F.json_object_keys("doc")),
+            "doc": F.when(valid, F.from_json("doc", doc_type)),
         }
     )
 

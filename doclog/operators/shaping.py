@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from doclog import schema as S
 from doclog.functions.requests import ack_fields, generated_id, render_single, segment_name
+from doclog.operators.fold import readable
 
 
 def flatten_bulk(reqs: DataFrame) -> DataFrame:
@@ -25,6 +26,39 @@ def flatten_bulk(reqs: DataFrame) -> DataFrame:
     return reqs.select(*rest, F.inline(rows))
 
 
+def log_rows(reqs: DataFrame) -> DataFrame:
+    """Requests as the log stores them: bulk items as rows of their own, so every column can be read alone.
+
+    `in_bulk` marks the items, `bytes` stays with the first of them, ids are complete and `valid` tells whether the
+    document can be read. `gather_bulks` puts bulks together again.
+    """
+    in_bulk = F.col("action") == "bulk"
+    rows = assign_ids(flatten_bulk(reqs.withColumn("in_bulk", in_bulk)))
+    first = ~F.col("in_bulk") | (F.col("item") == 0)
+    return rows.withColumns(
+        {
+            "bytes": F.when(first, F.col("bytes")).otherwise(F.lit(0).cast("long")),
+            "valid": readable(F.col("doc"), F.col("action")),
+        }
+    )
+
+
+def gather_bulks(rows: DataFrame) -> DataFrame:
+    """The requests of stored rows: items with the same seq become one bulk again, in order."""
+    names = S.ITEM.names
+    kept = [c for c in rows.columns if c not in ("item", "in_bulk", "valid", "bytes", *names)]
+    items = F.array_sort(
+        F.collect_list(F.struct("item", *[n for n in names])), lambda a, b: a["item"] - b["item"]
+    )
+    bulks = rows.where("in_bulk").groupBy("segment_id", "seq").agg(
+        *[F.first(c).alias(c) for c in kept if c not in ("segment_id", "seq")],
+        F.sum("bytes").alias("bytes"),
+        F.transform(items, lambda x: F.struct(*[x[n].alias(n) for n in names])).alias("items"),
+    )
+    bulks = bulks.withColumns({"action": F.lit("bulk"), "item": F.lit(0)})
+    return rows.where("not in_bulk").drop("in_bulk", "valid").unionByName(bulks, allowMissingColumns=True)
+
+
 def retarget(reqs: DataFrame, target: str | None) -> DataFrame:
     """Point every request, list of indices and bulk item at the consumer's table; None leaves them alone.
 

@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
-from doclog.operators.documents import check_docs, replay_documents, replay_documents_with_queries
+from doclog.operators.documents import replay_documents, replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
 from doclog.operators.fold import parse_docs, replay, request_outcomes
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
 from doclog.operators.routing import classify_requests, route_requests
-from doclog.operators.shaping import assign_ids, flatten_bulk
+from doclog.operators.shaping import log_rows
 from doclog.sources import tables
 from doclog.sources.dead_letters import write_dead_letter
 from doclog.sources.log import last_written, read_manifest, scan_segments, write_segments
@@ -72,7 +72,7 @@ def capture_batch(
         log = roll_by_marker(log, "marker", max_bytes, first=segment + 1).drop("marker")
     else:
         log = roll_by_size(log, max_bytes, first=segment + 1)
-    return Captured(write_segments(log, path, batch_id, arranged=True), rejected, passed)
+    return Captured(write_segments(log_rows(log), path, batch_id, arranged=True), rejected, passed)
 
 
 def table_schema(doc_type: T.StructType | None) -> T.StructType:
@@ -161,7 +161,7 @@ def _replay_run(
     target = table_path.rstrip("/").rsplit("/", 1)[-1]
     lo, end = due[0], due[-1] + 1
     raw = scan_segments(spark, log_path, lo, due[-1], check=False)
-    flat = assign_ids(flatten_bulk(raw))
+    flat = raw if "in_bulk" in raw.columns else log_rows(raw)
     log = flat if doc_type is None else parse_docs(flat, doc_type)
     schema = table_schema(doc_type)
     at = tables.last_commit(spark, table_path)
@@ -188,7 +188,7 @@ def _replay_run(
 
     def outcomes() -> DataFrame:
         if not by_query:
-            return request_outcomes(log if doc_type is not None else check_docs(log), base)
+            return request_outcomes(log, base)
         if doc_type is None:
             return replay_documents_with_queries(log, base)[1]
         return outcomes_with_queries(log, base)

@@ -7,11 +7,11 @@ from pyspark.sql import types as T
 from doclog import schema as S
 from doclog.operators.barriers import Rule, replay_by_epochs, replay_with_queries
 from doclog.operators.fold import parse_docs
-from doclog.operators.shaping import flatten_bulk
+from doclog.operators.shaping import flatten_bulk, gather_bulks, log_rows, render_requests
 from doclog.plans.jobs import SegmentError, capture_batch, due_segments, replay_target
 from doclog.sources import tables
 from doclog.sources.dead_letters import read_dead_letters
-from doclog.sources.log import read_manifest, scan_segments
+from doclog.sources.log import read_manifest, scan_segments, write_segments
 from doclog.sources.requests import read_requests, stream_requests
 from doclog.streaming import capture_stream, replay_stream
 from helpers import DOC, doc, golden, request, request_frame, scenario
@@ -62,6 +62,21 @@ def test_capture_replay_two_targets(spark, tmp_path):
     assert read_manifest(spark, log).count() == 3
 
 
+def test_captured_segment_as_text(spark, tmp_path):
+    log = str(tmp_path / "log")
+    got = capture_batch(request_frame(spark, scenario(1000)), log, ["sample"], 0)
+    assert [(r.requests, r.bytes) for r in got.segments.collect()] == [(12, 600)]
+    stored = scan_segments(spark, log, 1, 1)
+    assert stored.count() == 14
+    lines = [r.line for r in render_requests(gather_bulks(stored)).orderBy("seq").collect()]
+    assert len(lines) == 12
+    assert lines[2] == (
+        'bulk [index {[sample][doc][1005], source[{"id": 1005, "msg": "test 1005"}]},'
+        'update {[sample][doc][1006] source[{"doc":{"msg": "test 1306"}}]},delete {[sample][doc][1007]}]'
+    )
+    assert scan_segments(spark, log, 2, 9).count() == 0
+
+
 def test_same_id_over_restarts(spark, tmp_path):
     log, t = str(tmp_path / "log"), str(tmp_path / "t")
     for batch, (n, docs) in enumerate([(1000, 1), (1000, 1), (1001, 2)]):
@@ -145,9 +160,7 @@ def test_dead_letters_and_bad_segments(spark, tmp_path):
     # A request of unknown kind in the log stops its segment; what precedes it has taken effect.
     bad = request_frame(spark, [request(5, "index", id="5", doc=doc(5)), request(6, "noop", id="5"),
                                 request(7, "delete", id="1")]).withColumn("segment_id", F.lit(2).cast("long"))
-    from doclog.sources.log import write_segments
-
-    write_segments(bad, log, 1)
+    write_segments(log_rows(bad), log, 1)
     capture_batch(request_frame(spark, [request(8, "index", id="8", doc=doc(8))]), log, ["sample"], 2)
     with pytest.raises(Exception, match="Unknown request type"):
         scan_segments(spark, log).collect()
