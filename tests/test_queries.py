@@ -1,5 +1,3 @@
-import os
-
 import pytest
 
 import __spark_entry__ as entry_points
@@ -7,6 +5,10 @@ from compare import connect, difference
 from conftest import SF
 
 
+# Pairs of rows without a key, and rows leaving the JVM.
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF)
@@ -18,8 +20,9 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query_equals_sql(spark, con, name):
-    sf = os.environ.get("DOCLOG_SF", SF)
-    df = entry_points.queries()[name](spark, sf)
+    df = entry_points.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in FORBIDDEN if node in plan]
     assert difference(df, con, entry_points.oracle_sql()[name]) is None
 
 
