@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BITS = 18
 """A chunk is 2**18 consecutive seq values, so a (key, chunk) group is bounded whatever the key's share of the log."""
@@ -47,7 +49,36 @@ def chunk_of(seq: Column, bits: int = CHUNK_BITS) -> Column:
     return F.shiftright(seq, bits)
 
 
-def order_code(seq: Column, item: Column, bits: int = CHUNK_BITS) -> Column:
-    """Order of a request inside its chunk as one long whose lowest bit is free for a flag."""
-    offset = seq.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    return F.shiftleft(offset, 32) + F.shiftleft(item.cast("long"), 1)
+HOT_ROWS = 1 << CHUNK_BITS
+SAMPLE = 0.01
+HOT_KEYS = 10_000
+
+
+def hot_keys(log: DataFrame, keys: Sequence[str]) -> list[tuple]:
+    """Keys that probably hold more than HOT_ROWS rows, the largest first, at most HOT_KEYS of them.
+
+    Reads the key columns only and shuffles a sample of them. A key just missed is merely worked on as a small one.
+    """
+    counts = log.select(*keys).sample(SAMPLE, seed=17).groupBy(*keys).count()
+    large = counts.where(F.col("count") > HOT_ROWS * SAMPLE).dropna(subset=list(keys))
+    return [tuple(r)[:-1] for r in large.orderBy(F.desc("count")).limit(HOT_KEYS).collect()]
+
+
+def by_heat(
+    log: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    run: Callable[[DataFrame, int | None], DataFrame],
+    hot: list[tuple] | None = None,
+    chunk_bits: int = CHUNK_BITS,
+) -> DataFrame:
+    """`run(rows, None)`, except that hot keys of `log` go through `run(rows, chunk_bits)` on their own."""
+    keys = list(keys)
+    hot = hot_keys(log, keys) if hot is None else hot
+    if not hot:
+        return run(rows, None)
+    schema = T.StructType([log.schema[k] for k in keys])
+    # At most HOT_KEYS rows, whatever the size of the log.
+    listed = F.broadcast(log.sparkSession.createDataFrame(hot, schema))
+    cold = run(rows.join(listed, keys, "left_anti"), None)
+    return cold.unionByName(run(rows.join(listed, keys, "left_semi"), chunk_bits))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
-from doclog.functions.scale import CHUNK_BITS, materialize
+from doclog.functions.scale import CHUNK_BITS, by_heat, hot_keys, materialize
 from doclog.operators.fold import (
     doc_fields,
     effects,
@@ -26,7 +26,7 @@ from doclog.operators.fold import (
     replay,
     request_outcomes,
     takes_effect,
-    with_chunk_state,
+    with_state,
 )
 
 ROUND = 64
@@ -126,25 +126,32 @@ def apply_update_by_query(state: DataFrame, predicate: Column, assign: dict[str,
 
 
 def reduce_epochs(
-    keyed: DataFrame, keys: Sequence[str], epoch: Column, chunk_bits: int = CHUNK_BITS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows with their chunk state, one `steps` array per key with the effect of each epoch it was touched in)."""
+    keyed: DataFrame,
+    keys: Sequence[str],
+    hot: list[tuple] | None = None,
+    chunk_bits: int = CHUNK_BITS,
+) -> DataFrame:
+    """Per key one array `steps` with its effect in each `epoch` it was touched in."""
     fields = doc_fields(keyed)
-    rows = with_chunk_state(keyed.withColumn("epoch", epoch), keys, None, chunk_bits, ["epoch"])
-    if_absent = takes_effect(rows, F.coalesce("known", F.lit(False)))
-    if_present = takes_effect(rows, F.coalesce("known", F.lit(True)))
-    chunks = rows.groupBy(*keys, "epoch", "chunk").agg(
-        *effects(rows, fields, if_absent, "_a"), *effects(rows, fields, if_present, "_p")
-    )
-    epochs = chunks.groupBy(*keys, "epoch").agg(
-        *merge_effects(fields, "chunk", "_a"), *merge_effects(fields, "chunk", "_p")
-    )
+
+    def reduce(part: DataFrame, bits: int | None) -> DataFrame:
+        rows = with_state(part, keys, bits, ["epoch"])
+        both = [
+            *effects(rows, fields, takes_effect(rows, F.coalesce("known", F.lit(False))), "_a"),
+            *effects(rows, fields, takes_effect(rows, F.coalesce("known", F.lit(True))), "_p"),
+        ]
+        if bits is None:
+            return rows.groupBy(*keys, "epoch").agg(*both)
+        chunks = rows.groupBy(*keys, "epoch", "chunk").agg(*both)
+        return chunks.groupBy(*keys, "epoch").agg(
+            *merge_effects(fields, "chunk", "_a"), *merge_effects(fields, "chunk", "_p")
+        )
 
     def case(suffix: str) -> Column:
         return F.struct(*[F.col(f"{n}{suffix}").alias(n) for n in ["exists", *[f.name for f in fields]]])
 
     step = F.struct("epoch", case("_a").alias("if_absent"), case("_p").alias("if_present"))
-    return rows, epochs.groupBy(*keys).agg(F.collect_list(step).alias("steps"))
+    return by_heat(keyed, keyed, keys, reduce, hot, chunk_bits).groupBy(*keys).agg(F.collect_list(step).alias("steps"))
 
 
 def _matches(rule: Column, doc: Column, key: dict[str, tuple[Column, T.DataType]], fields) -> Column:
@@ -246,20 +253,20 @@ def _entry_type(step_type) -> T.StructType:
     )
 
 
-def _round(part: DataFrame, base: DataFrame | None, rules: Sequence[Rule], keys: Sequence[str], chunk_bits: int):
-    """(rows with chunk state, per-key states) of one round."""
+def _round(part: DataFrame, base: DataFrame | None, rules: Sequence[Rule], keys: Sequence[str], hot, chunk_bits: int):
+    """(keyed rows with their epoch, per-key states) of one round."""
     keys = list(keys)
     fields = doc_fields(part)
     keyed = part.where(~F.col("action").isin(*S.BY_QUERY))
-    epoch = count_below([r.position for r in rules], after)
-    rows, steps = reduce_epochs(keyed, keys, epoch, chunk_bits)
+    keyed = keyed.withColumn("epoch", count_below([r.position for r in rules], after))
+    steps = reduce_epochs(keyed, keys, hot, chunk_bits)
     start = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     if base is None:
         per_key = steps.withColumn("start", F.lit(None).cast(_type_of(fields)))
     else:
         per_key = steps.join(base.select(*keys, start.alias("start")), keys, "full")
     step_type = steps.schema["steps"].dataType.elementType
-    return rows, fold_steps(per_key, rules, fields, keys, step_type)
+    return keyed, fold_steps(per_key, rules, fields, keys, step_type)
 
 
 def _type_of(fields) -> T.StructType:
@@ -290,14 +297,16 @@ def replay_with_queries(
     base: DataFrame | None = None,
     keys: Sequence[str] = ("id",),
     size: int = ROUND,
+    hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Fold a log that may hold by-query requests (columns `query`, `set`) into the table of surviving documents."""
-    state = base
-    for part, rules, last in rounds(by_key(log, keys), size):
+    log, state = by_key(log, keys), base
+    hot = hot_keys(log, keys) if hot is None else hot
+    for part, rules, last in rounds(log, size):
         if not rules:
-            return replay(part, state, keys, chunk_bits)
-        state = _states(_round(part, state, rules, keys, chunk_bits)[1], keys)
+            return replay(part, state, keys, hot, chunk_bits)
+        state = _states(_round(part, state, rules, keys, hot, chunk_bits)[1], keys)
         if not last:
             state = materialize(state, "round")
     return state
@@ -308,27 +317,23 @@ def outcomes_with_queries(
     base: DataFrame | None = None,
     keys: Sequence[str] = ("id",),
     size: int = ROUND,
+    hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """`request_outcomes` for a log that may hold by-query requests; those themselves never fail."""
     keys = list(keys)
     log = by_key(log, keys)
+    hot = hot_keys(log, keys) if hot is None else hot
     own = ~F.col("lenient") if "lenient" in log.columns else F.lit(True)
     state, parts = base, []
     for part, rules, last in rounds(log, size):
         if not rules:
-            parts.append(request_outcomes(part, state, keys, chunk_bits).where(own))
+            parts.append(request_outcomes(part, state, keys, hot, chunk_bits).where(own))
             break
-        rows, per_key = _round(part, state, rules, keys, chunk_bits)
+        keyed, per_key = _round(part, state, rules, keys, hot, chunk_bits)
         began = per_key.select(*keys, F.inline("state.began")).withColumnRenamed("exists", "began")
-        # Epoch starts meet the rows chunk by chunk, so a busy key is not joined as one group.
-        chunks = rows.select(*keys, "epoch", "chunk").distinct().join(began, [*keys, "epoch"])
-        exists = F.coalesce("known", "began", F.lit(False))
-        parts.append(
-            label_outcomes(
-                rows.join(chunks, [*keys, "epoch", "chunk"]).withColumn("exists_before", exists).where(own)
-            ).drop("known", "began", "epoch")
-        )
+        judged = by_heat(keyed, keyed, keys, lambda rows, bits: _judge(rows, began, keys, bits), hot, chunk_bits)
+        parts.append(label_outcomes(judged.where(own)))
         if not last:
             state = materialize(_states(per_key, keys), "round")
     out = parts[0]
@@ -341,6 +346,18 @@ def _column(e: str | Column) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 
 
+def _judge(rows: DataFrame, began: DataFrame, keys: list[str], bits: int | None) -> DataFrame:
+    """Add `exists_before` to rows, given whether their document existed when their epoch began."""
+    names, state = rows.columns, with_state(rows, keys, bits, ["epoch"])
+    group = [*keys, "epoch"]
+    if bits is not None:
+        # Epoch starts meet the rows chunk by chunk, so a hot key is not joined as one group.
+        began = state.select(*group, "chunk").distinct().join(began, group)
+        group = [*group, "chunk"]
+    exists = F.coalesce("known", "began", F.lit(False)).alias("exists_before")
+    return state.join(began, group).select(*[n for n in names if n != "epoch"], exists)
+
+
 def replay_by_epochs(
     log: DataFrame, rules: Sequence[Rule], base: DataFrame | None = None, keys: Sequence[str] = ("id",)
 ) -> DataFrame:

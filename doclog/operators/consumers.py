@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
-from doclog.functions.scale import CHUNK_BITS
+from doclog.functions.scale import CHUNK_BITS, hot_keys
 from doclog.operators.barriers import count_below, reduce_epochs
 from doclog.operators.fold import doc_fields
 from doclog.operators.segments import page
@@ -31,6 +31,7 @@ def replay_targets(
     positions: DataFrame,
     base: DataFrame | None = None,
     keys: Sequence[str] = ("id",),
+    hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Replay one log into many targets, each from its own `file_position`; `base` holds their tables by `target`.
@@ -38,8 +39,9 @@ def replay_targets(
     The log is read and reduced once, between the distinct positions; a target then combines the reduced rows from
     its position on. So the wide rows are never copied per target. A target without a position takes no part.
     """
+    hot = hot_keys(log, keys) if hot is None else hot
     parts = [
-        _replay_round(log, some, base, list(keys), chunk_bits) for some in _rounds_of_targets(positions)
+        _replay_round(log, some, base, list(keys), hot, chunk_bits) for some in _rounds_of_targets(positions)
     ]
     if not parts:
         raise ValueError("no positions to replay from")
@@ -70,12 +72,12 @@ def _rounds_of_targets(positions: DataFrame) -> Iterator[dict[int, list[str]]]:
         last = rows[-1]
 
 
-def _replay_round(log, targets: dict[int, list[str]], base, keys: list[str], chunk_bits: int) -> DataFrame:
+def _replay_round(log, targets: dict[int, list[str]], base, keys: list[str], hot, chunk_bits: int) -> DataFrame:
     fields = doc_fields(log)
     starts = sorted(targets)
     used = log.where(F.col("segment_id") >= starts[0])
     epoch = count_below(starts, lambda p: F.col("segment_id") >= p)
-    _, steps = reduce_epochs(used, keys, epoch, chunk_bits)
+    steps = reduce_epochs(used.withColumn("epoch", epoch), keys, hot, chunk_bits)
     step_type = steps.schema["steps"].dataType.elementType
 
     def names(p: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doclog import schema as S
-from doclog.functions.scale import CHUNK_BITS, materialize
+from doclog.functions.scale import CHUNK_BITS, by_heat, hot_keys, materialize
 from doclog.operators.barriers import (
     ROUND,
     Rule,
@@ -21,7 +21,7 @@ from doclog.operators.barriers import (
     apply_update_by_query,
     rounds,
 )
-from doclog.operators.fold import readable, request_outcomes, takes_effect, with_chunk_state
+from doclog.operators.fold import readable, request_outcomes, takes_effect, with_base, with_state
 
 FIELDS = "map<string,variant>"
 
@@ -49,40 +49,40 @@ def replay_documents(
     log: DataFrame,
     base: DataFrame | None = None,
     keys: Sequence[str] = ("id",),
+    hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Fold a log of index, create, update and delete requests into keys and JSON documents.
 
-    Fields are reduced inside each (key, chunk) before they are shuffled by key, so a busy key stays small.
+    Fields are reduced where the rows of their key are; those of a hot key inside each of its chunks first.
     """
-    keys = list(keys)
-    rows = with_chunk_state(check_docs(log), keys, base, chunk_bits)
+    keys, log = list(keys), check_docs(log)
     full, writes = F.col("action").isin(*S.FULL_WRITES), F.col("action").isin(*S.DOC_WRITES)
-    parts = rows.where(takes_effect(rows, F.coalesce("known", F.lit(False)))).select(
-        *keys, "chunk", "code", F.inline(_entries(full, F.col("action") != "delete", F.when(writes, F.col("doc"))))
-    )
-    value = F.struct("live", "value")
-    chunks = parts.groupBy(*keys, "chunk", "name").agg(
-        F.max_by(value, "code").alias("kept"), F.max("code").alias("code")
-    )
-    if base is not None:
-        start = base.select(
-            *keys,
-            F.lit(S.MIN_LONG).alias("chunk"),
-            F.lit(-1).cast("long").alias("code"),
-            F.inline(_entries(F.lit(True), F.lit(True), F.col("doc"))),
+    entries = _entries(full, F.col("action") != "delete", F.when(writes, F.col("doc")))
+
+    def fold(part: DataFrame, bits: int | None) -> DataFrame:
+        rows = with_state(part, keys, bits)
+        chunk = F.lit(0).cast("long") if bits is None else F.col("chunk")
+        parts = rows.where(takes_effect(rows, F.coalesce("known", F.lit(False)))).select(
+            *keys, chunk.alias("chunk"), "code", F.inline(entries)
         )
-        chunks = chunks.unionByName(start.select(*keys, "chunk", "name", value.alias("kept"), "code"))
-    at = F.struct("chunk", "code")
-    fields = chunks.groupBy(*keys, "name").agg(F.max_by("kept", at).alias("kept"), F.max(at).alias("at"))
-    mark = F.max(F.when(F.col("name").isNull(), F.struct("at", "kept.live"))).over(Window.partitionBy(*keys))
-    alive = fields.withColumn("mark", mark).where("mark.live and at >= mark.at")
-    entry = F.when(F.col("name").isNotNull(), F.struct("name", "kept.value"))
+        at, value = F.struct("chunk", "code"), F.struct("live", "value")
+        latest = [F.max_by(value, at).alias("kept"), F.max(at).alias("at")]
+        if bits is None:
+            fields = parts.groupBy(*keys, "name").agg(*latest)
+        else:
+            chunks = parts.groupBy(*keys, "chunk", "name").agg(*latest)
+            fields = chunks.groupBy(*keys, "name").agg(F.max_by("kept", "at").alias("kept"), F.max("at").alias("at"))
+        # Fields written before the last full write are gone.
+        mark = F.max(F.when(F.col("name").isNull(), F.struct("at", "kept.live"))).over(Window.partitionBy(*keys))
+        return fields.withColumn("mark", mark).where("mark.live and at >= mark.at").select(*keys, "name", "kept.value")
+
+    fields = by_heat(log, with_base(log, base, keys), keys, fold, hot, chunk_bits)
+    entry = F.when(F.col("name").isNotNull(), F.struct("name", "value"))
     by_name = F.array_sort(
         F.collect_list(entry), lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0)
     )
-    doc = F.to_json(F.map_from_entries(by_name))
-    return alive.groupBy(*keys).agg(doc.alias("doc"))
+    return fields.groupBy(*keys).agg(F.to_json(F.map_from_entries(by_name)).alias("doc"))
 
 
 def _field(name: str) -> Column:
@@ -126,7 +126,7 @@ def replay_documents_with_queries(
 
     By-query requests are taken one after another, with the documents written in between.
     """
-    state, outcomes = base, []
+    state, outcomes, hot = base, [], hot_keys(log, keys)
     for part, rules, last in rounds(log, size):
         keyed, past = part.where(~F.col("action").isin(*S.BY_QUERY)), None
         for rule in [document_rule(r, keys) for r in rules]:
@@ -134,8 +134,8 @@ def replay_documents_with_queries(
             if past is not None:
                 piece = piece.where(after(past))
             past = rule.position
-            outcomes.append(request_outcomes(check_docs(piece), state, keys))
-            state = replay_documents(piece, state, keys)
+            outcomes.append(request_outcomes(check_docs(piece), state, keys, hot))
+            state = replay_documents(piece, state, keys, hot)
             if rule.action == "delete_by_query":
                 state = apply_delete_by_query(state, rule.where)
             else:
@@ -143,8 +143,8 @@ def replay_documents_with_queries(
             state = materialize(state, "documents")
         if last:
             rest = keyed if past is None else keyed.where(after(past))
-            outcomes.append(request_outcomes(check_docs(rest), state, keys))
-            state = replay_documents(rest, state, keys)
+            outcomes.append(request_outcomes(check_docs(rest), state, keys, hot))
+            state = replay_documents(rest, state, keys, hot)
     out = outcomes[0]
     for o in outcomes[1:]:
         out = out.unionByName(o)

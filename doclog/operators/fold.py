@@ -1,9 +1,11 @@
 """Applying keyed mutations: per-request outcomes and the fold of a log into a table.
 
 A request's fate depends only on whether its document exists, and existence depends only on the last index, create
-or delete before it. So the log is cut into chunks of its order: every (key, chunk) group is bounded, existence is
-resolved inside the groups, and what crosses a chunk is one flag per group. Nothing needs a whole key in one task, so
-a key holding a third of the log is spread like any other.
+or delete before it: a running value along each key's rows, after which every field is the latest one written.
+
+Most keys are small and are folded in one group each, with one shuffle. Keys that may hold a large share of the log
+are found from a sample of the key column and cut into chunks of the log order: their (key, chunk) groups are bounded,
+and what crosses a chunk is one flag. The sample only decides how a key is worked on, never what comes out.
 
 A log for this module has `seq`, `item`, `action`, the key columns and the document: a struct column `doc` plus,
 optionally, `present` (names of the fields the request carries; null means all) and `valid` (false for an
@@ -19,11 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
-from doclog.functions.scale import CHUNK_BITS, chunk_of, order_code
-
-
-def _one() -> Column:
-    return F.lit(1).cast("long")
+from doclog.functions.scale import CHUNK_BITS, by_heat, chunk_of
 
 
 def readable(doc: Column, action: Column) -> Column:
@@ -60,40 +58,48 @@ def _defines(log: DataFrame) -> Column:
     return F.col("action").isin(*S.FULL_WRITES) & is_valid(log)
 
 
-def with_chunk_state(
-    log: DataFrame,
-    keys: Sequence[str],
-    base: DataFrame | None = None,
-    chunk_bits: int = CHUNK_BITS,
-    splits: Sequence[str] = (),
+def with_base(log: DataFrame, base: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """The log preceded by the documents of `base`, each as a whole write before all others."""
+    if base is None:
+        return log
+    kind = log.schema["doc"].dataType
+    if isinstance(kind, T.StructType):
+        doc = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kind.fields])
+    else:
+        doc = F.col("doc")
+    first = {"seq": F.lit(S.MIN_LONG), "item": F.lit(0), "action": F.lit("index"), "doc": doc}
+    if "valid" in log.columns:
+        first["valid"] = F.lit(True)
+    rows = base.select(*keys, *[c.alias(n) for n, c in first.items()])
+    return log.unionByName(rows, allowMissingColumns=True)
+
+
+def with_state(
+    log: DataFrame, keys: Sequence[str], chunk_bits: int | None = None, splits: Sequence[str] = ()
 ) -> DataFrame:
-    """Add `chunk`, `code` (order inside the chunk) and `known`: does the document exist before this request?
+    """Add `known` (does the document exist before this request?) and `code` (the request's place in its group).
 
-    `known` is null while no earlier request of the same (key, splits) decides it. `base` holds keys that exist
-    from the start.
+    `known` is null while no earlier request of the same (key, splits) decides it. With `chunk_bits`, groups are cut
+    by `chunk` and the last state before each chunk is carried into it.
     """
-    group = [*keys, *splits]
-    defines, leaves = _defines(log), F.col("action") != "delete"
-    log = log.withColumns(
-        {"chunk": chunk_of(F.col("seq"), chunk_bits), "code": order_code(F.col("seq"), F.col("item"), chunk_bits)}
-    )
-    tail = F.max(F.when(defines, F.col("code") + leaves.cast("long")))
-    chunks = log.groupBy(*group, "chunk").agg(tail.bitwiseAND(_one()).alias("tail"))
-    if base is not None:
-        start = base.select(*keys, F.lit(S.MIN_LONG).alias("chunk"), _one().alias("tail"))
-        chunks = chunks.unionByName(start)
-    before = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunks.withColumn("carried", F.last("tail", ignorenulls=True).over(before)).drop("tail")
-
-    inside = (
-        Window.partitionBy(*group, "chunk").orderBy("seq", "item").rowsBetween(Window.unboundedPreceding, -1)
+    keys, splits = list(keys), list(splits)
+    log = log.where(F.col(keys[0]).isNotNull())
+    defines, leaves = _defines(log), (F.col("action") != "delete").cast("long")
+    if chunk_bits is not None:
+        log = log.withColumn("chunk", chunk_of(F.col("seq"), chunk_bits))
+    group = [*keys, *splits, *([] if chunk_bits is None else ["chunk"])]
+    order = Window.partitionBy(*group).orderBy("seq", "item")
+    before = F.last(F.when(defines, leaves), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = log.withColumns({"known": before, "code": F.row_number().over(order).cast("long")})
+    if chunk_bits is None:
+        return rows.withColumn("known", F.col("known") == 1)
+    tails = log.groupBy(*group).agg(
+        F.max(F.when(defines, F.struct("seq", "item", leaves.alias("state")))).getField("state").alias("tail")
     )
-    in_chunk = F.last(F.when(defines, leaves.cast("long")), ignorenulls=True).over(inside)
+    earlier = Window.partitionBy(*keys, *splits).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.withColumn("carried", F.last("tail", ignorenulls=True).over(earlier)).drop("tail")
     return (
-        log.withColumn("in_chunk", in_chunk)
-        .join(carried, [*group, "chunk"])
-        .withColumn("known", F.coalesce("in_chunk", "carried") == 1)
-        .drop("in_chunk", "carried")
+        rows.join(carried, group).withColumn("known", F.coalesce("known", "carried") == 1).drop("carried")
     )
 
 
@@ -106,11 +112,16 @@ def request_outcomes(
     log: DataFrame,
     base: DataFrame | None = None,
     keys: Sequence[str] = ("id",),
+    hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Add `exists_before`, `failed`, `reason` and `result` to every keyed request."""
-    rows = with_chunk_state(log, keys, base, chunk_bits)
-    return label_outcomes(rows.withColumn("exists_before", F.coalesce("known", F.lit(False)))).drop("known")
+
+    def judge(part: DataFrame, bits: int | None) -> DataFrame:
+        rows = with_state(part, keys, bits).where(F.col("seq") != S.MIN_LONG)
+        return rows.select(*log.columns, F.coalesce("known", F.lit(False)).alias("exists_before"))
+
+    return label_outcomes(by_heat(log, with_base(log, base, keys), keys, judge, hot, chunk_bits))
 
 
 def label_outcomes(rows: DataFrame) -> DataFrame:
@@ -148,8 +159,9 @@ def effects(log: DataFrame, fields: Sequence[T.StructField], effective: Column,
     said anything about the field, else holding the value (which may be null).
     """
     full = F.col("action").isin(*S.FULL_WRITES) & effective
-    state = F.max(F.when(full, F.col("code") + (F.col("action") != "delete").cast("long")))
-    out = [(state.bitwiseAND(_one()) == 1).alias(f"exists{suffix}")]
+    # The place of the last full write, with what it leaves in the lowest bit.
+    state = F.max(F.when(full, F.col("code") * 2 + (F.col("action") != "delete").cast("long")))
+    out = [(state % 2 == 1).alias(f"exists{suffix}")]
     for f in fields:
         at = F.when(effective & carries(log, f.name), F.col("code"))
         value = F.struct(F.col("doc").getField(f.name).alias("v"))
@@ -166,28 +178,29 @@ def merge_effects(fields: Sequence[T.StructField], order: str, suffix: str = "")
     ]
 
 
-def base_as_effect(base: DataFrame, keys: Sequence[str], fields: Sequence[T.StructField]) -> DataFrame:
-    values = [F.struct(F.col(f.name).cast(f.dataType).alias("v")).alias(f.name) for f in fields]
-    return base.select(*keys, F.lit(S.MIN_LONG).alias("chunk"), F.lit(True).alias("exists"), *values)
-
-
 def replay(
     log: DataFrame,
     base: DataFrame | None = None,
     keys: Sequence[str] = ("id",),
+    hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
     """Fold an ordered log of index, create, update and delete requests into the table of surviving documents.
 
-    The wide rows are shuffled once, by (key, chunk); each group then shrinks to one row before the second shuffle.
+    The rows are shuffled once, by key, or by (key, chunk) for keys in `hot` (looked for when None); the chunks of a
+    hot key shrink to one row each before they meet.
     """
     fields = doc_fields(log)
-    rows = with_chunk_state(log, keys, base, chunk_bits)
-    ok = takes_effect(rows, F.coalesce("known", F.lit(False)))
-    chunks = rows.groupBy(*keys, "chunk").agg(*effects(rows, fields, ok))
-    if base is not None:
-        chunks = chunks.unionByName(base_as_effect(base, keys, fields))
-    merged = chunks.groupBy(*keys).agg(*merge_effects(fields, "chunk"))
+
+    def fold(part: DataFrame, bits: int | None) -> DataFrame:
+        rows = with_state(part, keys, bits)
+        ok = takes_effect(rows, F.coalesce("known", F.lit(False)))
+        if bits is None:
+            return rows.groupBy(*keys).agg(*effects(rows, fields, ok))
+        chunks = rows.groupBy(*keys, "chunk").agg(*effects(rows, fields, ok))
+        return chunks.groupBy(*keys).agg(*merge_effects(fields, "chunk"))
+
+    merged = by_heat(log, with_base(log, base, keys), keys, fold, hot, chunk_bits)
     return merged.where("exists").select(*keys, *[F.col(f.name).getField("v").alias(f.name) for f in fields])
 
 

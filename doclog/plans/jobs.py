@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
+from doclog.functions.scale import hot_keys
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
 from doclog.operators.documents import replay_documents, replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
@@ -186,17 +187,19 @@ def _replay_run(
     changed = None if by_query else [f.bucket for f in facts]
     base = tables.read_table(spark, table_path, schema, at, changed) if at else None
 
+    hot = hot_keys(log, ["id"])
+
     def outcomes() -> DataFrame:
         if not by_query:
-            return request_outcomes(log, base)
+            return request_outcomes(log, base, hot=hot)
         if doc_type is None:
             return replay_documents_with_queries(log, base)[1]
-        return outcomes_with_queries(log, base)
+        return outcomes_with_queries(log, base, hot=hot)
 
     def fold() -> DataFrame:
         if doc_type is None:
-            return replay_documents_with_queries(log, base)[0] if by_query else replay_documents(log, base)
-        return replay_with_queries(log, base) if by_query else replay(log, base)
+            return replay_documents_with_queries(log, base)[0] if by_query else replay_documents(log, base, hot=hot)
+        return replay_with_queries(log, base, hot=hot) if by_query else replay(log, base, hot=hot)
 
     if request_retry < 0:
         # Without dead letters a failing request ends its segment, and what follows is judged from the state there.

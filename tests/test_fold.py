@@ -32,10 +32,10 @@ def test_keyed_log_with_a_hot_key(spark, seed):
     rows = random_log(rng, 400, 12)
     want, failed = dict_fold(rows)
     log = parse_docs(request_frame(spark, rows), FIELDS)
-    # Narrow chunks put the hot key into many groups, the default into one.
-    for bits in (3, 18):
-        assert table(replay(log, chunk_bits=bits)) == typed(want)
-        got = request_outcomes(log, chunk_bits=bits).where("failed").select("seq").collect()
+    # No key, the hot key, or every key cut into narrow chunks.
+    for hot in ([], [("0",)], [(str(i),) for i in range(13)]):
+        assert table(replay(log, hot=hot, chunk_bits=3)) == typed(want)
+        got = request_outcomes(log, hot=hot, chunk_bits=3).where("failed").select("seq").collect()
         assert sorted(r.seq for r in got) == failed
 
 
@@ -47,8 +47,8 @@ def test_base_table(spark, seed):
     want, failed = dict_fold(rows, base)
     log = parse_docs(request_frame(spark, rows), FIELDS)
     frame = spark.createDataFrame([(k, d["a"], d["b"]) for k, d in base.items()], "id string, a int, b string")
-    assert table(replay(log, frame, chunk_bits=4)) == typed(want)
-    got = request_outcomes(log, frame, chunk_bits=4).where("failed").collect()
+    assert table(replay(log, frame, hot=[("0",), ("7",)], chunk_bits=4)) == typed(want)
+    got = request_outcomes(log, frame, hot=[("0",)], chunk_bits=4).where("failed").collect()
     assert sorted(r.seq for r in got) == failed
 
 
@@ -60,12 +60,12 @@ def test_by_query_rounds_and_epochs_agree(spark, seed):
     want, failed = dict_fold(rows, base)
     log = parse_docs(flatten_bulk(request_frame(spark, rows)), FIELDS)
     frame = spark.createDataFrame([(k, d["a"], d["b"]) for k, d in base.items()], "id string, a int, b string")
-    assert table(replay_with_queries(log, frame, chunk_bits=4)) == typed(want)
+    assert table(replay_with_queries(log, frame, hot=[("0",)], chunk_bits=4)) == typed(want)
     assert table(replay_with_queries(log, frame, size=3)) == typed(want)
     rules = [as_sql(r) for r in rows if r[3].endswith("_by_query")]
     assert table(replay_by_epochs(log, rules, frame)) == typed(want)
     for size in (3, 64):
-        got = outcomes_with_queries(log, frame, size=size, chunk_bits=4).where("failed").collect()
+        got = outcomes_with_queries(log, frame, size=size, hot=[("0",)], chunk_bits=4).where("failed").collect()
         assert sorted(r.seq for r in got) == failed
 
 
@@ -79,7 +79,7 @@ def test_many_targets_equal_their_own_replays(spark):
     base = spark.createDataFrame([("t2", "0", 5, "mine"), ("t5", "z", 1, "kept")],
                                  "target string, id string, a int, b string")
     got = {}
-    for r in replay_targets(log, positions, base, chunk_bits=4).collect():
+    for r in replay_targets(log, positions, base, hot=[("0",)], chunk_bits=4).collect():
         got.setdefault(r.target, {})[r.id] = (r.a, r.b)
     alone = replay_targets(log, positions).collect()
     for target, start, state in [("t1", 1, {}), ("t2", 4, {"0": {"a": 5, "b": "mine"}}), ("t3", 9, {}), ("t4", 4, {})]:
@@ -107,7 +107,7 @@ def test_documents_without_a_schema(spark, seed):
     base = {str(i): {"deep": {"x": [i, None, "é\""]}, "n": 1.5} for i in range(5, 12)}
     want, _ = dict_fold(rows, base)
     frame = spark.createDataFrame([(k, json.dumps(d)) for k, d in base.items()], "id string, doc string")
-    assert docs_of(replay_documents(request_frame(spark, rows), frame, chunk_bits=3)) == want
+    assert docs_of(replay_documents(request_frame(spark, rows), frame, hot=[("0",)], chunk_bits=3)) == want
 
 
 def test_documents_with_by_query_requests(spark):

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from doclog.operators.barriers import replay_with_queries
-from doclog.operators.fold import parse_docs, replay, replay_writes
+from doclog.functions.scale import hot_keys
+from doclog.operators.fold import parse_docs, replay, replay_writes, with_state
 from doclog.plans import derived_logs as D
 from doclog.plans.jobs import capture_batch
 from doclog.sources.log import scan_segments
@@ -24,27 +25,36 @@ def test_stored_log_is_pruned_by_segment_and_column(spark, tmp_path):
     capture_batch(D.bulk_requests(spark, SF), log, ["sample"], 0, max_bytes=10_000)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     try:
-        text = plan(replay(parse_docs(scan_segments(spark, log, 2, 3), D.EVENT_DOC)))
+        stored = parse_docs(scan_segments(spark, log, 2, 3), D.EVENT_DOC)
+        cold, mixed = plan(replay(stored, hot=[])), plan(replay(stored, hot=[("1",)]))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    found = scans(text)
-    assert len(found) == 2
-    assert all("segment_id" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in found)
-    reads = sorted(line.split("ReadSchema")[1] for line in found)
-    # Existence is decided without reading documents; nothing reads columns replay does not use.
-    assert sum("doc:" in r for r in reads) == 1
-    assert not any("request_id" in r or "index:" in r for r in reads)
+    for text, count in ((cold, 1), (mixed, 3)):
+        found = scans(text)
+        assert len(found) == count
+        assert all("segment_id" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in found)
+        reads = [line.split("ReadSchema")[1] for line in found]
+        # What decides existence in hot keys is read without documents; nothing reads columns replay does not use.
+        assert sum("doc:" not in r for r in reads) == (count == 3)
+        assert not any("request_id" in r or "index:" in r for r in reads)
 
 
-def test_replay_shuffles_wide_rows_once(spark):
+def test_replay_shuffles_rows_once(spark):
+    text = plan(replay(D.order_changes(spark, SF), D.customer_base(spark, SF)))
+    # One shuffle by key and one sort serve both the window and the aggregation.
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count(" Sort ") == 1
+
+
+def test_hot_keys_shuffle_rows_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(replay(D.order_changes(spark, SF), D.customer_base(spark, SF)))
+        text = plan(replay(D.order_changes(spark, SF), hot=[(1,)]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Rows by (key, chunk); flags by (key, chunk), by key and back; reduced rows by key.
-    assert text.count("Exchange hashpartitioning") == 5
-    # The rows are sorted for the window, and the join takes them in that order.
+    # Small keys once by key. Hot ones: rows by (key, chunk); flags by (key, chunk), by key and back; reduced rows.
+    assert text.count("Exchange hashpartitioning") == 1 + 5
+    # The hot rows are sorted for the window, and the join takes them in that order.
     between = text[text.index("SortMergeJoin"):]
     assert "Sort " not in between[:between.index("Window")]
 
@@ -64,12 +74,17 @@ def test_a_hot_key_does_not_meet_in_one_group(spark):
         F.when(F.col("id") % 5 == 0, "index").when(F.col("id") % 5 == 1, "delete").otherwise("update").alias("action"),
         F.struct(F.col("id").alias("v")).alias("doc"),
     )
-    from doclog.operators.fold import with_chunk_state
-
-    groups = with_chunk_state(log, ["id"], chunk_bits=10).groupBy("id", "chunk").count()
+    assert hot_keys(log, ["id"]) == []
+    groups = with_state(log, ["id"], 10).groupBy("id", "chunk").count()
     assert groups.agg(F.max("count")).first()[0] <= 1 << 10
-    same = replay(log, chunk_bits=10).exceptAll(replay(log))
-    assert same.count() == 0 and replay(log, chunk_bits=10).where("id = 0").count() <= 1
+    cut = replay(log, hot=[(0,)], chunk_bits=10)
+    assert cut.exceptAll(replay(log, hot=[])).count() == 0
+    assert cut.count() == replay(log, hot=[]).count()
+
+
+def test_hot_keys_are_found(spark):
+    log = spark.range(0, 1_000_000, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"))
+    assert hot_keys(log, ["id"]) == [(-1,)]
 
 
 def test_no_query_request_means_no_round(spark):
