@@ -111,7 +111,7 @@ def replay_target(
     lookup: int = S.LOOKUP_SEGMENTS,
     max_segments: int = SEGMENTS_PER_COMMIT,
     until: int | None = None,
-    node: str = "",
+    node: str | None = None,
     buckets: int = tables.BUCKETS,
 ) -> int:
     """Bring a target table up to date with the log and return the position reached.
@@ -120,12 +120,16 @@ def replay_target(
 
     Runs of segments are folded as one distributed job each and committed together with the position, so a run is
     applied exactly once. A run that breaks is repeated in smaller pieces; a single segment that keeps breaking is
-    skipped, or stops the replay when `skip_error` is off.
+    skipped, or stops the replay when `skip_error` is off. With `node`, the replay ends when the table belongs to
+    somebody else or has been stopped.
     """
     at = tables.last_commit(spark, table_path)
     start = position if position > 0 else (at.position if at else 1)
     size, tries = max_segments, 0
     while True:
+        owner = tables.last_commit(spark, table_path)
+        if node is not None and owner is not None and owner.node != node:
+            return owner.position
         manifest = read_manifest(spark, log_path)
         if until is not None:
             manifest = manifest.where(F.col("segment_id") < until)

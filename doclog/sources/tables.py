@@ -68,12 +68,13 @@ def publish_table(
     keys: Sequence[str] = ("id",),
     changed: Iterable[int] | None = None,
     buckets: int = BUCKETS,
-    node: str = "",
+    node: str | None = None,
     ts: float = 0.0,
 ) -> Commit:
     """Write `state` and commit it with the position reached.
 
-    `changed` names the buckets `state` covers; the others stay as the last commit has them. None means all.
+    `changed` names the buckets `state` covers; the others stay as the last commit has them. None means all. The
+    owner stays the same unless `node` is given.
     """
     spark = state.sparkSession
     before = last_commit(spark, path)
@@ -85,16 +86,18 @@ def publish_table(
     here = [n.split("=")[1] for n in files.names(spark, f"{path}/v={version}") if n.startswith("bucket=")]
     gone = None if changed is None else {str(b) for b in changed}
     kept = {} if before is None or gone is None else {b: v for b, v in before.parts.items() if b not in gone}
+    node = (before.node if before else "") if node is None else node
     record = Commit(version, position, buckets, node, ts, kept | {b: version for b in here})
     commit(spark, path, record)
     return record
 
 
 def move_position(
-    spark: SparkSession, path: str, position: int, node: str = "", ts: float = 0.0, buckets: int = BUCKETS
+    spark: SparkSession, path: str, position: int, node: str | None = None, ts: float = 0.0, buckets: int = BUCKETS
 ) -> Commit:
-    """Commit a new position (or owner) over an unchanged table."""
+    """Commit a new position or owner over an unchanged table."""
     before = last_commit(spark, path)
+    node = (before.node if before else "") if node is None else node
     record = (
         Commit(1, position, buckets, node, ts)
         if before is None
