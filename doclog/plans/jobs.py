@@ -20,7 +20,7 @@ from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
 from doclog.operators.routing import classify_requests, route_requests
 from doclog.operators.shaping import log_rows
 from doclog.sources import tables
-from doclog.sources.dead_letters import write_dead_letter
+from doclog.sources.dead_letters import SEGMENT_ERROR, write_dead_letter, write_segment_errors
 from doclog.sources.log import last_written, read_manifest, scan_segments, write_segments
 
 SEGMENTS_PER_COMMIT = 10_000
@@ -153,6 +153,8 @@ def replay_target(
             tries += 1
             if tries <= retry:
                 continue
+            row = [(due[0], None, str(e)[:1000], tries, skip_error)]
+            write_segment_errors(spark.createDataFrame(row, SEGMENT_ERROR), table_path)
             if not skip_error:
                 raise SegmentError(f"segment {due[0]} failed {tries} times") from e
             start = tables.move_position(spark, table_path, due[0] + 1, node, time.time(), buckets).position
@@ -187,7 +189,8 @@ def _replay_run(
     if any(f.unknown for f in facts):
         errors = segment_errors(log)
         stopped = None if skip_error else errors.agg(F.min("segment_id")).first()[0]
-        log, _ = apply_error_policy(log, errors, skip_error, retry)
+        log, report = apply_error_policy(log, errors, skip_error, retry)
+        write_segment_errors(report, table_path)
     changed = None if by_query else [f.bucket for f in facts]
     base = tables.read_table(spark, table_path, schema, at, changed) if at else None
 
@@ -208,9 +211,11 @@ def _replay_run(
     if request_retry < 0:
         # Without dead letters a failing request ends its segment, and what follows is judged from the state there.
         failed = split_failures(outcomes(), request_retry)[2]
-        first = failed.orderBy("seq").select("segment_id", "seq").limit(1).collect()
+        first = failed.orderBy("seq").select("segment_id", "seq", "reason").limit(1).collect()
         if first:
-            bad, seq = first[0]
+            bad, seq, reason = first[0]
+            row = [(bad, seq, reason, retry + 1, skip_error)]
+            write_segment_errors(spark.createDataFrame(row, SEGMENT_ERROR), table_path)
             log, end = log.where(F.col("seq") < seq), bad + 1
             stopped = None if skip_error else bad
     elif dead_letter_path is not None:

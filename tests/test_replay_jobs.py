@@ -10,7 +10,7 @@ from doclog.operators.fold import parse_docs
 from doclog.operators.shaping import flatten_bulk, gather_bulks, log_rows, render_requests
 from doclog.plans.jobs import SegmentError, capture_batch, due_segments, replay_target
 from doclog.sources import tables
-from doclog.sources.dead_letters import read_dead_letters
+from doclog.sources.dead_letters import read_dead_letters, read_segment_errors
 from doclog.sources.log import read_manifest, scan_segments, write_segments
 from doclog.sources.requests import read_requests, stream_requests
 from doclog.streaming import capture_stream, replay_stream
@@ -171,6 +171,7 @@ def test_dead_letters_and_bad_segments(spark, tmp_path):
     assert {"1", "5"} <= set(messages(read(spark, stop)))
     assert replay_target(spark, log, t, BODY) == 4
     assert {"1", "5", "8"} <= set(messages(read(spark, t)))
+    assert [tuple(r) for r in read_segment_errors(spark, t).collect()] == [(2, 6, "unknown request type", 11, True)]
 
 
 def test_failures_without_dead_letters_end_their_segment(spark, tmp_path):
@@ -181,6 +182,20 @@ def test_failures_without_dead_letters_end_their_segment(spark, tmp_path):
     capture_batch(request_frame(spark, [request(4, "update", id="1", doc='{"msg": "a"}')]), log, ["sample"], 1)
     assert replay_target(spark, log, t, BODY, request_retry=-1) == 3
     assert messages(read(spark, t)) == {"1": "a"}
+    assert [tuple(r) for r in read_segment_errors(spark, t).collect()] == [(1, 2, "document exists", 11, True)]
+
+
+def test_unreadable_segment_is_tried_alone_then_skipped(spark, tmp_path):
+    log, t = str(tmp_path / "log"), str(tmp_path / "t")
+    for n in range(3):
+        rows = [request(n, "index", id=str(n), doc=doc(n))]
+        capture_batch(request_frame(spark, rows), log, ["sample"], n)
+    (tmp_path / "log/data/batch_id=1/segment_id=2/part-broken.parquet").write_bytes(b"PAR1 not a table PAR1")
+    with pytest.raises(SegmentError):
+        replay_target(spark, log, str(tmp_path / "stop"), BODY, retry=1, skip_error=False)
+    assert replay_target(spark, log, t, BODY, retry=1) == 4
+    assert messages(read(spark, t)) == {"0": "test 0", "2": "test 2"}
+    assert [(r.segment_id, r.tries, r.skipped) for r in read_segment_errors(spark, t).collect()] == [(2, 2, True)]
 
 
 def write_json(path, rows):
