@@ -1,7 +1,7 @@
 """Running totals along the log order without a global window.
 
 Three levels: rows inside a chunk of the order, chunks inside a span of chunks, and spans. Only the last level is
-unpartitioned, and it holds one row per 2**30 consecutive seq values.
+unpartitioned, and it holds one row per 2**26 consecutive seq values.
 """
 
 from __future__ import annotations
@@ -11,7 +11,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from doclog.functions.scale import CHUNK_BITS, chunk_of
+from doclog.functions.scale import chunk_of
+
+ROLL_BITS = 14
+"""Rows are spread by 2**14 consecutive seq values, so writers share a batch and a task holds whole documents of few."""
 
 SPAN_BITS = 12
 
@@ -44,7 +47,7 @@ def combine_two(combine: Callable[[Column], Column], a: Column, b: Column) -> Co
     return F.coalesce(merged, a, b)
 
 
-def running_before(log: DataFrame, values: dict[str, Column], chunk_bits: int = CHUNK_BITS) -> DataFrame:
+def running_before(log: DataFrame, values: dict[str, Column], chunk_bits: int = ROLL_BITS) -> DataFrame:
     """Add `chunk` and, per entry of `values`, its total over all requests with a smaller seq.
 
     The rows are shuffled once, by chunk; a chunk has a bounded number of requests.

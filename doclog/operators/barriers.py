@@ -70,11 +70,11 @@ class Rule:
         return (self.seq, self.item)
 
 
-def by_key(log: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+def by_key(log: DataFrame, keys: Sequence[str] = ("id",), patch: Column | None = None) -> DataFrame:
     """Turn by-query requests for one value of the key into plain requests for that key.
 
     They then need no round of their own. `lenient` marks them: unlike plain updates they do not fail when nothing
-    matches.
+    matches. `patch` is the document an update by query amounts to, by default a struct of the declared fields.
     """
     if len(keys) != 1 or "query" not in log.columns:
         return log
@@ -83,9 +83,11 @@ def by_key(log: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     hit = F.coalesce(
         action.isin(*S.BY_QUERY) & (query["kind"] == "term") & (query["field"] == key), F.lit(False)
     )
-    fields = doc_fields(log)
     none = F.lit(None)
-    patch = F.struct(*[_assigned(F.struct("set"), f, none.cast(f.dataType)).alias(f.name) for f in fields])
+    if patch is None:
+        patch = F.struct(
+            *[_assigned(F.struct("set"), f, none.cast(f.dataType)).alias(f.name) for f in doc_fields(log)]
+        )
     is_update = hit & (action == "update_by_query")
     changes = {
         "action": F.when(is_update, "update").when(hit, "delete").otherwise(action),

@@ -19,6 +19,7 @@ from doclog.operators.barriers import (
     after,
     apply_delete_by_query,
     apply_update_by_query,
+    by_key,
     rounds,
 )
 from doclog.operators.fold import readable, request_outcomes, takes_effect, with_base, with_state
@@ -91,7 +92,7 @@ def _field(name: str) -> Column:
 
 def _literal(text: str) -> Column:
     """A value given as text: JSON if it reads as JSON, else a string."""
-    return F.coalesce(F.try_parse_json(F.lit(text)), F.parse_json(F.to_json(F.lit(text).cast("variant"))))
+    return F.coalesce(F.try_parse_json(F.lit(text)), F.lit(text).cast("variant"))
 
 
 def document_rule(rule: Rule, keys: Sequence[str] = ("id",)) -> Rule:
@@ -124,8 +125,12 @@ def replay_documents_with_queries(
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, outcomes of the keyed requests) of a log that may hold by-query requests.
 
-    By-query requests are taken one after another, with the documents written in between.
+    By-query requests for one key are plain requests; others are taken one after another, with the documents written
+    in between.
     """
+    patch = F.to_json(F.transform_values("set", lambda k, v: F.coalesce(F.try_parse_json(v), v.cast("variant"))))
+    log = by_key(log, keys, patch)
+    own = ~F.col("lenient") if "lenient" in log.columns else F.lit(True)
     state, outcomes, hot = base, [], hot_keys(log, keys)
     for part, rules, last in rounds(log, size):
         keyed, past = part.where(~F.col("action").isin(*S.BY_QUERY)), None
@@ -134,7 +139,7 @@ def replay_documents_with_queries(
             if past is not None:
                 piece = piece.where(after(past))
             past = rule.position
-            outcomes.append(request_outcomes(check_docs(piece), state, keys, hot))
+            outcomes.append(request_outcomes(check_docs(piece), state, keys, hot).where(own))
             state = replay_documents(piece, state, keys, hot)
             if rule.action == "delete_by_query":
                 state = apply_delete_by_query(state, rule.where)
@@ -143,7 +148,7 @@ def replay_documents_with_queries(
             state = materialize(state, "documents")
         if last:
             rest = keyed if past is None else keyed.where(after(past))
-            outcomes.append(request_outcomes(check_docs(rest), state, keys, hot))
+            outcomes.append(request_outcomes(check_docs(rest), state, keys, hot).where(own))
             state = replay_documents(rest, state, keys, hot)
     out = outcomes[0]
     for o in outcomes[1:]:

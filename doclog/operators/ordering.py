@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
-from doclog.functions.prefix import before_chunk, before_seq, running_before
-from doclog.functions.scale import CHUNK_BITS, chunk_of, materialize
+from doclog.functions.prefix import ROLL_BITS, before_chunk, before_seq, running_before
+from doclog.functions.scale import chunk_of, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
@@ -52,7 +52,7 @@ def _has_map(t: T.DataType) -> bool:
 
 
 def roll_by_size(
-    log: DataFrame, max_bytes: int = S.SEGMENT_BYTES, chunk_bits: int = CHUNK_BITS, first: int = 1
+    log: DataFrame, max_bytes: int = S.SEGMENT_BYTES, chunk_bits: int = ROLL_BITS, first: int = 1
 ) -> DataFrame:
     """Add `segment_id`: a request opens a new segment when the bytes before it pass a multiple of the limit.
 
@@ -67,7 +67,7 @@ def roll_by_marker(
     log: DataFrame,
     marker: str = "marker",
     max_bytes: int = S.SEGMENT_BYTES,
-    chunk_bits: int = CHUNK_BITS,
+    chunk_bits: int = ROLL_BITS,
     first: int = 1,
 ) -> DataFrame:
     """Add `segment_id`: rows with `marker` set close the segment and are no requests themselves; size cuts too.

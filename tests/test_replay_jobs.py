@@ -122,6 +122,22 @@ def test_gap_and_explicit_position(spark, tmp_path):
     assert due_segments(manifest, 1, 5000, 2) == [1, 4]
 
 
+def test_capture_numbers_by_arrival_and_cuts_at_markers(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for batch in range(2):
+        rows = [request(None, "index", id=str(i), doc=doc(i)) for i in range(20)] + [request(None, "refresh")]
+        frame = request_frame(spark, rows).withColumn("n", F.monotonically_increasing_id())
+        frame = frame.withColumns({
+            "marker": F.col("action") == "refresh",
+            "at": F.when(F.col("action") == "refresh", 7.5).otherwise(F.col("id").cast("double")),
+        }).orderBy(F.rand(3))
+        capture_batch(frame, log, ["sample"], batch, order_by=["at"])
+    got = scan_segments(spark, log).orderBy("seq").collect()
+    assert [int(r.id) for r in got] == list(range(20)) * 2
+    assert [r.segment_id for r in got] == [1] * 8 + [2] * 12 + [3] * 8 + [4] * 12
+    assert len({r.seq for r in got}) == 40
+
+
 def test_rejected_and_passed(spark, tmp_path):
     mixed = [{"action": "delete", "index": i, "type": "doc", "id": "1", "doc": None} for i in ("sample", "other")]
     rows = [
