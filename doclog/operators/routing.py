@@ -29,8 +29,8 @@ def filter_targets(reqs: DataFrame, targets: Iterable[str] | DataFrame) -> DataF
 
 def route_bulk(reqs: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Add `route`: pass when no item is aimed at a target, capture when all are, reject a mixture."""
-    hits = F.size(F.filter("items", lambda x: is_target(x["index"], targets)))
-    return reqs.withColumn("route", three_way(hits, F.size("items")))
+    hits = F.array_size(F.filter("items", lambda x: is_target(x["index"], targets)))
+    return reqs.withColumn("route", three_way(hits, F.array_size("items")))
 
 
 def route_items(rows: DataFrame, targets: Sequence[str]) -> DataFrame:
@@ -43,21 +43,21 @@ def route_items(rows: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 def route_by_query(reqs: DataFrame, targets: Sequence[str]) -> DataFrame:
     """The same rule over the list of indices a by-query request names; an empty list passes."""
-    hits = F.size(F.filter("indices", lambda x: is_target(x, targets)))
-    return reqs.withColumn("route", three_way(hits, F.size("indices")))
+    hits = F.array_size(F.filter("indices", lambda x: is_target(x, targets)))
+    return reqs.withColumn("route", three_way(hits, F.array_size("indices")))
 
 
 def route_requests(reqs: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Route every kind at once: bulks by their items, by-query requests by their list, the rest by index name."""
-    bulk = F.size(F.filter("items", lambda x: is_target(x["index"], targets)))
-    listed = F.size(F.filter("indices", lambda x: is_target(x, targets)))
+    bulk = F.array_size(F.filter("items", lambda x: is_target(x["index"], targets)))
+    listed = F.array_size(F.filter("indices", lambda x: is_target(x, targets)))
     one = is_target(F.col("index"), targets).cast("int")
     action = F.col("action")
 
     def by_kind(of_bulk: Column, of_list: Column, of_one: Column) -> Column:
         return F.when(action == "bulk", of_bulk).when(action.isin(*S.BY_QUERY), of_list).otherwise(of_one)
 
-    route = three_way(by_kind(bulk, listed, one), by_kind(F.size("items"), F.size("indices"), F.lit(1)))
+    route = three_way(by_kind(bulk, listed, one), by_kind(F.array_size("items"), F.array_size("indices"), F.lit(1)))
     return reqs.withColumn("route", route)
 
 
@@ -82,7 +82,7 @@ def detect_renew(
     """
     cuts = [name if ":" in name else S.ADMIN_PREFIX + name for name in renew_actions]
     aimed = F.arrays_overlap("indices", F.array(*[F.lit(t) for t in targets]).cast("array<string>"))
-    everywhere = F.col("indices").isNull() | (F.size("indices") == 0)
+    everywhere = F.col("indices").isNull() | (F.array_size("indices") == 0)
     return actions.withColumn(
         "renew", F.col("name").isin(*cuts) & (everywhere | F.coalesce(aimed, F.lit(False)))
     )

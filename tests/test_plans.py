@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from doclog.operators.barriers import replay_with_queries
 from doclog.functions.scale import hot_keys
 from doclog.operators.fold import parse_docs, replay, replay_writes, with_state
+from doclog.operators.documents import replay_documents
+from doclog.operators.routing import route_requests
 from doclog.plans import derived_logs as D
 from doclog.plans.jobs import capture_batch
 from doclog.sources.log import scan_segments
 from conftest import SF
+from helpers import request, request_frame
 
 
 def plan(df):
@@ -90,3 +93,23 @@ def test_hot_keys_are_found(spark):
 def test_no_query_request_means_no_round(spark):
     log = D.barrier_log(spark, SF, [])
     assert "epoch" not in plan(replay_with_queries(log))
+
+
+def test_documents_are_shuffled_once(spark):
+    text = plan(replay_documents(D.event_requests(spark, SF), hot=[]))
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_without_ansi_mode(spark):
+    """Sizes of missing arrays and bad casts must not change results in sessions that are lenient about them."""
+    rows = [
+        request(1, "bulk", index=None, items=None),
+        request(2, "delete_by_query", index=None, indices=None),
+        request(3, "index", id="1", doc='{"msg": "a"}'),
+    ]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = {r.seq: r.route for r in route_requests(request_frame(spark, rows), ["sample"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert got == {1: "pass", 2: "pass", 3: "capture"}
