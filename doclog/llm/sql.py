@@ -1,0 +1,12 @@
+"""The queries that SQL can express, for DuckDB."""
+
+ORACLE = {
+    "op1_exact_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+        FROM t WINDOW same AS (PARTITION BY norm)
+    """,
+}
