@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,10 +21,30 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_CHUNK = 1 << 14
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Spark send this library's code to the executors, once per application; they may not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_doclog_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if not os.path.isdir(package):  # itself in an archive that was sent
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="doclog-code-"), "doclog.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("doclog", os.path.relpath(path, package)))
+    sc.addPyFile(archive)
+    sc._doclog_shipped = True
+
+
 class Scratch:
     """Tables of one job in the shared folder. They cut lineage, survive lost executors and go once superseded."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/doclog-{name}-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}

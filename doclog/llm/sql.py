@@ -9,4 +9,77 @@ ORACLE = {
                doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY norm)
     """,
+    "op7_line_rules": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host
+            FROM documents
+        ),
+        w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+        win AS (
+            SELECT rid, i, array_to_string(list_slice(words, i, i + 7), ' ') AS win
+            FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM w)
+        ),
+        twice AS (
+            SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM win) WHERE n > 1
+        ),
+        rep AS (
+            SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY rid
+        ),
+        ln AS (
+            SELECT rid, host, text, line,
+                   lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
+            FROM (SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ),
+        dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY rid),
+        freq AS (SELECT host, norm FROM ln GROUP BY host, norm HAVING count(DISTINCT text) > 30),
+        lost AS (
+            SELECT rid, sum(len(string_split(norm, ' '))) AS n FROM ln JOIN freq USING (host, norm) GROUP BY rid
+        ),
+        f AS (
+            SELECT d.doc_id, len(words)::BIGINT AS n_words,
+                   length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+                   (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                   coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+                   coalesce(lost.n, 0)::BIGINT AS n_lost_words
+            FROM d JOIN w USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN lost USING (rid)
+        )
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+               AND NOT (n_lost_words > 0
+                        AND (100 * n_lost_words > 50 * n_words OR n_words - n_lost_words < 20)) AS kept
+        FROM f
+    """,
+    "op10_revisits": r"""
+        WITH p AS (
+            SELECT page_id, regexp_replace(url, '#.*$', '') AS plain, '"' || md5(html) || '"' AS tag,
+                   sha1(html) AS digest, strlen(html) AS bytes, page_id * 60 AS sent
+            FROM pages
+        ),
+        k AS (
+            SELECT *, regexp_replace(regexp_replace(regexp_replace(
+                       lower(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^.*@', ''),
+                       '^www[0-9]*[.]', ''), ':(80|443)$', '')
+                   || coalesce(nullif(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*(.*)$', 1), ''), '/') AS key
+            FROM p
+        ),
+        r AS (
+            SELECT a.page_id, a.key, a.sent + 86400 AS date,
+                   CASE a.page_id % 3 WHEN 2 THEN '"other"' ELSE a.tag END AS bare,
+                   CASE a.page_id % 3 WHEN 0 THEN a.tag WHEN 1 THEN 'W/' || a.tag ELSE '"other"' END AS tag,
+                   max(b.page_id) AS last
+            FROM k a LEFT JOIN k b
+              ON a.key = b.key AND (b.sent < a.sent + 86400
+                                    OR b.sent = a.sent + 86400 AND b.page_id * 2 < a.page_id * 2 + 1)
+            GROUP BY ALL
+        )
+        SELECT r.page_id * 2 + 1 AS record_id, r.key AS url_key, r.date,
+               CASE WHEN s.page_id IS NULL THEN 'no response' WHEN s.tag = r.bare THEN 'resolved'
+                    ELSE 'validator differs' END AS outcome,
+               CASE WHEN s.tag = r.bare THEN s.page_id * 2 END AS response_id,
+               CASE WHEN s.tag = r.bare THEN s.digest END AS digest,
+               CASE WHEN s.tag = r.bare THEN 'cache-control=max-age=120;content-length=' || s.bytes
+                   || ';content-type=text/html;date=' || r.date || ';etag=' || r.tag END AS headers
+        FROM r LEFT JOIN k s ON s.page_id = r.last
+    """,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
 from .vocab import open_tokenizer, pieces
 
 #: Bytes of text that are encoded together, and pieces whose lengths are remembered.
@@ -80,6 +81,7 @@ def count_tokens(
     Null texts count as empty. Ids may be null or repeat; each row depends on itself only and nothing is shuffled. Other
     columns are ignored.
     """
+    ship(docs.sparkSession)
     counted = docs.select(
         id_col,
         F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
 from .vocab import Memo, open_tokenizer, pieces
 
 #: Characters that one output batch holds at most, unless a single text is longer.
@@ -220,6 +221,7 @@ def encode_decode(
     only, so there is no shuffle, and rows that repeat or tie need no rule. Texts of any length are encoded in bounded
     windows; output leaves in batches of bounded size.
     """
+    ship(docs.sparkSession)
     keep = [c for c in docs.columns if c not in (text_col, "ids", "decoded")] if keep is None else keep
     added = [T.StructField("ids", T.BinaryType()), *([T.StructField("decoded", T.StringType())] if decode else [])]
     schema = T.StructType([*(docs.schema[c] for c in keep), *added])
