@@ -17,6 +17,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 #: Rounds of scoring; different seeds that a pattern needs; the least confidence of a pattern and of an instance.
 ROUNDS, MIN_SEEDS, CONFIDENT = 3, 5, 0.8
+#: Discovered words that are sent to the tasks.
+FEW = 50_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -240,13 +242,39 @@ def find_personal_data(
     )
 
 
+def _hidden(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
+    out, last = [], 0
+    for start, kind, end in sorted(spans):
+        if start >= last:
+            out += [text[last:start], f"<{KINDS[kind].upper()}>"]
+        last = max(last, end)
+    return "".join(out) + text[last:] if out else text
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with each span in `text_col` replaced by its kind in angle brackets; other columns stay as they are.
 
-    Spans that overlap go together under the kind of the first. Null texts stay null.
+    Spans that overlap go together under the kind of the first. Null texts stay null. Up to FEW discovered words are
+    sent with the function, and no text is moved; with more, the spans are joined to the texts.
     """
-    marked = find_personal_data(docs, id_col, text_col, keep=docs.columns)
-    schema = docs.schema
+    spark, schema = docs.sparkSession, docs.schema
+    scratch = Scratch(spark, "pii")
+    found = _discovered(scratch, scratch.save(_scanned(docs, text_col, [])))
+    few = found.limit(FEW + 1).collect()
+    known = {r["value"]: r["kind"] for r in few} if len(few) <= FEW else None
+    source = docs if known is not None else find_personal_data(docs, id_col, text_col, keep=docs.columns)
+
+    def spans_of(text: str | None, given: tuple | None) -> list[tuple[int, int, int]]:
+        if given is not None:
+            return [(s["start"], s["kind"], s["end"]) for part in given for s in part]
+        base = base_spans(text or "")
+        if not known:
+            return base
+        return base + [
+            (start, known[value], end)
+            for start, end, kind, value, _ in instances(text or "", base)
+            if kind is None and value in known
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -255,16 +283,12 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                texts = []
-                spans = [b + a for b, a in zip(*(batch.column(c).to_pylist() for c in ("base_spans", "added_spans")))]
-                for text, found in zip(batch.column(text_col).to_pylist(), spans):
-                    out, last = [], 0
-                    for s in sorted(found, key=lambda s: (s["start"], s["kind"])):
-                        if s["start"] >= last:
-                            out += [text[last : s["start"]], f"<{KINDS[s['kind']].upper()}>"]
-                        last = max(last, s["end"])
-                    texts.append("".join(out) + text[last:] if out else text)
+                texts = batch.column(text_col).to_pylist()
+                given = [None] * len(texts)
+                if known is None:
+                    given = zip(*(batch.column(c).to_pylist() for c in ("base_spans", "added_spans")))
+                texts = [_hidden(t, spans_of(t, g)) for t, g in zip(texts, given)]
                 columns = [pa.array(texts, f.type) if f.name == text_col else batch.column(f.name) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return marked.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
