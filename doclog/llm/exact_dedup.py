@@ -69,7 +69,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             "_id", "_sha", F.col("_id").alias("_keep"), F.lit(1).cast("long").alias("_n")
         )
     ]
-    level = scratch.save(_split(cut.join(groups, "_digit"), width), "_done")
+    # A sort-merge join at every size: its skewed partitions are split, and the disk it needs follows the input.
+    level = scratch.save(_split(cut.join(groups.hint("merge"), "_digit"), width), "_done")
     while True:
         found.append(level.where("_done").select("_id", "_sha", "_keep", "_n"))
         active = level.where("NOT _done")
