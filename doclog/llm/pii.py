@@ -17,6 +17,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 #: Rounds of scoring; different seeds that a pattern needs; the least confidence of a pattern and of an instance.
 ROUNDS, MIN_SEEDS, CONFIDENT = 3, 5, 0.8
+#: Characters to each side in which the words of a context are looked for, one after the other.
+CONTEXT = 64
 #: Discovered words that are sent to the tasks.
 FEW = 50_000
 
@@ -71,17 +73,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _word_before(text: str, at: int) -> tuple[str, int]:
-    end = at
-    while end > 0 and text[end - 1] in _SPACES:
+    """The word that ends before `at`, or its last characters, and where it begins."""
+    end, least = at, max(0, at - CONTEXT)
+    while end > least and text[end - 1] in _SPACES:
         end -= 1
-    start = end
-    while start > 0 and text[start - 1] not in _SPACES:
+    start, least = end, max(0, end - CONTEXT)
+    while start > least and text[start - 1] not in _SPACES:
         start -= 1
     return text[start:end], start
 
 
 def _word_after(text: str, at: int) -> str:
-    m = _TOKEN.search(text, at)
+    m = _TOKEN.search(text, at, at + CONTEXT)
     return m.group() if m else ""
 
 
@@ -111,8 +114,7 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int
         yield start, end, kind, text[start:end], _patterns(text, start, end, "", start)
     if not _MARK.search(text):
         return
-    covered = [(s, e) for s, _, e in base]
-    at = 0
+    at = covered = reach = 0  # covered: spans that begin before the end of the word at hand; reach: where they end
     for mark in _MARK.finditer(text):
         if mark.start() < at:
             continue
@@ -130,7 +132,10 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int
         while end > start and text[end - 1] in ",.;:!?)]>\"'":
             end -= 1
         value = text[start:end]
-        if len(value) < 6 or len(_MARK.findall(value)) < 2 or any(s < end and start < e for s, e in covered):
+        while covered < len(base) and base[covered][0] < end:
+            reach = max(reach, base[covered][2])
+            covered += 1
+        if len(value) < 6 or reach > start or len(_MARK.findall(value)) < 2:
             continue
         if not key:
             one, before = _word_before(text, start)
