@@ -19,11 +19,13 @@ _OFFSETS = [(a, b) for b in range(2, SPAN + 1) for a in range(1, b)]
 #: Character classes; a table of subsequences has _CLASSES ** 3 entries.
 _CLASSES = 64
 #: Labelled texts that a model is fitted on at most, by label, and words of each kind.
-MAX_TOXIC, MAX_CLEAN, MAX_WORDS = 2_000, 16_000, 1_500
-LANDMARKS = 64
+MAX_TOXIC, MAX_CLEAN, MAX_WORDS = 2_000, 8_000, 1_500
+LANDMARKS, RIDGE = 128, 1e-6
 #: Characters scored at a time; a longer run without white space is cut there.
 STRETCH = 1 << 20
 STEEPNESS = 6.0
+#: Times that the share of toxic texts with a witness is that of clean ones at least.
+ODDS = 50
 #: Rounds in which clean words that score high are added.
 ROUNDS = 2
 
@@ -159,12 +161,12 @@ def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float
     k = np.stack([_kernel(words, z) for z in chosen], axis=1).astype(np.float64)
     gram = np.array([[float(a @ b) for b in chosen] for a in chosen])
     values, vectors = np.linalg.eigh(gram)
-    good = values > 1e-4 * values[-1]
+    good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
     x = np.hstack([k @ root, np.ones((len(words), 1))])
     w = np.zeros(x.shape[1])
-    ridge = np.full(len(w), 1e-4)
-    ridge[-1] = 1e-8
+    ridge = np.full(len(w), RIDGE)
+    ridge[-1] = RIDGE / 1e4
     for _ in range(30):
         active = y * (x @ w) < 1
         d = weight * active
@@ -185,20 +187,19 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
 
-def _one_of_each(sample: DataFrame, seed: int) -> DataFrame:
-    """One text of those that share the smallest hash of their long words, as copies and near copies do."""
+def _one_of_each(sample: DataFrame) -> DataFrame:
+    """One text of those that share the smallest hashes of their long words, as copies and most near copies do."""
     words = F.filter(F.transform(F.split("_text", SPACE), _bare), lambda w: F.length(w) > 7)
-    sketch = F.coalesce(F.array_min(F.transform(words, lambda w: F.xxhash64(w, F.lit(seed)))), F.xxhash64("_text"))
-    return sample.groupBy(sketch.alias("_same")).agg(
-        F.max("_toxic").alias("_toxic"), F.min("_text").alias("_text")
-    )
+    rows = sample.withColumn("_long", words)
+    least = [F.array_min(F.transform("_long", lambda w, k=k: F.xxhash64(w, F.lit(k)))) for k in (1, 2)]
+    same = [F.coalesce(h, F.xxhash64("_text")).alias(f"_same{k}") for k, h in enumerate(least)]
+    return rows.groupBy(*same).agg(F.max("_toxic").alias("_toxic"), F.min("_text").alias("_text"))
 
 
 def _units(word: Column) -> Column:
-    """The word and its stems of four and five characters."""
-    return F.filter(
-        F.array(F.concat(F.lit("w "), word), F.substring(word, 1, 4), F.substring(word, 1, 5)), lambda u: F.length(u) > 3
-    )
+    """The word, and its stems of some lengths with a dash."""
+    stems = (F.when(F.length(word) >= n, F.concat(F.substring(word, 1, n), F.lit("-"))) for n in (5, 6, 8))
+    return F.array_compact(F.array(word, *stems))
 
 
 def _rare_by_chance(toxic: int, clean: int, words: int) -> int:
@@ -228,35 +229,35 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(
         F.broadcast(few), "_id"
     )
-    sample = scratch.save(_one_of_each(_one_of_each(sample, 1), 2).select("_toxic", "_text"))
+    sample = scratch.save(_one_of_each(sample).select("_toxic", "_text"))
     sizes = {r["_toxic"]: r["count"] for r in sample.groupBy("_toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return Model()
 
     split = F.array_distinct(F.transform(F.split("_text", SPACE), _bare))
-    words = sample.select("_toxic", F.monotonically_increasing_id().alias("_text_id"), F.explode(split).alias("word"))
-    words = words.where(F.length("word").between(3, 40))
-    counts = scratch.save(
-        words.groupBy("word").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("c"))
-    )
-    units = scratch.save(
-        words.select("_toxic", "_text_id", F.explode(_units(F.col("word"))).alias("unit"))
-        .distinct()
-        .groupBy("unit")
-        .agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("c"))
-    )
+    texts = sample.select("_toxic", F.filter(split, lambda w: F.length(w).between(3, 40)).alias("_words"))
+
+    def tally(column: Column, name: str) -> DataFrame:
+        each = texts.select("_toxic", F.explode(column).alias(name))
+        return scratch.save(
+            each.groupBy(name).agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("c"))
+        )
+
+    counts = tally(F.col("_words"), "word")
+    units = tally(F.array_distinct(F.flatten(F.transform("_words", _units))), "unit")
     mixed = F.xxhash64("word")
 
     def some(rows: DataFrame, *by: Column, n: int = MAX_WORDS) -> list:
         return rows.orderBy(*by, mixed).limit(n).collect()
 
     # Labels may be wrong now and then, so a few clean texts do not clear a unit of many toxic ones.
+    mostly = F.col("c") / n_clean * ODDS <= F.col("t") / n_toxic
     least = _rare_by_chance(n_toxic, n_clean, units.count())
-    suspect = units.where((F.col("t") >= least) & (F.col("c") * 50 <= F.col("t"))).select("unit")
-    held = counts.where(F.col("c") * 50 <= F.col("t")).select("word", "t", F.explode(_units(F.col("word"))).alias("unit"))
+    suspect = units.where((F.col("t") >= least) & mostly).select("unit")
+    held = counts.where(mostly).select("word", "t", F.explode(_units(F.col("word"))).alias("unit"))
     witness = held.join(suspect, "unit").groupBy("word").agg(F.max("t").alias("t"))
-    positive = {r.word: float(r.t) for r in some(witness, F.desc("t"))}
+    positive = {r.word: float(r.t) ** 0.5 for r in some(witness, F.desc("t"))}
     clean = counts.where(F.col("c") * 10 > F.col("t"))
     negative = {r.word: 1.0 for r in some(clean, F.desc("c")) + some(clean.where("c < 3"))}
     if not positive or not negative:
