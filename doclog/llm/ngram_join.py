@@ -23,6 +23,9 @@ LEAST_ESTIMATE = 0.6
 #: Documents, and n-grams, that a block of a group holds on average at most.
 BLOCK_DOCS, BLOCK_GRAMS = 384, 1 << 20
 
+#: Bytes of a text whose words are hashed together.
+STRETCH = 1 << 20
+
 _U = np.uint64
 _P, _Q = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _P_INVERSE = _U(pow(int(_P), -1, 1 << 64))
@@ -69,9 +72,7 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
-def shingles(text: str, n: int = N) -> np.ndarray:
-    """The set of 64-bit hashes of `n` successive words, sorted; of all words where there are fewer."""
-    data = np.frombuffer(text.encode(), np.uint8)
+def _word_hashes(data: np.ndarray) -> np.ndarray:
     space = _SPACE[data]
     edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
@@ -79,7 +80,23 @@ def shingles(text: str, n: int = N) -> np.ndarray:
         return np.zeros(0, _U)
     up, down = _Powers.of(len(data))
     running = np.concatenate((np.zeros(1, _U), np.cumsum(_BYTE[data] * up)))
-    words = _mixed((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(_U))
+    return _mixed((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
+def shingles(text: str, n: int = N) -> np.ndarray:
+    """The set of 64-bit hashes of `n` successive words, sorted; of all words where there are fewer."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes, at = [], 0
+    while at < len(data):  # a stretch at a time, cut at white space
+        end = at + STRETCH
+        while end < len(data) and not (cut := np.flatnonzero(_SPACE[data[end : end + STRETCH]])).size:
+            end += STRETCH
+        end = end + int(cut[0]) if end < len(data) else len(data)
+        hashes.append(_word_hashes(data[at:end]))
+        at = end
+    words = np.concatenate(hashes) if hashes else np.zeros(0, _U)
+    if not len(words):
+        return words
     width = min(n, len(words))
     grams = np.zeros(len(words) - width + 1, _U)
     for k in range(width):
@@ -103,7 +120,7 @@ def _band_hashes(signature_: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-_SIGNED = "same long, digest binary, grams int, signature array<int>, bands array<long>"
+_SIGNED = "digest binary, grams int, signature array<int>, bands array<long>"
 
 
 def _signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
@@ -136,7 +153,7 @@ def _signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 )
 
     kind = docs.schema["_id"].dataType.simpleString()
-    schema = f"_id {kind}, _same long, {_SIGNED.removeprefix('same long, ')}"
+    schema = f"_id {kind}, _same long, {_SIGNED}"
     return docs.select("_id", "_same", "_text").mapInArrow(run, schema)
 
 
@@ -152,7 +169,7 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     keep = shared[column]
     column, owner = (np.cumsum(shared) - 1)[column[keep]], owner[keep]
     out = np.zeros((len(left), len(right)), np.float32)
-    width = max(256, (1 << 22) // len(sets))
+    width = min(max(256, (1 << 22) // len(sets)), int(shared.sum()) + 1)
     cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width + 1, width))
     for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
@@ -204,11 +221,12 @@ def _cell(rows: list[tuple], numerator: int, denominator: int) -> tuple[list[int
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """A row per row of `docs`: `id_col`, class_id, n_links, rep_id, n_copies.
+    """A row per row of `docs`: `id_col`, class_id, n_links, rep_id, n_copies, text_hash, kept.
 
     Two documents are linked when the Jaccard similarity of their sets of `n` successive words is `threshold` or more.
     class_id is the smallest id that can be reached over links; n_links counts the documents linked to this one; rep_id
-    is the smallest id with the same n-gram set, of which there are n_copies.
+    is the smallest id with the same n-gram set, of which there are n_copies. text_hash (64 bits) tells rows of one id
+    apart; kept marks the document of class_id, or all that are linked to nothing.
 
     1. Each text gives its set, a MinHash signature and band hashes; `choose_bands` takes bands and rows for the recall.
     2. Documents of the same set become one class, with partial aggregation, so copies cost nothing from here on.
@@ -291,13 +309,16 @@ def near_duplicates(
     links = verified.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = components(scratch, verified.select(F.col("root").alias("a"), F.col("cls").alias("b")))
 
-    known = classes.select("cls", "digest", "copies", "rep").join(links, "cls", "left").join(
+    known = classes.select("cls", "digest", "copies", "rep", "rep_same").join(links, "cls", "left").join(
         roots.select(F.col("id").alias("cls"), "root"), "cls", "left"
     ).withColumn("root", F.coalesce("root", "cls"))
     known = scratch.save(known)
-    least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    labelled = known.join(least, "root").select("digest", "copies", "rep", "class_id", "links")
-    out = signed.select("_id", "digest").join(labelled, "digest", "left")
+    least = known.groupBy("root").agg(
+        F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "rep_same")).alias("least")
+    )
+    least = least.select("root", F.col("least.rep").alias("class_id"), F.col("least.rep_same").alias("class_same"))
+    labelled = known.join(least, "root").select("digest", "copies", "rep", "class_id", "class_same", "links")
+    out = signed.select("_id", "_same", "digest").join(labelled, "digest", "left")
     none = F.col("digest").isNull()
     return out.select(
         F.col("_id").alias(id_col),
@@ -305,6 +326,8 @@ def near_duplicates(
         F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.when(none, F.col("_id")).otherwise(F.col("rep")).alias("rep_id"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.col("_same").alias("text_hash"),
+        (none | F.col("_id").eqNullSafe(F.col("class_id")) & (F.col("_same") == F.col("class_same"))).alias("kept"),
     )
 
 

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
 
 from compare import connect, difference  # noqa: E402
 from conftest import SF  # noqa: E402
-from llm_data import near_links, normal  # noqa: E402
+from llm_data import PROSE, docs, near_links, normal  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from doclog.llm import queries, sql, toxicity  # noqa: E402
@@ -90,3 +90,21 @@ def test_pipeline(spark):
             assert set(got) == set(left) and any("<EMAIL>" in t for t in got.values())
             left = got
         assert got == left
+
+
+def test_stages_keep_clean_rows_with_nulls_and_repeats(spark):
+    rows = [(1, PROSE), (1, PROSE), (1, "another text of the same id, which is kept as it is"), (2, PROSE + " again")]
+    rows += [(None, PROSE + " and"), (None, "a clean text without an id"), (3, None), (4, ""), (5, "a  b"), (6, "a b")]
+    table = docs(spark, rows)
+    out = corpus_pipeline.exact(spark, table, SMALL)
+    assert out.columns == table.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(
+        {x for x in rows if x not in [(4, ""), (6, "a b")]}, key=repr
+    )
+    out = corpus_pipeline.near(spark, out, SMALL)
+    left = [(1, PROSE), (1, "another text of the same id, which is kept as it is"), (None, "a clean text without an id")]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted([*left, (3, None), (5, "a  b")], key=repr)
+    out = corpus_pipeline.private(spark, out, SMALL)
+    assert out.columns == table.columns and out.count() == 5
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs(spark, []), SMALL).count() == 0
