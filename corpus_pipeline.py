@@ -9,16 +9,6 @@ from doclog.llm import exact_dedup, ngram_join, packing, pii, toxicity
 from doclog.llm.common import Scratch, normal_space
 
 
-def _chosen(docs: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-    """Rows of `docs` whose doc_id, null or not, is in `chosen` (left_semi) or is not (left_anti)."""
-    ids = chosen.select(F.col("doc_id").alias("_chosen"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_chosen"]), how)
-
-
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic. Each is scored by itself, so rows that repeat share their fate."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -38,15 +28,17 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies."""
-    found = ngram_join.near_duplicates(docs)
-    return _chosen(docs, found.where("NOT doc_id <=> class_id").distinct(), "left_anti")
+    """The document with the smallest doc_id of each group of near copies; of one id, one text."""
+    gone = ngram_join.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone"), "text_hash")
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    same = docs["doc_id"].eqNullSafe(gone["_gone"]) & (text == gone["text_hash"])
+    return docs.join(gone, same, "left_anti")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind, n_chars of the new text."""
-    hidden = pii.redact(docs)
-    return hidden.withColumn("n_chars", F.char_length("text").cast("long")).select(*_columns(docs))
+    """All documents, personal data replaced by its kind, n_chars of the new text; null texts keep theirs."""
+    length = F.coalesce(F.char_length("text").cast("long"), "n_chars")
+    return pii.redact(docs).withColumn("n_chars", length)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
