@@ -12,6 +12,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -196,7 +197,7 @@ def _rows(batch: pa.RecordBatch, added: dict[str, list], schema: pa.Schema) -> p
 
 def _small(batch: pa.RecordBatch, texts: pa.Array) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Runs of rows that hold about BATCH_CHARS, or one longer row."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     start = size = 0
     for n, length in enumerate(lengths):
         if n > start and size + length > BATCH_CHARS:
