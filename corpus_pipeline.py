@@ -23,7 +23,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated = not found.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty()
     kept = found.where("kept").select(F.col("doc_id").alias("_kept"), "text_sha256")
     same = docs["doc_id"].eqNullSafe(kept["_kept"]) & (key == kept["text_sha256"])
-    out = docs.join(kept, same, "left_semi")
+    out = docs.join(kept.hint("merge"), same, "left_semi")
     return out.dropDuplicates(["doc_id", "text"]) if repeated else out
 
 
@@ -32,7 +32,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = ngram_join.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone"), "text_hash")
     text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     same = docs["doc_id"].eqNullSafe(gone["_gone"]) & (text == gone["text_hash"])
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +54,8 @@ STAGES = [
     ("best-fit packing", packed),
 ]
 
+# The joins of texts are sort-merge joins at every size, so that the disk they need follows the input.
+
 #: A kernel machine, MinHash and a tokenizer are not SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
