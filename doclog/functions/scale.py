@@ -55,13 +55,13 @@ HOT_KEYS = 10_000
 
 
 def hot_keys(log: DataFrame, keys: Sequence[str]) -> list[tuple]:
-    """Keys that probably hold more than HOT_ROWS rows, the largest first, at most HOT_KEYS of them.
+    """Keys that probably hold more than HOT_ROWS rows, the largest first; of more than HOT_KEYS, one beyond it.
 
     Reads the key columns only and shuffles a sample of them. A key just missed is merely worked on as a small one.
     """
     counts = log.select(*keys).sample(SAMPLE, seed=17).groupBy(*keys).count()
     large = counts.where(F.col("count") > HOT_ROWS * SAMPLE).dropna(subset=list(keys))
-    return [tuple(r)[:-1] for r in large.orderBy(F.desc("count")).limit(HOT_KEYS).collect()]
+    return [tuple(r)[:-1] for r in large.orderBy(F.desc("count")).limit(HOT_KEYS + 1).collect()]
 
 
 def by_heat(
@@ -72,11 +72,16 @@ def by_heat(
     hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """`run(rows, None)`, except that hot keys of `log` go through `run(rows, chunk_bits)` on their own."""
+    """`run(rows, None)`, except that hot keys of `log` go through `run(rows, chunk_bits)` on their own.
+
+    With more than HOT_KEYS of them, all keys go through it, so that no key is left to one task whatever their number.
+    """
     keys = list(keys)
     hot = hot_keys(log, keys) if hot is None else hot
     if not hot:
         return run(rows, None)
+    if len(hot) > HOT_KEYS:
+        return run(rows, chunk_bits)
     schema = T.StructType([log.schema[k] for k in keys])
     # At most HOT_KEYS rows, whatever the size of the log.
     listed = F.broadcast(log.sparkSession.createDataFrame(hot, schema))

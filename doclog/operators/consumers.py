@@ -142,7 +142,7 @@ def start_consumer(positions: DataFrame, target: str, node: str, now: Column, po
     )
     owner = positions.select("target", F.col("node_name").alias("owner"))
     busy = (F.trim(F.coalesce("owner", F.lit(""))) != "") & (F.col("owner") != node)
-    message = F.concat(F.lit("Replay is working in "), F.col("owner"))
+    message = F.concat(F.lit("Another node replays this target: "), F.col("owner"))
     return resolve_start(positions, asked).join(owner, "target", "left").select(
         "target",
         F.lit("index").alias("doc_type"),

@@ -47,7 +47,7 @@ def dead_letters(log: DataFrame, failed: DataFrame, target: str) -> DataFrame:
 def segment_errors(log: DataFrame, failures: DataFrame | None = None) -> DataFrame:
     """First request of each segment that stops it (`stop`, its seq): of unknown kind, or one of `failures`."""
     stops = log.where(request_code(F.col("action")) == S.CODE_UNKNOWN).select(
-        "segment_id", "seq", F.lit("unknown request type").alias("reason")
+        "segment_id", "seq", F.lit("kind of request not known").alias("reason")
     )
     if failures is not None:
         stops = stops.unionByName(failures.select("segment_id", "seq", "reason"))
@@ -55,12 +55,12 @@ def segment_errors(log: DataFrame, failures: DataFrame | None = None) -> DataFra
 
 
 def apply_error_policy(
-    log: DataFrame, errors: DataFrame, skip_error: bool = True, retry: int = S.SEGMENT_RETRIES
+    log: DataFrame, errors: DataFrame, skip_error: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(requests that take effect, report of the segments in error).
 
     A segment takes effect up to the request that stops it. With `skip_error` the log goes on with the next segment,
-    otherwise it ends there. `tries` is what is spent on a segment before giving up on it.
+    otherwise it ends there. A request of unknown kind stays so, hence each segment is tried once.
     """
     if not skip_error:
         errors = errors.orderBy("segment_id").limit(1)
@@ -73,7 +73,7 @@ def apply_error_policy(
         "segment_id",
         F.col("stop").alias("seq"),
         "reason",
-        F.lit(retry + 1).alias("tries"),
+        F.lit(1).alias("tries"),
         F.lit(skip_error).alias("skipped"),
     )
     return kept.select(*log.columns), report

@@ -223,14 +223,15 @@ def replay_writes(
 
 
 def apply_index(reqs: DataFrame, base: DataFrame | None = None, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Write whole documents: insert, or replace what is there."""
-    return replay_writes(reqs.where("action = 'index'"), ["seq", "item"], base, keys)
+    """Write whole documents: insert, or replace what is there. Unreadable documents change nothing."""
+    writes = reqs.where("action = 'index'").where(is_valid(reqs))
+    return replay_writes(writes, ["seq", "item"], base, keys)
 
 
 def apply_create(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Insert documents that do not exist yet; the first create of a key wins, later ones fail."""
     keys = list(keys)
-    creates = reqs.where("action = 'create'")
+    creates = reqs.where("action = 'create'").where(is_valid(reqs))
     first = creates.groupBy(*keys).agg(F.min_by("doc", F.struct("seq", "item")).alias("doc"))
     names = [f.name for f in doc_fields(reqs)]
     new = first.join(base.select(*keys), keys, "left_anti").select(*keys, "doc.*")
@@ -241,7 +242,7 @@ def apply_update(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)
     """Merge patches into existing documents, field by field; patches without a document fail."""
     keys = list(keys)
     fields = doc_fields(reqs)
-    updates = reqs.where("action = 'update'")
+    updates = reqs.where("action = 'update'").where(is_valid(reqs))
     at = F.struct("seq", "item")
     latest = [
         F.max_by(

@@ -73,7 +73,7 @@ def retarget(reqs: DataFrame, target: str | None) -> DataFrame:
     if "items" in reqs.columns:
         known = F.forall("items", lambda x: F.coalesce(x["action"].isin(*S.BULK_ITEM_ACTIONS), F.lit(False)))
         moved = F.transform("items", lambda x: x.withField("index", to))
-        message = F.concat(F.lit("Unsupported request in bulk at seq "), F.col("seq").cast("string"))
+        message = F.concat(F.lit("A bulk holds an item that cannot be replayed, seq "), F.col("seq").cast("string"))
         changes["items"] = F.when(F.col("items").isNull() | known, moved).otherwise(
             F.raise_error(message).cast(reqs.schema["items"].dataType)
         )

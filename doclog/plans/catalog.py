@@ -338,6 +338,29 @@ def capture_replay(spark, sf):
     return tables.read_table(spark, f"{root}/sample1", _EVENT_TABLE)
 
 
+def publish_conflict(spark, sf):
+    """Two writers start from one commit; the table holds what the first of them committed."""
+    path, base = _scratch(spark), D.customer_base(spark, sf)
+    first = tables.publish_table(base, path, 1, buckets=8)
+    tables.publish_table(base.withColumn("balance", F.col("balance") + 1), path, 2, base=first)
+    try:
+        tables.publish_table(base.withColumn("balance", F.col("balance") + 2), path, 2, base=first)
+    except tables.CommitConflict:
+        pass
+    return tables.read_table(spark, path, base.schema)
+
+
+def replay_batches(spark, sf):
+    """Events captured in four batches and replayed in runs of one segment."""
+    root, reqs = _scratch(spark), D.event_requests(spark, sf).drop("marker")
+    part = reqs.agg(F.max("seq")).first()[0] // 4 + 1
+    for n in range(4):
+        batch = reqs.where((F.col("seq") >= n * part) & (F.col("seq") < (n + 1) * part))
+        jobs.capture_batch(batch, f"{root}/log", ["sample", "other"], n)
+    jobs.replay_target(spark, f"{root}/log", f"{root}/t", D.EVENT_DOC, max_segments=1, buckets=8)
+    return tables.read_table(spark, f"{root}/t", _EVENT_TABLE)
+
+
 _EVENT_TABLE = T.StructType([T.StructField("id", T.StringType()), *D.EVENT_DOC.fields])
 
 
@@ -417,4 +440,6 @@ QUERIES: dict[str, Query] = {
     "q_capture_replay": capture_replay,
     "t_capture": stream_capture,
     "t_replay": stream_replay,
+    "q_publish_conflict": publish_conflict,
+    "q_replay_batches": replay_batches,
 }

@@ -19,7 +19,7 @@ def start_target(spark: SparkSession, root: str, target: str, node: str, positio
 
     An error when another node owns it. `replay_target(..., node=node)` then works until the owner changes.
     """
-    positions = tables.read_positions(spark, root)
+    positions = tables.read_positions(spark, root, target)
     row = start_consumer(positions, target, node, F.current_timestamp(), position).first()
     tables.move_position(spark, f"{root}/{target}", row.file_position, node, time.time())
     return {"node_name": node, "file_position": row.file_position, "doc_type": row.doc_type}
@@ -27,7 +27,7 @@ def start_target(spark: SparkSession, root: str, target: str, node: str, positio
 
 def stop_target(spark: SparkSession, root: str, target: str, node: str) -> dict:
     """Give a target up: the owner is blanked, the position stays. Only the owner can."""
-    reply = stop_consumer(tables.read_positions(spark, root), target, node).first()
+    reply = stop_consumer(tables.read_positions(spark, root, target), target, node).first()
     if reply.stop:
         path = f"{root}/{target}"
         tables.move_position(spark, path, tables.last_commit(spark, path).position, "", time.time())

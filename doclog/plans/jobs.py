@@ -47,7 +47,8 @@ def capture_batch(
     """Append the requests aimed at `targets` to the log as new segments.
 
     The order is `seq` as given, or a new numbering by `order_by` that goes on after the last request of the log. A
-    boolean column `marker`, if there, cuts segments. A batch already in the log is not written again.
+    batch whose `seq` does not lie behind the log's last is moved there as a whole, so that the order of requests and
+    that of segments are one, and a replay comes out the same however segments are grouped into runs. A boolean column `marker`, if there, cuts segments. A batch already in the log is not written again.
     """
     spark = reqs.sparkSession
     has_marker = "marker" in reqs.columns
@@ -69,6 +70,10 @@ def capture_batch(
         extra = [c for c in order_by if c not in log.columns]
         kept = log.columns
         log = order_log(taken.select(*kept, *extra).drop("seq"), order_by, seq + 1).select(*kept)
+    else:
+        low = log.agg(F.min("seq")).first()[0] if seq >= 0 else None
+        if low is not None and low <= seq:
+            log = log.withColumn("seq", F.col("seq") + (seq + 1 - low))
     if has_marker:
         log = roll_by_marker(log, "marker", max_bytes, first=segment + 1).drop("marker")
     else:
@@ -113,65 +118,86 @@ def replay_target(
     until: int | None = None,
     node: str | None = None,
     buckets: int = tables.BUCKETS,
+    retry_wait: float = S.POLL_SECONDS,
 ) -> int:
     """Bring a target table up to date with the log and return the position reached.
 
     `doc_type` declares the fields of the documents; None keeps them as JSON text in a column `doc`.
 
     Runs of segments are folded as one distributed job each and committed together with the position, so a run is
-    applied exactly once. A run that breaks is repeated in smaller pieces; a single segment that keeps breaking is
-    skipped, or stops the replay when `skip_error` is off. With `node`, the replay ends when the table belongs to
-    somebody else or has been stopped.
+    applied exactly once. Only a segment whose files cannot be read is skipped, or stops the replay when `skip_error`
+    is off, after `retry` more tries with `retry_wait` seconds between; any other error is raised and changes nothing. With
+    `node`, the replay ends when the table belongs to somebody else or has been stopped.
     """
-    at = tables.last_commit(spark, table_path)
-    start = position if position > 0 else (at.position if at else 1)
     size, tries = max_segments, 0
     while True:
-        owner = tables.last_commit(spark, table_path)
+        owner = at = tables.last_commit(spark, table_path)
         if node is not None and owner is not None and owner.node != node:
             return owner.position
+        start = position if position > 0 else (at.position if at else 1)
         manifest = read_manifest(spark, log_path)
         if until is not None:
             manifest = manifest.where(F.col("segment_id") < until)
         due = due_segments(manifest, start, lookup, size)
         if not due:
             if position > 0 and (at is None or at.position != start):
-                tables.move_position(spark, table_path, start, node, time.time(), buckets)
+                tables.move_position(spark, table_path, start, node, time.time(), buckets, at)
             return start
         try:
-            start = _replay_run(
-                spark, log_path, table_path, doc_type, due, dead_letter_path, retry, request_retry, skip_error, node,
-                buckets,
+            _replay_run(
+                spark, log_path, table_path, doc_type, due, dead_letter_path, request_retry, skip_error, node, buckets, at
             )
             size, tries, position = max_segments, 0, 0
-        except SegmentError:
+        except (SegmentError, tables.CommitConflict):
             raise
         except Exception as e:
-            if len(due) > 1:
-                size = len(due) // 2
+            bad = _first_unreadable(spark, log_path, due)
+            if bad is None:
+                raise
+            if bad != due[0]:
+                size = due.index(bad)
                 continue
             tries += 1
             if tries <= retry:
+                time.sleep(retry_wait)
+                size = 1
                 continue
-            row = [(due[0], None, str(e)[:1000], tries, skip_error)]
+            row = [(bad, None, str(e), tries, skip_error)]
             write_segment_errors(spark.createDataFrame(row, SEGMENT_ERROR), table_path)
             if not skip_error:
-                raise SegmentError(f"segment {due[0]} failed {tries} times") from e
-            start = tables.move_position(spark, table_path, due[0] + 1, node, time.time(), buckets).position
+                raise SegmentError(f"segment {bad} failed {tries} times") from e
+            tables.move_position(spark, table_path, bad + 1, node, time.time(), buckets, at)
             size, tries, position = max_segments, 0, 0
 
 
+def _first_unreadable(spark: SparkSession, log_path: str, due: Sequence[int]) -> int | None:
+    """The first of the segments `due` whose files cannot be read, by halves."""
+
+    def readable(some: Sequence[int]) -> bool:
+        try:
+            scan_segments(spark, log_path, some[0], some[-1], check=False).write.format("noop").mode("overwrite").save()
+        except Exception:  # whatever the reader says about a broken file
+            return False
+        return True
+
+    if readable(due):
+        return None
+    while len(due) > 1:
+        half = len(due) // 2
+        due = due[half:] if readable(due[:half]) else due[:half]
+    return due[0]
+
+
 def _replay_run(
-    spark, log_path, table_path, doc_type, due, dead_letter_path, retry, request_retry, skip_error, node, buckets
-) -> int:
-    """Fold one run of segments into the table; the position after it."""
+    spark, log_path, table_path, doc_type, due, dead_letter_path, request_retry, skip_error, node, buckets, at
+) -> None:
+    """Fold one run of segments into the table as it was committed last (`at`)."""
     target = table_path.rstrip("/").rsplit("/", 1)[-1]
     lo, end = due[0], due[-1] + 1
     raw = scan_segments(spark, log_path, lo, due[-1], check=False)
     flat = raw if "in_bulk" in raw.columns else log_rows(raw)
     log = flat if doc_type is None else parse_docs(flat, doc_type)
     schema = table_schema(doc_type)
-    at = tables.last_commit(spark, table_path)
     buckets = at.buckets if at else buckets
 
     # One narrow pass tells what the run needs: at most one row per bucket comes back.
@@ -189,7 +215,7 @@ def _replay_run(
     if any(f.unknown for f in facts):
         errors = segment_errors(log)
         stopped = None if skip_error else errors.agg(F.min("segment_id")).first()[0]
-        log, report = apply_error_policy(log, errors, skip_error, retry)
+        log, report = apply_error_policy(log, errors, skip_error)
         write_segment_errors(report, table_path)
     changed = None if by_query else [f.bucket for f in facts]
     base = tables.read_table(spark, table_path, schema, at, changed) if at else None
@@ -214,7 +240,7 @@ def _replay_run(
         first = failed.orderBy("seq").select("segment_id", "seq", "reason").limit(1).collect()
         if first:
             bad, seq, reason = first[0]
-            row = [(bad, seq, reason, retry + 1, skip_error)]
+            row = [(bad, seq, reason, 1, skip_error)]
             write_segment_errors(spark.createDataFrame(row, SEGMENT_ERROR), table_path)
             log, end = log.where(F.col("seq") < seq), bad + 1
             stopped = None if skip_error else bad
@@ -224,7 +250,6 @@ def _replay_run(
 
     if stopped is not None:
         end = stopped
-    tables.publish_table(fold(), table_path, end, ["id"], changed, buckets, node, time.time())
+    tables.publish_table(fold(), table_path, end, ["id"], changed, buckets, node, time.time(), at)
     if stopped is not None:
         raise SegmentError(f"segment {stopped} cannot be applied")
-    return end

@@ -274,7 +274,7 @@ ORACLE: dict[str, str] = {
         kept AS (SELECT noop.* FROM noop LEFT JOIN bad USING (segment_id) WHERE bad.seq IS NULL OR noop.seq < bad.seq)""",
         outcomes("kept"), state("o", "s"), final="SELECT * FROM s"),
     "q_segment_errors": sql(REQ, ROLLED, BAD, final="""
-        SELECT segment_id, seq, 'unknown request type' AS reason, 11 AS tries, true AS skipped FROM bad"""),
+        SELECT segment_id, seq, 'kind of request not known' AS reason, 1 AS tries, true AS skipped FROM bad"""),
     "q_delete_by_query": sql(REQ,
         seeded("seq < 4999", "(SELECT NULL AS id, NULL AS value, NULL AS k WHERE false)", "r1"),
         outcomes("r1", "o1"), state("o1", "s2"), _cut,
@@ -289,4 +289,6 @@ ORACLE: dict[str, str] = {
         outcomes("taken"), state("o", "s"), final="SELECT * FROM s"),
     "t_capture": sql(REQ, DOCS, final="SELECT seq, item, action, index, id, doc FROM req_doc WHERE index = 'sample'"),
     "t_replay": sql(REQ, outcomes("req"), state("o", "s"), final="SELECT * FROM s"),
+    "q_publish_conflict": "SELECT c_custkey AS id, c_acctbal + 1 AS balance FROM customer",
+    "q_replay_batches": sql(REQ, outcomes("req"), state("o", "s"), final="SELECT * FROM s"),
 }

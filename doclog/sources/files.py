@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -22,14 +24,36 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    fs, p = _open(spark, pattern)
+    return len(fs.globStatus(p) or ()) > 0
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; an error when it is there already."""
+    """Create a small file, whole or not at all; an error when it is there already."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     fs, p = _open(spark, path)
-    out = fs.create(p, False)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    _, draft = _open(spark, f"{folder}/_draft-{uuid.uuid4().hex}-{name}")
+    out = fs.create(draft, False)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(p).toUri(), conf)
+    keep_both = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(p), keep_both)
+    except Exception:
+        fs.delete(draft, False)
+        raise
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a directory, if it is there."""
+    fs, p = _open(spark, path)
+    fs.delete(p, True)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

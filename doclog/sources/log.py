@@ -32,7 +32,7 @@ def write_segments(log: DataFrame, path: str, batch_id: int, arranged: bool = Fa
     )
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in log.schema.fields])
     stats = segment_stats(spark.read.schema(schema).parquet(data)).withColumn("finished_at", F.current_timestamp())
-    stats.coalesce(1).write.mode("overwrite").json(f"{path}/manifest/batch_id={batch_id}")
+    stats.write.mode("overwrite").json(f"{path}/manifest/batch_id={batch_id}")
     return read_manifest(spark, path).where(F.col("batch_id") == batch_id)
 
 
@@ -83,5 +83,5 @@ def scan_segments(
     if not check:
         return rows
     known = F.coalesce(request_code(F.col("action")) != S.CODE_UNKNOWN, F.lit(False))
-    message = F.concat(F.lit("Unknown request type at seq "), F.col("seq").cast("string"))
+    message = F.concat(F.lit("The log does not know this kind of request, seq "), F.col("seq").cast("string"))
     return rows.withColumn("action", F.when(known, F.col("action")).otherwise(F.raise_error(message).cast("string")))

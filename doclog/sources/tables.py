@@ -1,12 +1,14 @@
 """Target tables: Parquet snapshots whose commit record holds the table's parts and the log position together.
 
-Layout: `v=N/bucket=B/*.parquet` and `_commits/N.json`. A commit is one small file created only if it is not there,
-so a table and its position move together or not at all. A publish rewrites only the buckets that changed.
+Layout: `v=N.A/bucket=B/*.parquet`, a folder for each attempt A at version N, and `_commits/N.json`. A commit is one
+small file created whole and only if it is not there, so a table and its position move together or not at all, and
+of two writers one gets an error and leaves nothing. A publish rewrites only the buckets that changed.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -28,21 +30,39 @@ class Commit:
     buckets: int = BUCKETS
     node: str = ""
     ts: float = 0.0
-    parts: dict[str, int] = field(default_factory=dict)
-    """bucket -> version that holds it"""
+    parts: dict[str, str] = field(default_factory=dict)
+    """bucket -> folder that holds it"""
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed first."""
+
+
 def last_commit(spark: SparkSession, path: str) -> Commit | None:
-    done = sorted(n for n in files.names(spark, f"{path}/_commits") if n.endswith(".json"))
-    return Commit(**json.loads(files.read_text(spark, f"{path}/_commits/{done[-1]}"))) if done else None
+    """The last commit that can be read. A record without content was never a commit; its number counts as used."""
+    done = sorted((n for n in files.names(spark, f"{path}/_commits") if n[0].isdigit()), reverse=True)
+    for name in done:
+        try:
+            found = Commit(**json.loads(files.read_text(spark, f"{path}/_commits/{name}")))
+        except ValueError:
+            continue
+        found.version = int(done[0].split(".")[0])
+        return found
+    return None
 
 
 def commit(spark: SparkSession, path: str, record: Commit) -> None:
-    files.create_new(spark, f"{path}/_commits/{record.version:0{_WIDTH}d}.json", json.dumps(asdict(record)))
+    name = f"{path}/_commits/{record.version:0{_WIDTH}d}.json"
+    try:
+        files.create_new(spark, name, json.dumps(asdict(record)))
+    except Exception as e:
+        if files.exists(spark, name):
+            raise CommitConflict(f"version {record.version} of {path} is taken") from e
+        raise
 
 
 def read_table(
@@ -56,7 +76,7 @@ def read_table(
     at = at or last_commit(spark, path)
     wanted = None if buckets is None else {str(b) for b in buckets}
     parts = [] if at is None else [
-        f"{path}/v={v}/bucket={b}" for b, v in sorted(at.parts.items()) if wanted is None or b in wanted
+        f"{path}/{v}/bucket={b}" for b, v in sorted(at.parts.items()) if wanted is None or b in wanted
     ]
     return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
 
@@ -70,33 +90,48 @@ def publish_table(
     buckets: int = BUCKETS,
     node: str | None = None,
     ts: float = 0.0,
+    base: Commit | None | str = "last",
 ) -> Commit:
     """Write `state` and commit it with the position reached.
 
+    `base` is the commit that `state` was made from; the new one must be the next after it, else CommitConflict is
+    raised and what was written goes. Without it, the last commit is taken.
+
     `changed` names the buckets `state` covers; the others stay as the last commit has them. None means all. The
     owner stays the same unless `node` is given.
     """
     spark = state.sparkSession
-    before = last_commit(spark, path)
+    before = last_commit(spark, path) if base == "last" else base
     version = 1 if before is None else before.version + 1
     buckets = buckets if before is None else before.buckets
+    folder = f"v={version}.{uuid.uuid4().hex}"
     # Rebalance splits a large bucket over several tasks and joins small ones.
     rows = state.withColumn("bucket", bucket_of(keys, buckets)).hint("rebalance", "bucket")
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/v={version}")
-    here = [n.split("=")[1] for n in files.names(spark, f"{path}/v={version}") if n.startswith("bucket=")]
+    rows.write.partitionBy("bucket").parquet(f"{path}/{folder}")
+    here = [n.split("=")[1] for n in files.names(spark, f"{path}/{folder}") if n.startswith("bucket=")]
     gone = None if changed is None else {str(b) for b in changed}
     kept = {} if before is None or gone is None else {b: v for b, v in before.parts.items() if b not in gone}
     node = (before.node if before else "") if node is None else node
-    record = Commit(version, position, buckets, node, ts, kept | {b: version for b in here})
-    commit(spark, path, record)
+    record = Commit(version, position, buckets, node, ts, kept | {b: folder for b in here})
+    try:
+        commit(spark, path, record)
+    except CommitConflict:
+        files.remove(spark, f"{path}/{folder}")
+        raise
     return record
 
 
 def move_position(
-    spark: SparkSession, path: str, position: int, node: str | None = None, ts: float = 0.0, buckets: int = BUCKETS
+    spark: SparkSession,
+    path: str,
+    position: int,
+    node: str | None = None,
+    ts: float = 0.0,
+    buckets: int = BUCKETS,
+    base: Commit | None | str = "last",
 ) -> Commit:
     """Commit a new position or owner over an unchanged table."""
-    before = last_commit(spark, path)
+    before = last_commit(spark, path) if base == "last" else base
     node = (before.node if before else "") if node is None else node
     record = (
         Commit(1, position, buckets, node, ts)
@@ -107,12 +142,26 @@ def move_position(
     return record
 
 
-def read_positions(spark: SparkSession, root: str) -> DataFrame:
-    """Where every target table under `root` stands, one row each."""
-    rows = []
-    for target in files.names(spark, root):
-        at = last_commit(spark, f"{root}/{target}")
-        if at is not None:
-            rows.append((target, "index", at.node, at.position, at.ts))
-    columns = "target string, doc_type string, node_name string, file_position long, ts double"
-    return spark.createDataFrame(rows, columns).withColumn("ts", F.timestamp_seconds("ts")).to(S.POSITIONS)
+def read_positions(spark: SparkSession, root: str, target: str | None = None) -> DataFrame:
+    """Where the target tables under `root` stand, one row each, or only `target`; one read of all commit records."""
+    pattern = f"{root}/{target or '*'}/_commits/[0-9]*.json"
+    columns = "position long, node string, ts double"
+    if not files.any_match(spark, pattern):
+        return spark.createDataFrame([], S.POSITIONS)
+    place = F.regexp_extract("_metadata.file_path", "([^/]+)/_commits/([0-9]+)[.]json$", 1)
+    version = F.regexp_extract("_metadata.file_path", "([^/]+)/_commits/([0-9]+)[.]json$", 2).cast("long")
+    read = spark.read.option("wholetext", True).text(pattern)
+    found = read.select(
+        F.url_decode(F.replace(place, F.lit("+"), F.lit("%2B"))).alias("target"),
+        version.alias("version"),
+        F.from_json("value", columns).alias("c"),
+    )
+    last = found.where("c.position IS NOT NULL").groupBy("target").agg(F.max_by("c", "version").alias("c"))
+    rows = last.select(
+        "target",
+        F.lit("index").alias("doc_type"),
+        F.col("c.node").alias("node_name"),
+        F.col("c.position").alias("file_position"),
+        F.timestamp_seconds("c.ts").alias("ts"),
+    )
+    return rows.to(S.POSITIONS)

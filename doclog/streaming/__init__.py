@@ -56,12 +56,15 @@ def replay_stream(
     """Keep a target table following the log.
 
     The stream is the manifest, so a segment is only seen whole; the table's own commit decides what is due, which
-    makes a repeated micro-batch harmless and gives every target its own offset. `options` go to `replay_target`.
+    makes a repeated micro-batch harmless and gives every target its own offset. `options` go to `replay_target`; a
+    `position` among them holds for the first micro-batch of the checkpoint only.
     """
+    position = options.pop("position", 0)
     manifest = spark.readStream.schema(S.SEGMENTS).json(f"{log_path}/manifest")
 
     def follow(batch: DataFrame, batch_id: int) -> None:
-        replay_target(batch.sparkSession, log_path, table_path, doc_type, **options)
+        first = position if batch_id == 0 else 0
+        replay_target(batch.sparkSession, log_path, table_path, doc_type, position=first, **options)
 
     writer = manifest.writeStream.foreachBatch(follow).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, poll_seconds).start()

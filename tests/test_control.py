@@ -14,7 +14,7 @@ def test_a_consumer_from_start_to_stop(spark, tmp_path):
     capture_batch(request_frame(spark, scenario(1000, 1)), log, ["sample"], 0)
     assert status(spark, log, root, "sample1").first().found is False
     assert start_target(spark, root, "sample1", "n1") == {"node_name": "n1", "file_position": 1, "doc_type": "index"}
-    with pytest.raises(Exception, match="Replay is working in n1"):
+    with pytest.raises(Exception, match="Another node replays this target: n1"):
         start_target(spark, root, "sample1", "n2")
     assert replay_target(spark, log, f"{root}/sample1", BODY, node="n1") == 2
     row = status(spark, log, root, "sample1").first()
