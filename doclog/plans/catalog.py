@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from doclog import schema as S
 from doclog.functions.scale import shared_dir
 from doclog.operators import barriers, consumers, documents, failures, fold, ordering, routing, segments, shaping
 from doclog.plans import derived_logs as D
@@ -352,7 +353,7 @@ def publish_conflict(spark, sf):
 
 def replay_batches(spark, sf):
     """Events captured in four batches and replayed in runs of one segment."""
-    root, reqs = _scratch(spark), D.event_requests(spark, sf).drop("marker")
+    root, reqs = _scratch(spark), D.event_requests(spark, sf).drop("marker").to(S.REQUEST)
     part = reqs.agg(F.max("seq")).first()[0] // 4 + 1
     for n in range(4):
         batch = reqs.where((F.col("seq") >= n * part) & (F.col("seq") < (n + 1) * part))
