@@ -227,15 +227,19 @@ def encode_decode(
     added = [T.StructField("ids", T.BinaryType()), *([T.StructField("decoded", T.StringType())] if decode else [])]
     schema = T.StructType([*(docs.schema[c] for c in keep), *added])
 
+    source = "_text"
+    while source in keep:
+        source += "_"
+
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         encoder, decoder = _encoder(tokenizer), _decoder(tokenizer)
         for batch in batches:
-            for part, texts in _small(batch, batch.column("_text")):
+            for part, texts in _small(batch, batch.column(source)):
                 ids = [b"".join(encoder.encode(t or "")) for t in texts]
                 made = {"ids": ids} | ({"decoded": [decoder.decode(x) for x in ids]} if decode else {})
                 yield _rows(part, made, arrow)
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(source)).mapInArrow(run, schema)
