@@ -334,7 +334,8 @@ def near_duplicates(
 def _verified_input(texts: DataFrame, dealt: DataFrame, n: int) -> DataFrame:
     """(grp, x, y, cls, copies, block, grams): the set of each class, once for every pair of blocks it belongs to."""
     at = (texts["_id"].eqNullSafe(dealt["rep"])) & (texts["_same"] == dealt["rep_same"])
-    found = texts.join(dealt, at).select("grp", "cls", "copies", "block", "blocks", "_text")
+    # A sort-merge join at every size, so that the disk it needs follows the input.
+    found = texts.join(dealt.hint("merge"), at).select("grp", "cls", "copies", "block", "blocks", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
