@@ -33,6 +33,12 @@ _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _MARK = re.compile(r"[0-9@]")
 _SPACES = " \t\n\x0b\x0c\r"
+_OPEN, _CLOSE = "\"'([<{", ",.;:!?)]>\"'}&|"
+#: A key glued to its value, at the start of a word or behind another field. Groups of an IP 6 address are none.
+_FIELD = re.compile(
+    r"(?:(?<![^\x20\x09-\x0D{(\[<,;&?|\"'])|(?<=[:=])(?=[A-Za-z0-9_.-]{1,40}[\"']?=))"
+    r"(?![0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{0,4}:)([A-Za-z_][A-Za-z0-9_.-]{0,39})[\"']?([=:])[\"'(\[<{]*"
+)
 
 
 def _luhn(digits: str) -> bool:
@@ -98,9 +104,23 @@ def _make(value: str) -> str:
     return "".join(sorted(kinds))
 
 
-def _patterns(text: str, start: int, end: int, key: str, key_at: int) -> list[str]:
+def _key(text: str, start: int) -> tuple[str, int]:
+    """The key that the value at `start` is given to, with its sign, or "", and where the words before it end."""
+    least = max(0, start - CONTEXT)
+    for m in _FIELD.finditer(text, least, start):
+        if m.end() == start:
+            return m.group(1).lower() + m.group(2), m.start()
+    at = start
+    while at > least and text[at - 1] in _OPEN:
+        at -= 1
+    one, before = _word_before(text, at)
+    return (_plain(_word_before(text, before)[0]) + one if one in ("=", ":") else ""), at
+
+
+def _patterns(text: str, start: int, end: int) -> list[str]:
     """Contexts of an instance: the word before it, the two words, the word and the one behind, or the key it is given
     to; each with the kinds of characters of the instance."""
+    key, key_at = _key(text, start)
     one, at = _word_before(text, key_at)
     two, _ = _word_before(text, at)
     one, two, behind, make = _plain(one), _plain(two), _plain(_word_after(text, end)), _make(text[start:end])
@@ -108,40 +128,38 @@ def _patterns(text: str, start: int, end: int, key: str, key_at: int) -> list[st
     return found + ([f"k {key} {make}"] if key else [])
 
 
+def _values(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The word, or the values of the keys that are glued together in it, without quotes and signs around them."""
+    cuts = [(m.start(), m.end()) for m in _FIELD.finditer(text, start, end)]
+    for at, to in zip([start, *(e for _, e in cuts)], [*(s for s, _ in cuts), end]):
+        while at < to and text[at] in _OPEN:
+            at += 1
+        while to > at and text[to - 1] in _CLOSE:
+            to -= 1
+        yield at, to
+
+
 def instances(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int | None, str, list[str]]]:
     """(start, end, kind or None, value, patterns) of the fixed forms and of the words that may be identifiers."""
     for start, kind, end in base:
-        yield start, end, kind, text[start:end], _patterns(text, start, end, "", start)
+        yield start, end, kind, text[start:end], _patterns(text, start, end)
     if not _MARK.search(text):
         return
-    at = covered = reach = 0  # covered: spans that begin before the end of the word at hand; reach: where they end
+    at = covered = reach = 0  # covered: spans that begin before the end of the value at hand; reach: where they end
     for mark in _MARK.finditer(text):
         if mark.start() < at:
             continue
-        start = mark.start()
-        while start > 0 and text[start - 1] not in _SPACES:
-            start -= 1
-        end = _TOKEN.match(text, mark.start()).end()
-        at = end
-        key_at, key = start, ""
-        cut = max(text.rfind("=", start, end), text.rfind(":", start, end)) + 1
-        if 0 < cut < end:
-            key, start = text[start:cut].lower(), cut
-        while start < end and text[start] in "\"'([<":
-            start += 1
-        while end > start and text[end - 1] in ",.;:!?)]>\"'":
-            end -= 1
-        value = text[start:end]
-        while covered < len(base) and base[covered][0] < end:
-            reach = max(reach, base[covered][2])
-            covered += 1
-        if len(value) < 6 or reach > start or len(_MARK.findall(value)) < 2:
-            continue
-        if not key:
-            one, before = _word_before(text, start)
-            if one in ("=", ":"):
-                key = _plain(_word_before(text, before)[0]) + one
-        yield start, end, None, value, _patterns(text, start, end, key, key_at)
+        first = mark.start()
+        while first > at and text[first - 1] not in _SPACES:
+            first -= 1
+        at = _TOKEN.match(text, mark.start()).end()
+        for start, end in _values(text, first, at):
+            while covered < len(base) and base[covered][0] < end:
+                reach = max(reach, base[covered][2])
+                covered += 1
+            value = text[start:end]
+            if len(value) >= 6 and reach <= start and len(_MARK.findall(value)) > 1:
+                yield start, end, None, value, _patterns(text, start, end)
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"

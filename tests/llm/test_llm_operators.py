@@ -284,6 +284,20 @@ def test_contexts_discover_identifiers(spark, monkeypatch, few):
     assert hidden[71] == "request to 10.0.7.901x and 42" and hidden[72] is None
 
 
+def _added(spark, data):
+    return {r.doc_id: [tuple(s) for s in r.added_spans] for r in pii.find_personal_data(docs(spark, data)).collect()}
+
+
+def test_keys_glued_to_seeds_discover_identifiers(spark):
+    seeds = [f"+1(555)-010-{1000 + k}" for k in range(30)]
+    data = [(k, f"w{k} phone={seed} x{k}") for k, seed in enumerate(seeds)]
+    data += [(100 + k, f'w{k} {{"tel":"{seed}"}} x{k}') for k, seed in enumerate(seeds)]
+    data += [(200, "v phone=+1(555)-10-99 y"), (201, 'v {"tel":"+1(555)-10-97"} y'), (202, "v size=+1(555)-10-9 y")]
+    data += [(203, 'v {"n":1,"tel":"+1(555)-10-98"} y')]
+    got = _added(spark, data)
+    assert got[200] == [(8, 3, 21)] and got[201] == [(10, 3, 23)] and not got[202] and got[203] == [(16, 3, 29)]
+
+
 def test_packing(rows, none):
     got = packing.pack_documents(rows, capacity=512).collect()
     tok = open_tokenizer("word_bpe_49k.json")
