@@ -19,7 +19,9 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, CONFIDENT = 3, 5, 0.8
 #: Characters to each side in which the words of a context are looked for, one after the other.
 CONTEXT = 64
-#: Discovered words that are sent to the tasks.
+#: Characters that a run of digit groups has at most as one identifier; account numbers have up to 42.
+RUN = 48
+#: Discovered values that are sent to the tasks.
 FEW = 50_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,10 +36,15 @@ _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _MARK = re.compile(r"[0-9@]")
 _SPACES = " \t\n\x0b\x0c\r"
 _OPEN, _CLOSE = "\"'([<{", ",.;:!?)]>\"'}&|"
+#: Groups of digits with single blanks between them, such as a phone or account number that is written in parts.
+_RUN = re.compile(
+    r"(?<![^\x20\x09-\x0D=:\"'(\[<{])[+(]{0,2}(?:[A-Z]{2})?"
+    r"[0-9][0-9()/+-]*+(?: [(]?[0-9][0-9()/+-]*+(?![^\x20\x09-\x0D,.;:!?)\]>\"'}&|]))++"
+)
 #: A key glued to its value, at the start of a word or behind another field. Groups of an IP 6 address are none.
 _FIELD = re.compile(
     r"(?:(?<![^\x20\x09-\x0D{(\[<,;&?|\"'])|(?<=[:=])(?=[A-Za-z0-9_.-]{1,40}[\"']?=))"
-    r"(?![0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{0,4}:)([A-Za-z_][A-Za-z0-9_.-]{0,39})[\"']?([=:])[\"'(\[<{]*"
+    r"(?![0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{0,4}:)([A-Za-z_][A-Za-z0-9_.-]{0,39})[\"']?([=:])"
 )
 
 
@@ -106,41 +113,41 @@ def _make(value: str) -> str:
 
 def _key(text: str, start: int) -> tuple[str, int]:
     """The key that the value at `start` is given to, with its sign, or "", and where the words before it end."""
-    least = max(0, start - CONTEXT)
-    for m in _FIELD.finditer(text, least, start):
-        if m.end() == start:
-            return m.group(1).lower() + m.group(2), m.start()
-    at = start
+    at, least = start, max(0, start - CONTEXT)
     while at > least and text[at - 1] in _OPEN:
         at -= 1
+    for m in _FIELD.finditer(text, least, at):
+        if m.end() == at:
+            return m.group(1).lower() + m.group(2), m.start()
     one, before = _word_before(text, at)
     return (_plain(_word_before(text, before)[0]) + one if one in ("=", ":") else ""), at
 
 
 def _patterns(text: str, start: int, end: int) -> list[str]:
     """Contexts of an instance: the word before it, the two words, the word and the one behind, or the key it is given
-    to; each with the kinds of characters of the instance."""
+    to."""
     key, key_at = _key(text, start)
     one, at = _word_before(text, key_at)
     two, _ = _word_before(text, at)
-    one, two, behind, make = _plain(one), _plain(two), _plain(_word_after(text, end)), _make(text[start:end])
-    found = [f"1 {one} {make}", f"2 {two} {one} {make}", f"3 {one} _ {behind} {make}"] if one else []
-    return found + ([f"k {key} {make}"] if key else [])
+    one, two, behind = _plain(one), _plain(two), _plain(_word_after(text, end))
+    found = [f"1 {one}", f"2 {two} {one}", f"3 {one} _ {behind}"] if one else []
+    return found + ([f"k {key}"] if key else [])
 
 
 def _values(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
     """The word, or the values of the keys that are glued together in it, without quotes and signs around them."""
     cuts = [(m.start(), m.end()) for m in _FIELD.finditer(text, start, end)]
     for at, to in zip([start, *(e for _, e in cuts)], [*(s for s, _ in cuts), end]):
-        while at < to and text[at] in _OPEN:
-            at += 1
         while to > at and text[to - 1] in _CLOSE:
             to -= 1
+        while at < to and text[at] in _OPEN and not (text[at] == "(" and text.find(")", at, min(to, at + RUN)) > 0):
+            at += 1
         yield at, to
 
 
 def instances(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int | None, str, list[str]]]:
-    """(start, end, kind or None, value, patterns) of the fixed forms and of the words that may be identifiers."""
+    """(start, end, kind or None, value, patterns) of the fixed forms, and of the words and runs of digit groups that
+    may be identifiers. A run and a word of it may both be."""
     for start, kind, end in base:
         yield start, end, kind, text[start:end], _patterns(text, start, end)
     if not _MARK.search(text):
@@ -160,10 +167,20 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int
             value = text[start:end]
             if len(value) >= 6 and reach <= start and len(_MARK.findall(value)) > 1:
                 yield start, end, None, value, _patterns(text, start, end)
+    covered = reach = 0
+    for m in _RUN.finditer(text):
+        start, end = m.span()
+        while not "0" <= text[end - 1] <= "9":
+            end -= 1
+        while covered < len(base) and base[covered][0] < end:
+            reach = max(reach, base[covered][2])
+            covered += 1
+        if 6 <= end - start <= RUN and reach <= start:
+            yield start, end, None, text[start:end], _patterns(text, start, end)
 
 
 _SPAN = "struct<start:int,kind:int,end:int>"
-_INSTANCE = "struct<start:int,end:int,kind:int,value:string,patterns:array<string>>"
+_INSTANCE = "struct<start:int,end:int,kind:int,value:string,patterns:array<string>,make:string>"
 
 
 def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -186,9 +203,8 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 for text in batch.column("_scan").to_pylist():
                     spans = base_spans(text or "")
                     base.append([dict(start=s, kind=k, end=e) for s, k, e in spans])
-                    seen.append(
-                        [dict(zip(("start", "end", "kind", "value", "patterns"), i)) for i in instances(text or "", spans)]
-                    )
+                    names = ("start", "end", "kind", "value", "patterns", "make")
+                    seen.append([dict(zip(names, (*i, _make(i[3])))) for i in instances(text or "", spans)])
                 columns = [batch.column(c) for c in keep]
                 columns += [pa.array(v, arrow.field(n).type) for n, v in (("_base", base), ("_seen", seen))]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
@@ -198,7 +214,11 @@ def _scanned(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 def _discovered(scratch: Scratch, rows: DataFrame) -> DataFrame:
     """(value, kind) of instances outside the fixed forms that confident patterns point to."""
-    seen = rows.select(F.explode("_seen").alias("i")).select("i.kind", "i.value", F.explode("i.patterns").alias("pattern"))
+    # Each context is a pattern, and so is each context with the kinds of characters of the instance.
+    made = F.transform("i.patterns", lambda p: F.concat_ws(" ", p, "i.make"))
+    seen = rows.select(F.explode("_seen").alias("i")).select(
+        "i.kind", "i.value", F.explode(F.concat("i.patterns", made)).alias("pattern")
+    )
     # A pattern and an instance are joined once, however often they meet.
     edges = scratch.save(seen.groupBy("pattern", "value").agg(F.min("kind").alias("kind")))
     totals = edges.groupBy("pattern").agg(F.count("*").alias("total"))
@@ -239,10 +259,11 @@ def find_personal_data(
     exclusive, kind as the place in KINDS, in order.
 
     Base spans have the fixed forms. They seed a bootstrap: the words around them, or the key they are given to,
-    are lexical patterns. Pattern and instance are the sides of a graph, which Spark scores in rounds: a pattern
-    is as confident as the share of its different instances that are known, an instance as the patterns that point to it
-    together. Confident patterns make new instances known, and these count for other patterns. Words that become known
-    without having a fixed form are the added spans; they never overlap base spans.
+    are lexical patterns, with the kinds of characters of the instance and without. Pattern and instance are the sides
+    of a graph, which Spark scores in rounds: a pattern is as confident as the share of its different instances that are
+    known, an instance as the patterns that point to it together. Confident patterns make new instances known, and
+    these count for other patterns. Words and runs of digit groups that become known without having a fixed form are
+    the added spans; they never overlap base spans, but a run may overlap a word of it.
 
     A pattern or instance of any frequency is one row per task after partial aggregation. Null texts count as
     empty and have no spans. Rows that repeat are scanned each and count once as instances; null ids are allowed.

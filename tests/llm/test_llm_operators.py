@@ -298,6 +298,20 @@ def test_keys_glued_to_seeds_discover_identifiers(spark):
     assert got[200] == [(8, 3, 21)] and got[201] == [(10, 3, 23)] and not got[202] and got[203] == [(16, 3, 29)]
 
 
+def test_contexts_discover_identifiers_of_other_forms(spark):
+    data = [(k, f"please call phone +1 (555) 010-{1000 + k} today") for k in range(40)]
+    data += [(100 + k, f"request from host 10.0.{k}.{k + 1} was served") for k in range(40)]
+    forms = ["555-010-0199", "(555)010-0199", "(555) 010-0199", "0171/5550199", "030 555 0199", "DE89370400440532013000"]
+    forms += ["DE89 3704 0044 0532 0130 00"]
+    data += [(200 + k, f"please call phone {form} today") for k, form in enumerate(forms)]
+    data += [(300, "request from host 2001:db8::1 was served"), (301, "we sold 555-010-0199 pieces"), (302, "in 555 0 19 9")]
+    data += [(303, "we sold 555-010-0177 pieces in 12 parts of 030 555 0177")]
+    got = _added(spark, data)
+    for k, form in enumerate(forms):
+        assert (18, 3, 18 + len(form)) in got[200 + k], form
+    assert got[300] == [(18, 1, 29)] and got[301] == [(8, 3, 20)] and not got[302] and not got[303]
+
+
 def test_packing(rows, none):
     got = packing.pack_documents(rows, capacity=512).collect()
     tok = open_tokenizer("word_bpe_49k.json")
