@@ -20,6 +20,8 @@ RECALL, HASHES = 0.9995, 128
 #: Pairs whose signatures agree less do not go on to the verification. At the threshold the estimate has a standard
 #: deviation of 0.04 (100 hashes), so fewer than one pair in a million is lost.
 LEAST_ESTIMATE = 0.6
+#: Classes that a block of a band bucket holds on average at most.
+BUCKET_CLASSES = 1024
 #: Documents, and n-grams, that a block of a group holds on average at most.
 BLOCK_DOCS, BLOCK_GRAMS = 384, 1 << 20
 
@@ -179,6 +181,20 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return out.astype(np.int64)
 
 
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """The first place that can be reached, of each place of a symmetric matrix of links."""
+    root, seen = np.arange(len(linked)), np.zeros(len(linked), bool)
+    for k in range(len(linked)):
+        if not seen[k]:
+            front = np.array([k])
+            seen[k] = True
+            while len(front):
+                root[front] = k
+                front = np.flatnonzero(linked[front].any(axis=0) & ~seen)
+                seen[front] = True
+    return root
+
+
 def _cell(rows: list[tuple], numerator: int, denominator: int) -> tuple[list[int], list[int], list[int]]:
     """Links and the smallest class that can be reached, of each class of a block or of two blocks against each other."""
     known = {}
@@ -206,15 +222,7 @@ def _cell(rows: list[tuple], numerator: int, denominator: int) -> tuple[list[int
         linked = np.zeros((len(rows), len(rows)), bool)
         linked[np.ix_(left, right)] = near
         linked |= linked.T
-        seen = np.zeros(len(rows), bool)
-        for k in range(len(rows)):
-            if not seen[k]:
-                front = np.array([k])
-                seen[k] = True
-                while len(front):
-                    root[front] = k
-                    front = np.flatnonzero(linked[front].any(axis=0) & ~seen)
-                    seen[front] = True
+        root = _roots(linked)
     return ids.tolist(), links.tolist(), ids[root].tolist()
 
 
@@ -230,8 +238,9 @@ def near_duplicates(
 
     1. Each text gives its set, a MinHash signature and band hashes; `choose_bands` takes bands and rows for the recall.
     2. Documents of the same set become one class, with partial aggregation, so copies cost nothing from here on.
-    3. Band hashes are shuffled. In each band the classes are paired with its first and its last class, never with all;
-       pairs whose signatures agree enough make groups.
+    3. Band hashes are shuffled with the signatures. A large bucket is cut in blocks, and each pair of blocks is a task
+       of bounded size. Every pair of a bucket is compared; those whose signatures agree enough make groups, of which
+       only a spanning forest leaves the task.
     4. The sets of the classes that have a partner are built again and shuffled once, by group. A large group is cut in
        blocks, and each pair of blocks is a task of bounded size. Every pair of a group is verified on the full sets,
        but only link counts and a spanning forest leave the task.
@@ -270,30 +279,7 @@ def near_duplicates(
     )
 
     banded = classes.select("cls", F.explode("bands").alias("band"))
-    heads = (
-        banded.groupBy("band")
-        .agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-        .where("low < high")
-        .select("band", "low", "high")
-    )
-    met = banded.join(heads, "band")
-    pairs = (
-        met.select(F.inline(F.array(
-            F.struct(F.col("low").alias("a"), F.col("cls").alias("b")),
-            F.struct(F.col("cls").alias("a"), F.col("high").alias("b")),
-        )))
-        .where("a < b")
-        .distinct()
-    )
-    signs = classes.select("cls", "signature")
-    agree = F.expr("size(filter(zip_with(sa, sb, (x, y) -> x = y), e -> e))")
-    likely = (
-        pairs.join(signs.select(F.col("cls").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(signs.select(F.col("cls").alias("b"), F.col("signature").alias("sb")), "b")
-        .where(agree >= LEAST_ESTIMATE * bands * rows)
-        .select("a", "b")
-    )
-    groups = components(scratch, likely)
+    groups = components(scratch, _likely(banded, classes.select("cls", "signature"), LEAST_ESTIMATE * bands * rows))
 
     members = scratch.save(
         classes.select("cls", "copies", "grams", "rep", "rep_same").join(
@@ -331,6 +317,64 @@ def near_duplicates(
     )
 
 
+def _alike(cls: np.ndarray, block: np.ndarray, signs: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (a, b) that span the classes, of a block or of two blocks against each other, whose signatures agree in
+    `least` places."""
+    if len(cls) == 2:
+        return (cls[:1], cls[1:]) if (signs[0] == signs[1]).sum() >= least else (cls[:0], cls[:0])
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    agree = np.zeros((len(left), len(right)), np.int16)
+    for x, y in zip(signs[left].T, signs[right].T):
+        agree += x[:, None] == y[None, :]
+    linked = np.zeros((len(cls), len(cls)), bool)
+    linked[np.ix_(left, right)] = agree >= least
+    linked |= linked.T
+    root = _roots(linked)
+    to = np.flatnonzero(root != np.arange(len(root)))
+    return cls[root[to]], cls[to]
+
+
+def _likely(banded: DataFrame, signs: DataFrame, least: float) -> DataFrame:
+    """(a, b): edges that span the classes of which each pair shares a bucket and agrees in `least` places at least."""
+    sizes = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / BUCKET_CLASSES).cast("int")
+    met = banded.join(sizes.select("band", blocks.alias("blocks")), "band")
+    dealt = met.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    cells = dealt.join(signs, "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select(
+        "band",
+        F.least("block", "other").alias("x"),
+        F.greatest("block", "other").alias("y"),
+        "cls",
+        "block",
+        "signature",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of the last cell, which may go on in the next batch
+
+        def edges(found: list) -> pa.RecordBatch:
+            a, b = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (zip(*found) if found else ((), ())))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = [batch.column(c).to_numpy() for c in ("band", "x", "y", "cls", "block")]
+            part.append(batch.column("signature").flatten().to_numpy().reshape(batch.num_rows, -1))
+            if rest is not None:
+                part = [np.concatenate(both) for both in zip(rest, part)]
+            key = np.stack(part[:3])
+            starts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
+            yield edges([_alike(*(c[i:j] for c in part[3:]), least) for i, j in zip(starts, starts[1:]) if j - i > 1])
+            rest = [c[starts[-1] :].copy() for c in part]
+        if rest is not None and len(rest[0]) > 1:
+            yield edges([_alike(*rest[3:], least)])
+
+    sorted_cells = cells.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y")
+    return sorted_cells.mapInArrow(run, "a long, b long").distinct()
+
+
 def _verified_input(texts: DataFrame, dealt: DataFrame, n: int) -> DataFrame:
     """(grp, x, y, cls, copies, block, grams): the set of each class, once for every pair of blocks it belongs to."""
     at = (texts["_id"].eqNullSafe(dealt["rep"])) & (texts["_same"] == dealt["rep_same"])

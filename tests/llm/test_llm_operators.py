@@ -138,6 +138,34 @@ def test_token_counts(rows, none, name):
     assert token_counts.count_tokens(none).count() == 0
 
 
+def test_near_copies_in_buckets_headed_by_strangers(spark, monkeypatch):
+    """Two bands of one place. Each pair shares both buckets; all others there share one of them only."""
+    monkeypatch.setattr(ngram_join, "choose_bands", lambda threshold: (2, 1))
+    rnd, data = random.Random(3), []
+
+    def sign(words):
+        return ngram_join.signature(ngram_join.shingles(" ".join(words)), 2).tolist()
+
+    for pair in range(5):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(80)]
+        both = sign(words)
+        copy = words[:-1] + ["other"]
+        windows = [words[i : i + 5] for i in range(76)]
+        assert sign(copy) == both
+        data += [(1000 * pair + 1, " ".join(words)), (1000 * pair + 2, " ".join(copy))]
+        for band in (0, 1):
+            gram = next(w for w in windows if sign(w)[band] == both[band])
+            n = 0
+            while n < 40:
+                stranger = gram + [f"w{rnd.randrange(10**6)}" for _ in range(20)]
+                if sign(stranger)[band] == both[band] and sign(stranger)[1 - band] != both[1 - band]:
+                    n += 1
+                    data.append((1000 * pair + 100 + 100 * band + n, " ".join(stranger)))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_duplicates(docs(spark, data)).collect()}
+    pairs = {i: (i - i % 1000 + 1, 1) for i, _ in data if i % 1000 < 3}
+    assert got == {i: pairs.get(i, (i, 0)) for i, _ in data}
+
+
 def test_near_duplicates(rows, none, spark):
     rnd = random.Random(2)
     words = [f"w{k}" for k in range(400)]
