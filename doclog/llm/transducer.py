@@ -22,6 +22,12 @@ from .vocab import Memo, open_tokenizer, pieces
 
 #: Characters that one output batch holds at most, unless a single text is longer.
 BATCH_CHARS = 1 << 22
+#: Characters of a piece or pretoken that is kept in a memo at most.
+LONGEST_KEY = 256
+#: Characters that are pretokenized together; then text is cut at the next safe place: after a letter or digit where a
+#: character of another kind follows, or before the end of a line. No pretoken spans these.
+STRETCH = 1 << 12
+_SAFE = re.compile(r"(?<=[A-Za-z])(?=[\x00-@\[-`{-~])|(?<=[0-9])(?=[!-/:-~\n])|(?<=[!-~])(?=\n)")
 #: Letters in any version of Unicode.
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
 #: Tokens that the decoder takes at a time.
@@ -57,6 +63,7 @@ class Encoder:
         self._rank = {pair: n for n, pair in enumerate(merges)}
         self._ids = spec["model"]["vocab"]
         self._special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self._cuts = re.compile("|".join(map(re.escape, sorted(self._special, key=len, reverse=True))))
         self._pretokens = tokenizer.pre_tokenizer.pre_tokenize_str
         self.lookahead = sufficient_lookahead(merges)
         self.window = 4 * self.lookahead
@@ -69,28 +76,43 @@ class Encoder:
         first, *rest = pieces(text)
         yield self._plain(first)
         for at in range(0, len(rest), 1 << 14):
-            yield b"".join(map(self._pieces.__getitem__, rest[at : at + (1 << 14)]))
+            yield b"".join(map(self._known, rest[at : at + (1 << 14)]))
             self._pieces.trim()
             self._words.trim()
 
+    def _known(self, piece: str) -> bytes:
+        return self._pieces[piece] if len(piece) <= LONGEST_KEY else self._piece(piece)
+
     def _piece(self, piece: str) -> bytes:
         """A piece after its space. Letters, with a comma or stop behind them or not, need no pretokenizer."""
         if piece and piece[-1] in ",." and _LETTERS.fullmatch(piece, 0, len(piece) - 1):
-            return self._words[self._spaced(piece[:-1])] + self._words[piece[-1]]
+            return self._ids_of(self._spaced(piece[:-1])) + self._words[piece[-1]]
         if _LETTERS.fullmatch(piece):
-            return self._words[self._spaced(piece)]
+            return self._ids_of(self._spaced(piece))
         return self._plain(" " + piece)
 
     def _spaced(self, letters: str) -> str:
         return (b" " + letters.encode()).decode("latin-1").translate(self._symbols)
 
     def _plain(self, text: str) -> bytes:
-        for special, number in self._special.items():
-            head, found, tail = text.partition(special)
-            if found:
-                return self._plain(head) + array("I", [number]).tobytes() + self._plain(tail)
-        words = self._words
-        return b"".join(words[w] for w, _ in self._pretokens(text)) if text else b""
+        """The ids of text with special strings in it; these cut it, from left to right."""
+        out, at = [], 0
+        for m in self._cuts.finditer(text) if self._special else ():
+            out += [self._between(text[at : m.start()]), array("I", [self._special[m.group()]]).tobytes()]
+            at = m.end()
+        return b"".join(out) + self._between(text[at:] if at else text)
+
+    def _between(self, text: str) -> bytes:
+        out, at = [], 0
+        while at < len(text):
+            cut = _SAFE.search(text, at + STRETCH) if len(text) - at > STRETCH else None
+            end = cut.start() if cut else len(text)
+            out += [self._ids_of(w) for w, _ in self._pretokens(text[at:end])]
+            at = end
+        return b"".join(out)
+
+    def _ids_of(self, word: str) -> bytes:
+        return self._words[word] if len(word) <= LONGEST_KEY else self._word(word)
 
     def _word(self, word: str) -> bytes:
         ids = self._ids

@@ -126,6 +126,17 @@ def test_bpe_windows_and_random_texts():
         assert decoder.decode(array("I", ids).tobytes()) == tok.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_many_special_strings_and_long_pieces():
+    coder, tok = transducer.Encoder("byte_bpe_50k.json"), open_tokenizer("byte_bpe_50k.json")
+    end = "<|endoftext|>"
+    rnd = random.Random(1)
+    texts = [end * 3000, f"{end}\n" * 3000, f"a{end}" * 2000 + " b", "x " + "ab1,\n" * 3000, "x " + "a" * 9999, " <" + end]
+    texts += ["".join(rnd.choices("aé1'st,.漢\n\n\t=_", k=20_000)) for _ in range(10)]
+    for t in texts:
+        assert b"".join(coder.encode(t)) == array("I", tok.encode(t, add_special_tokens=False).ids).tobytes()
+    assert max(map(len, [*coder._pieces, *coder._words])) <= transducer.LONGEST_KEY
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_token_counts(rows, none, name):
     tok = open_tokenizer(name)
