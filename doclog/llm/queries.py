@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_rules, ngram_join, packing, pii, revisits, shards, token_counts, toxicity, transducer
+from . import centroids, exact_dedup, line_rules, ngram_join, packing, pii, revisits, shards, token_counts, toxicity
+from . import transducer
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +131,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.withColumn("headers", F.array_join(lines, ";"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
@@ -141,4 +146,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_revisits": op10_revisits,
+    "op11_centroids": op11_centroids,
 }

@@ -83,3 +83,56 @@ ORACLE = {
         FROM r LEFT JOIN k s ON s.page_id = r.last
     """,
 }
+
+
+def _clustering(clusters: int = 16, rounds: int = 3) -> str:
+    """Centroid clustering written out round by round; a distance and its centroid travel as one number."""
+    parts = [
+        r"""e AS MATERIALIZED (
+            SELECT rid, vec_id, d, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+            FROM (
+                SELECT rid, vec_id, unnest(range(64)) AS d, unnest(embedding) AS x
+                FROM (SELECT row_number() OVER () AS rid, * FROM embeddings WHERE len(embedding) = 64)
+            )
+            WINDOW r AS (PARTITION BY rid) QUALIFY count(x) OVER r = 64 AND bool_and(isfinite(x)) OVER r
+        )""",
+        f"""c0 AS MATERIALIZED (
+            SELECT c, d, x FROM e JOIN (
+                SELECT rid, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c
+                FROM (SELECT DISTINCT rid, vec_id FROM e) QUALIFY c < {clusters}
+            ) USING (rid)
+        )""",
+    ]
+    for k in range(rounds + 1):
+        parts.append(
+            f"""a{k} AS MATERIALIZED (
+            SELECT rid, vec_id, min(far * {clusters} + c) % {clusters} AS c, min(far * {clusters} + c) // {clusters} AS far
+            FROM (
+                SELECT rid, vec_id, c, CAST(sum((e.x - m.x) * (e.x - m.x)) AS BIGINT) AS far
+                FROM e JOIN c{k} m USING (d) GROUP BY rid, vec_id, c
+            ) GROUP BY rid, vec_id
+        )"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""c{k + 1} AS MATERIALIZED (
+            SELECT c, d, CAST((s - (s % n + n) % n) // n AS BIGINT) AS x
+            FROM (SELECT c, d, sum(x) AS s, count(*) AS n FROM e JOIN a{k} USING (rid) GROUP BY c, d)
+            UNION ALL SELECT c, d, x FROM c{k} WHERE c NOT IN (SELECT c FROM a{k})
+        )"""
+            )
+    return (
+        "WITH "
+        + ", ".join(parts)
+        + f"""
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, far AS distance,
+               CAST(sum(far) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(far) OVER () AS BIGINT) AS inertia, sha256(place) AS centroid_sha256
+        FROM a{rounds} JOIN (
+            SELECT c, string_agg(CAST(x AS VARCHAR), ',' ORDER BY d) AS place FROM c{rounds} GROUP BY c
+        ) USING (c)
+    """
+    )
+
+
+ORACLE["op11_centroids"] = _clustering()
