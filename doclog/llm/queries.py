@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, exact_dedup, line_rules, ngram_join, packing, pii, revisits, shards, token_counts, toxicity
-from . import transducer
+from . import centroids, divergence, exact_dedup, line_rules, ngram_join, packing, pii, revisits, shards, token_counts
+from . import toxicity, transducer
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +135,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
@@ -147,4 +151,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_revisits": op10_revisits,
     "op11_centroids": op11_centroids,
+    "op12_divergence": op12_divergence,
 }

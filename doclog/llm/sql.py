@@ -136,3 +136,51 @@ def _clustering(clusters: int = 16, rounds: int = 3) -> str:
 
 
 ORACLE["op11_centroids"] = _clustering()
+
+ORACLE["op12_divergence"] = r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ),
+    t AS MATERIALIZED (
+        SELECT rid, lang, source, term, count(*) AS n
+        FROM (
+            SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+        ) GROUP BY ALL
+    ),
+    k AS MATERIALIZED (SELECT lang, term, sum(n) AS n FROM t GROUP BY lang, term HAVING count(*) >= 3),
+    l AS (SELECT lang, sum(n) AS total, count(*) AS kept FROM k GROUP BY lang),
+    c AS MATERIALIZED (SELECT lang, source, term, sum(t.n) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+    g AS (
+        SELECT lang, source, coalesce(total, 0) AS total, coalesce(kept, 0) AS kept
+        FROM (SELECT DISTINCT lang, source FROM d)
+        LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)
+        LEFT JOIN (SELECT lang, kept FROM l) USING (lang)
+    ),
+    p AS MATERIALIZED (
+        SELECT lang, source, term,
+               CAST(1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.total + g.kept) AS BIGINT) AS p
+        FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+    ),
+    pair AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+    ),
+    term AS (
+        SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value
+        FROM (
+            SELECT c.lang, c.source, c.term, p.p,
+                   CAST(1 + (1000000000 * (k.n + 1)) // (l.total + l.kept) AS BIGINT) AS q
+            FROM c JOIN p USING (lang, source, term) JOIN k USING (lang, term) JOIN l USING (lang)
+        ) WHERE p > q
+    ),
+    every AS (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' AS part FROM term)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM every QUALIFY part = 'pair' OR rank <= 200
+"""
