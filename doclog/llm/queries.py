@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, divergence, exact_dedup, line_rules, ngram_join, packing, pii, revisits, shards, token_counts
-from . import toxicity, transducer
+from . import centroids, divergence, exact_dedup, line_rules, ngram_join, packing, pii, revisits, secret_scan, shards
+from . import token_counts, toxicity, transducer
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +56,9 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(_documents(spark, sf_dir))
 
 
-def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_personal_data(_documents(spark, sf_dir))
-    names = F.array(*(F.lit(k) for k in pii.KINDS))
+def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Numbers of the fixed forms by kind, and all spans as text."""
+    names = F.array(*(F.lit(k) for k in kinds))
 
     def listed(spans) -> Column:
         text = F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"]))
@@ -69,12 +69,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select(
         "doc_id",
-        *(number(n).alias(f"n_{kind}") for n, kind in enumerate(pii.KINDS)),
+        *(number(n).alias(f"n_{kind}") for n, kind in enumerate(kinds)),
         F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"),
         listed(F.array_sort(F.concat("base_spans", "added_spans"))).alias("spans"),
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find_personal_data(_documents(spark, sf_dir)), pii.KINDS)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), 2048, "word_bpe_49k.json", end_id=0)
 
@@ -139,6 +143,10 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_documents(spark, sf_dir))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secret_scan.find_secrets(_documents(spark, sf_dir)), secret_scan.KINDS)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
@@ -152,4 +160,5 @@ QUERIES = {
     "op10_revisits": op10_revisits,
     "op11_centroids": op11_centroids,
     "op12_divergence": op12_divergence,
+    "op13_secrets": op13_secrets,
 }
