@@ -481,4 +481,4 @@ def test_revisits_of_one_hot_url(spark, monkeypatch):
 
 
 def test_every_operator_has_a_query():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
