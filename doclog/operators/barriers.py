@@ -27,6 +27,7 @@ from doclog.operators.fold import (
     request_outcomes,
     takes_effect,
     with_state,
+    without_key,
 )
 
 ROUND = 64
@@ -102,6 +103,16 @@ def by_key(log: DataFrame, keys: Sequence[str] = ("id",), patch: Column | None =
     return log.withColumns(changes).where(~(F.col("lenient") & F.col(key).isNull()))
 
 
+def applicable(log: DataFrame) -> DataFrame:
+    """`log` without by-query requests whose query is of no known kind; these fail and change nothing."""
+    return log if "query" not in log.columns else log.where(~unknown_query())
+
+
+def unknown_query() -> Column:
+    known = F.coalesce(F.col("query.kind").isin(*S.QUERY_KINDS), F.lit(False))
+    return F.col("action").isin(*S.BY_QUERY) & ~known
+
+
 def next_rules(log: DataFrame, past: Position | None, limit: int) -> list[Rule]:
     """The first `limit` by-query requests after `past`, in log order."""
     rows = log.where(F.col("action").isin(*S.BY_QUERY))
@@ -180,7 +191,7 @@ def _assigned(rule: Column, f: T.StructField, old: Column) -> Column:
 _RULE = "struct<action:string,kind:string,field:string,lo:string,hi:string,set:map<string,string>>"
 
 
-def _rule_literal(rule: Rule) -> Column:
+def rule_literal(rule: Rule) -> Column:
     query = rule.query or {}
     assign = (
         F.create_map(*[F.lit(v) for kv in rule.set.items() for v in kv]) if rule.set else F.lit(None)
@@ -190,6 +201,23 @@ def _rule_literal(rule: Rule) -> Column:
     return F.struct(F.lit(rule.action).alias("action"), *values, assign.alias("set")).cast(_RULE)
 
 
+def advance(exists: Column, doc: Column, e: Column, fields: Sequence[T.StructField], key: dict) -> tuple[Column, dict]:
+    """(does the document exist, its fields) after the entry `e`: a reduced step, or a by-query request."""
+    step, rule = e["step"], e["rule"]
+    is_step = step.isNotNull()
+    effect = F.when(exists, step["if_present"]).otherwise(step["if_absent"])
+    hit = exists & _matches(rule, doc, key, fields)
+    still = F.when(is_step, F.coalesce(effect["exists"], exists)).otherwise(
+        exists & ~(hit & (rule["action"] == "delete_by_query"))
+    )
+    values = {}
+    for f in fields:
+        old, new = doc.getField(f.name), effect.getField(f.name)
+        by_rule = F.when(hit & (rule["action"] == "update_by_query"), _assigned(rule, f, old)).otherwise(old)
+        values[f.name] = F.when(is_step, F.when(new.isNotNull(), new.getField("v")).otherwise(old)).otherwise(by_rule)
+    return still, values
+
+
 def fold_steps(
     per_key: DataFrame, rules: Sequence[Rule], fields: Sequence[T.StructField], keys: Sequence[str], step_type
 ) -> DataFrame:
@@ -207,8 +235,8 @@ def fold_steps(
     todo = F.transform("steps", lambda s: entry(s["epoch"] * 2, s, no_rule))
     if rules:
         todo = F.concat(
-            F.coalesce(todo, F.array().cast(T.ArrayType(_entry_type(step_type)))),
-            F.array(*[entry(F.lit(2 * i + 1), no_step, _rule_literal(r)) for i, r in enumerate(rules)]),
+            F.coalesce(todo, F.array().cast(T.ArrayType(entry_type(step_type)))),
+            F.array(*[entry(F.lit(2 * i + 1), no_step, rule_literal(r)) for i, r in enumerate(rules)]),
         )
     todo = F.array_sort(todo, lambda a, b: a["at"] - b["at"])
 
@@ -224,20 +252,9 @@ def fold_steps(
     )
 
     def merge(state: Column, e: Column) -> Column:
-        step, rule, exists = e["step"], e["rule"], state["exists"]
+        step, exists = e["step"], state["exists"]
         is_step = step.isNotNull()
-        effect = F.when(exists, step["if_present"]).otherwise(step["if_absent"])
-        hit = exists & _matches(rule, state["doc"], typed_key, fields)
-        still = F.when(is_step, F.coalesce(effect["exists"], exists)).otherwise(
-            exists & ~(hit & (rule["action"] == "delete_by_query"))
-        )
-        values = {}
-        for f in fields:
-            old, new = state["doc"].getField(f.name), effect.getField(f.name)
-            by_rule = F.when(hit & (rule["action"] == "update_by_query"), _assigned(rule, f, old)).otherwise(old)
-            values[f.name] = F.when(is_step, F.when(new.isNotNull(), new.getField("v")).otherwise(old)).otherwise(
-                by_rule
-            )
+        still, values = advance(exists, state["doc"], e, fields, typed_key)
         mark = F.struct(step["epoch"].cast("int").alias("epoch"), exists.alias("exists"))
         began = F.when(is_step, F.array_append(state["began"], mark)).otherwise(state["began"])
         return as_state(still, values, began.cast(began_type))
@@ -245,7 +262,7 @@ def fold_steps(
     return per_key.withColumn("state", F.aggregate(todo, zero, merge))
 
 
-def _entry_type(step_type) -> T.StructType:
+def entry_type(step_type) -> T.StructType:
     rule = T.StructType(
         [T.StructField(n, T.StringType()) for n in ("action", "kind", "field", "lo", "hi")]
         + [T.StructField("set", S.SET)]
@@ -302,8 +319,11 @@ def replay_with_queries(
     hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """Fold a log that may hold by-query requests (columns `query`, `set`) into the table of surviving documents."""
-    log, state = by_key(log, keys), base
+    """Fold a log that may hold by-query requests (columns `query`, `set`) into the table of surviving documents.
+
+    By-query requests whose query is of no known kind change nothing.
+    """
+    log, state = by_key(applicable(log), keys), base
     hot = hot_keys(log, keys) if hot is None else hot
     for part, rules, last in rounds(log, size):
         if not rules:
@@ -322,12 +342,15 @@ def outcomes_with_queries(
     hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """`request_outcomes` for a log that may hold by-query requests; those themselves never fail."""
+    """`request_outcomes` for a log that may hold by-query requests: one outcome for every request.
+
+    A by-query request fails when its query is of no known kind, whatever it would have met.
+    """
     keys = list(keys)
-    log = by_key(log, keys)
+    whole, log = log, by_key(applicable(log), keys)
     hot = hot_keys(log, keys) if hot is None else hot
     own = ~F.col("lenient") if "lenient" in log.columns else F.lit(True)
-    state, parts = base, []
+    state, parts = base, [] if "query" not in whole.columns else [by_query_outcomes(whole, log.columns)]
     for part, rules, last in rounds(log, size):
         if not rules:
             parts.append(request_outcomes(part, state, keys, hot, chunk_bits).where(own))
@@ -335,7 +358,7 @@ def outcomes_with_queries(
         keyed, per_key = _round(part, state, rules, keys, hot, chunk_bits)
         began = per_key.select(*keys, F.inline("state.began")).withColumnRenamed("exists", "began")
         judged = by_heat(keyed, keyed, keys, lambda rows, bits: _judge(rows, began, keys, bits), hot, chunk_bits)
-        parts.append(label_outcomes(judged.where(own)))
+        parts.append(label_outcomes(without_key(keyed.drop("epoch"), judged, keys).where(own), keys))
         if not last:
             state = materialize(_states(per_key, keys), "round")
     out = parts[0]
@@ -344,6 +367,20 @@ def outcomes_with_queries(
     return out
 
 
+def by_query_outcomes(log: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Outcomes of the by-query requests themselves, with `columns` as far as the log has them."""
+    rows = log.where(F.col("action").isin(*S.BY_QUERY))
+    reason = F.when(unknown_query(), "kind of query not known")
+    done = F.when(F.col("action") == "delete_by_query", "deleted").otherwise("updated")
+    kept = [F.col(c) if c in log.columns else F.lit(None).alias(c) for c in columns]
+    return rows.select(*kept, F.lit(False).alias("exists_before"), reason.alias("reason")).withColumns(
+        {
+            "failed": F.col("reason").isNotNull(),
+            "result": F.when(F.col("reason").isNotNull(), "failed").otherwise(done),
+        }
+    )
+
+
 def _column(e: str | Column) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 

@@ -12,6 +12,7 @@ from doclog import schema as S
 from doclog.functions.scale import CHUNK_BITS, hot_keys
 from doclog.operators.barriers import count_below, reduce_epochs
 from doclog.operators.fold import doc_fields
+from doclog.operators.positions import replay_targets_with_queries
 from doclog.operators.segments import page
 
 ROUND_POSITIONS = 64
@@ -37,8 +38,11 @@ def replay_targets(
     """Replay one log into many targets, each from its own `file_position`; `base` holds their tables by `target`.
 
     The log is read and reduced once, between the distinct positions; a target then combines the reduced rows from
-    its position on. So the wide rows are never copied per target. A target without a position takes no part.
+    its position on. So the wide rows are never copied per target. A target without a position takes no part. With
+    by-query requests in the log, targets go through `positions.replay_targets_with_queries`.
     """
+    if "query" in log.columns and not log.where(F.col("action").isin(*S.BY_QUERY)).isEmpty():
+        return replay_targets_with_queries(log, positions, base, keys, hot=hot, chunk_bits=chunk_bits)
     hot = hot_keys(log, keys) if hot is None else hot
     parts = [
         _replay_round(log, some, base, list(keys), hot, chunk_bits) for some in _rounds_of_targets(positions)

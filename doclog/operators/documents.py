@@ -17,9 +17,11 @@ from doclog.operators.barriers import (
     ROUND,
     Rule,
     after,
+    applicable,
     apply_delete_by_query,
     apply_update_by_query,
     by_key,
+    by_query_outcomes,
     rounds,
 )
 from doclog.operators.fold import readable, request_outcomes, takes_effect, with_base, with_state
@@ -126,12 +128,13 @@ def replay_documents_with_queries(
     """(documents, outcomes of the keyed requests) of a log that may hold by-query requests.
 
     By-query requests for one key are plain requests; others are taken one after another, with the documents written
-    in between.
+    in between. Those whose query is of no known kind fail.
     """
     patch = F.to_json(F.transform_values("set", lambda k, v: F.coalesce(F.try_parse_json(v), v.cast("variant"))))
-    log = by_key(log, keys, patch)
+    whole, log = check_docs(log), by_key(applicable(log), keys, patch)
     own = ~F.col("lenient") if "lenient" in log.columns else F.lit(True)
-    state, outcomes, hot = base, [], hot_keys(log, keys)
+    state, hot = base, hot_keys(log, keys)
+    outcomes = [by_query_outcomes(whole, check_docs(log).columns)]
     for part, rules, last in rounds(log, size):
         keyed, past = part.where(~F.col("action").isin(*S.BY_QUERY)), None
         for rule in [document_rule(r, keys) for r in rules]:

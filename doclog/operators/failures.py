@@ -34,14 +34,14 @@ def with_segment_position(log: DataFrame) -> DataFrame:
 
 
 def dead_letters(log: DataFrame, failed: DataFrame, target: str) -> DataFrame:
-    """Failed requests as they are stored: with target, segment, position in it, reason and attempts."""
+    """Failed requests as they are stored, in the schema LETTERS: the request as it was logged, with target, segment,
+    position in it, reason and attempts."""
     places = with_segment_position(log.select("segment_id", "seq").distinct())
-    kept = [c for c in failed.columns if c not in ("chunk", "code", "failed", "result", "exists_before")]
-    return (
-        failed.select(*kept)
-        .join(places, ["segment_id", "seq"])
-        .withColumn("target", F.lit(target))
-    )
+    rows = failed.join(places, ["segment_id", "seq"]).withColumn("target", F.lit(target))
+    if "raw" in failed.columns:
+        rows = rows.withColumn("doc", F.col("raw"))
+    kept = [F.col(f.name) if f.name in rows.columns else F.lit(None).alias(f.name) for f in S.LETTERS.fields]
+    return rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(kept, S.LETTERS.fields)])
 
 
 def segment_errors(log: DataFrame, failures: DataFrame | None = None) -> DataFrame:

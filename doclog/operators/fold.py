@@ -8,8 +8,8 @@ are found from a sample of the key column and cut into chunks of the log order:
 and what crosses a chunk is one flag. The sample only decides how a key is worked on, never what comes out.
 
 A log for this module has `seq`, `item`, `action`, the key columns and the document: a struct column `doc` plus,
-optionally, `present` (names of the fields the request carries; null means all) and `valid` (false for an
-unreadable document).
+optionally, `present` (names of the fields the request carries; null means all), `valid` (false for an
+unreadable document) and `fits` (false for one whose values are not of the fields' types).
 """
 
 from __future__ import annotations
@@ -24,25 +24,39 @@ from doclog import schema as S
 from doclog.functions.scale import CHUNK_BITS, by_heat, chunk_of
 
 
+_ODD = "__odd"
+"""Where the JSON reader puts a document with a value that is not of its field's type."""
+
+
 def readable(doc: Column, action: Column) -> Column:
     """Requests that bring a document must bring a JSON object."""
     return F.json_object_keys(doc).isNotNull() | ~action.isin(*S.DOC_WRITES)
 
 
-def parse_docs(log: DataFrame, doc_type: T.StructType) -> DataFrame:
+def parse_docs(log: DataFrame, doc_type: T.StructType, strict: bool = False) -> DataFrame:
     """Turn JSON `doc` into a struct of the declared fields, keeping which fields a patch gives.
 
     A log that was captured already says which documents are readable; then the columns that decide existence can be
-    read without the documents.
+    read without the documents. With `strict` a document with a value that is not of its field's type does not fit, and
+    its request fails as a whole; without, such a value is null. `raw` keeps the text for dead letters; nothing else
+    reads it.
     """
     valid = F.col("valid") if "valid" in log.columns else readable(F.col("doc"), F.col("action"))
-    return log.withColumns(
-        {
-            "valid": valid,
-            "present": F.when(F.col("action") == "update", F.json_object_keys("doc")),
-            "doc": F.when(valid, F.from_json("doc", doc_type)),
-        }
-    )
+    columns = {
+        "raw": F.col("doc"),
+        "valid": valid,
+        "present": F.when(F.col("action") == "update", F.json_object_keys("doc")),
+    }
+    if not strict:
+        return log.withColumns(columns | {"doc": F.when(valid, F.from_json("doc", doc_type))})
+    whole = T.StructType([*doc_type.fields, T.StructField(_ODD, T.StringType())])
+    parsed = F.when(valid, F.from_json("doc", whole, {"columnNameOfCorruptRecord": _ODD}))
+    rows = log.withColumns(columns | {"__parsed": parsed})
+    fits = F.col("__parsed").isNull() | F.col("__parsed").getField(_ODD).isNull()
+    doc = F.struct(*[F.col("__parsed").getField(f.name).alias(f.name) for f in doc_type.fields])
+    return rows.withColumns(
+        {"fits": fits, "doc": F.when(F.col("__parsed").isNotNull() & fits, doc)}
+    ).drop("__parsed")
 
 
 def doc_fields(log: DataFrame) -> list[T.StructField]:
@@ -50,7 +64,25 @@ def doc_fields(log: DataFrame) -> list[T.StructField]:
 
 
 def is_valid(log: DataFrame) -> Column:
-    return F.coalesce(F.col("valid"), F.lit(True)) if "valid" in log.columns else F.lit(True)
+    """Does the request bring a document that can be applied, if it brings one?"""
+    flags = [F.coalesce(F.col(c), F.lit(True)) for c in ("valid", "fits") if c in log.columns]
+    return flags[0] & flags[1] if len(flags) == 2 else flags[0] if flags else F.lit(True)
+
+
+def keyed_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Requests that touch one document. Those without its key touch none; other kinds are an error."""
+    known = F.coalesce(F.col("action").isin(*S.KEYED), F.lit(False))
+    # The empty end of the message is not deterministic, which keeps the test above the filters that come before it.
+    none = F.substring(F.uuid(), 1, 0)
+    message = F.concat(F.lit("replay cannot apply requests of this kind: "), F.coalesce("action", F.lit("none")), none)
+    rows = log.where(F.col(keys[0]).isNotNull() | ~known)
+    return rows.where(F.when(known, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def without_key(log: DataFrame, judged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`judged` together with the requests of `log` that name no document."""
+    lost = log.where(F.col(keys[0]).isNull() & F.col("action").isin(*S.KEYED))
+    return judged.unionByName(lost.withColumn("exists_before", F.lit(False)).select(*judged.columns))
 
 
 def _defines(log: DataFrame) -> Column:
@@ -68,8 +100,9 @@ def with_base(log: DataFrame, base: DataFrame | None, keys: Sequence[str]) -> Da
     else:
         doc = F.col("doc")
     first = {"seq": F.lit(S.MIN_LONG), "item": F.lit(0), "action": F.lit("index"), "doc": doc}
-    if "valid" in log.columns:
-        first["valid"] = F.lit(True)
+    for flag in ("valid", "fits"):
+        if flag in log.columns:
+            first[flag] = F.lit(True)
     rows = base.select(*keys, *[c.alias(n) for n, c in first.items()])
     return log.unionByName(rows, allowMissingColumns=True)
 
@@ -83,7 +116,7 @@ def with_state(
     by `chunk` and the last state before each chunk is carried into it.
     """
     keys, splits = list(keys), list(splits)
-    log = log.where(F.col(keys[0]).isNotNull())
+    log = keyed_rows(log, keys)
     defines, leaves = _defines(log), (F.col("action") != "delete").cast("long")
     if chunk_bits is not None:
         log = log.withColumn("chunk", chunk_of(F.col("seq"), chunk_bits))
@@ -115,19 +148,23 @@ def request_outcomes(
     hot: list[tuple] | None = None,
     chunk_bits: int = CHUNK_BITS,
 ) -> DataFrame:
-    """Add `exists_before`, `failed`, `reason` and `result` to every keyed request."""
+    """Add `exists_before`, `failed`, `reason` and `result` to every keyed request; one without an id fails."""
 
     def judge(part: DataFrame, bits: int | None) -> DataFrame:
         rows = with_state(part, keys, bits).where(F.col("seq") != S.MIN_LONG)
         return rows.select(*log.columns, F.coalesce("known", F.lit(False)).alias("exists_before"))
 
-    return label_outcomes(by_heat(log, with_base(log, base, keys), keys, judge, hot, chunk_bits))
+    judged = by_heat(log, with_base(log, base, keys), keys, judge, hot, chunk_bits)
+    return label_outcomes(without_key(log, judged, keys), keys)
 
 
-def label_outcomes(rows: DataFrame) -> DataFrame:
+def label_outcomes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     action, exists = F.col("action"), F.col("exists_before")
+    fits = F.coalesce(F.col("fits"), F.lit(True)) if "fits" in rows.columns else F.lit(True)
     reason = (
-        F.when(~is_valid(rows), "unreadable document")
+        F.when(F.col(keys[0]).isNull(), "no id")
+        .when(~fits, "document does not fit the fields")
+        .when(~is_valid(rows), "unreadable document")
         .when((action == "create") & exists, "document exists")
         .when((action == "update") & ~exists, "document missing")
     )
@@ -270,5 +307,9 @@ def apply_delete(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)
 def state_at(
     log: DataFrame, position: int, base: DataFrame | None = None, keys: Sequence[str] = ("id",)
 ) -> DataFrame:
-    """The table of a consumer standing at segment `position`: everything before it has been applied."""
-    return replay(log.where(F.col("segment_id") < position), base, keys)
+    """The table of a consumer standing at segment `position`: everything before it, by-query requests too, has been
+    applied."""
+    from doclog.operators.barriers import replay_with_queries
+
+    before = log.where(F.col("segment_id") < position)
+    return replay_with_queries(before, base, keys) if "query" in log.columns else replay(before, base, keys)

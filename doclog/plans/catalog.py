@@ -15,6 +15,7 @@ from doclog.operators import barriers, consumers, documents, failures, fold, ord
 from doclog.plans import derived_logs as D
 from doclog.plans import jobs
 from doclog.sources import tables
+from doclog.sources.dead_letters import read_dead_letters
 from doclog.sources.log import scan_segments, write_segments
 from doclog.sources.requests import read_requests, stream_requests
 from doclog.streaming import capture_stream, replay_stream
@@ -306,6 +307,46 @@ def replay_targets(spark, sf):
     return consumers.replay_targets(_rolled_log(spark, sf), _positions(spark, sf))
 
 
+THREE_RULES = [CLEAR_RULE, DELETE_RULE, UPDATE_RULE]
+
+
+def _rolled_barriers(spark, sf):
+    return ordering.roll_by_size(D.barrier_log(spark, sf, THREE_RULES), ROLL_BYTES)
+
+
+def state_at_by_query(spark, sf):
+    return fold.state_at(_rolled_barriers(spark, sf), 9)
+
+
+def replay_targets_by_query(spark, sf):
+    return consumers.replay_targets(_rolled_barriers(spark, sf), _positions(spark, sf))
+
+
+def dead_letter_store(spark, sf):
+    """Events whose documents are broken or ill-typed now and then, and some by-query requests of no known kind,
+    through capture and replay; the letters as they are read back."""
+    root, seq = _scratch(spark), F.col("seq")
+    rules = [UPDATE_RULE, {"seq": 4999, "action": "delete_by_query", "query": {"kind": "exists", "field": "k"}}]
+    broken = F.when(seq % 97 == 5, F.concat(F.lit("["), F.col("doc"))).when(
+        seq % 89 == 7, F.replace("doc", F.lit('"value":'), F.lit('"value":"v","was":'))
+    )
+    reqs = D.barrier_requests(spark, sf, rules).drop("marker").withColumns(
+        {
+            "index": F.lit("sample"),
+            "indices": F.array(F.lit("sample")),
+            "id": F.when((F.col("action") == "delete") & (seq % 50 == 3), None).otherwise(F.col("id")),
+            "doc": F.coalesce(broken, "doc"),
+        }
+    )
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in S.REQUEST.fields if f.name not in reqs.columns}
+    reqs = reqs.withColumns(blank).select(*S.REQUEST.names)
+    jobs.capture_batch(reqs, f"{root}/log", D.TARGETS, 0, max_bytes=ROLL_BYTES)
+    jobs.replay_target(spark, f"{root}/log", f"{root}/sample1", D.EVENT_DOC, dead_letter_path=f"{root}/dead", buckets=8)
+    return read_dead_letters(spark, f"{root}/dead").select(
+        "target", "segment_id", "seq", "item", "action", "id", "doc", "reason", "attempts", F.col("query.kind").alias("kind")
+    )
+
+
 def skip_segments(spark, sf):
     """Every 1000th event is of unknown kind and stops its segment."""
     log = _rolled_log(spark, sf).withColumn("action", F.when(F.col("marker"), "noop").otherwise(F.col("action")))
@@ -327,8 +368,10 @@ def update_by_query(spark, sf):
 
 
 def outcomes_by_query(spark, sf):
+    """Outcomes of the requests that name a document."""
     log = D.barrier_log(spark, sf, [CLEAR_RULE, DELETE_RULE, UPDATE_RULE])
-    return barriers.outcomes_with_queries(log).select("seq", "item", "action", "id", "exists_before", "failed")
+    keyed = barriers.outcomes_with_queries(log).where(~F.col("action").isin(*S.BY_QUERY))
+    return keyed.select("seq", "item", "action", "id", "exists_before", "failed")
 
 
 def capture_replay(spark, sf):
@@ -433,6 +476,9 @@ QUERIES: dict[str, Query] = {
     "q_replay_conv": replay_conv,
     "q_state_at": state_at,
     "q_replay_targets": replay_targets,
+    "q_state_at_by_query": state_at_by_query,
+    "q_replay_targets_by_query": replay_targets_by_query,
+    "q_dead_letter_store": dead_letter_store,
     "q_skip_segments": skip_segments,
     "q_segment_errors": segment_errors,
     "q_delete_by_query": delete_by_query,

@@ -196,7 +196,7 @@ def _replay_run(
     lo, end = due[0], due[-1] + 1
     raw = scan_segments(spark, log_path, lo, due[-1], check=False)
     flat = raw if "in_bulk" in raw.columns else log_rows(raw)
-    log = flat if doc_type is None else parse_docs(flat, doc_type)
+    log = flat if doc_type is None else parse_docs(flat, doc_type, strict=True)
     schema = table_schema(doc_type)
     buckets = at.buckets if at else buckets
 

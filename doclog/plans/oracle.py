@@ -119,6 +119,29 @@ c3 AS (SELECT id, CASE WHEN k = 95 AND EXISTS (SELECT 1 FROM req WHERE seq = 700
 _fourth = seeded("seq > 7000", "c3", "r4") + "," + outcomes("r4", "o4") + "," + state("o4", "s4")
 THREE_RULES = (REQ, _first, _cleared, _second, _cut, _third, _set, _fourth)
 
+def three_rules(log: str, keys: str = "id") -> tuple[str, ...]:
+    """The three by-query requests over the requests of `log` (for each of `keys` but the id), ending in table z4."""
+    by = keys.replace("id", "").strip(", ")
+    also = f" AND r.{by} = s.{by}" if by else ""
+    parts, before = [], f"(SELECT {', '.join('NULL AS ' + k for k in keys.split(', '))}, NULL AS value, NULL AS k WHERE false)"
+    cuts = [-1, 2999, 4999, 7000, 1 << 62]
+    there = f"EXISTS (SELECT 1 FROM {log} r WHERE r.seq = {{}}{also})"
+    changes = [
+        f"SELECT * FROM y1 s WHERE NOT {there.format(2999)}",
+        f"SELECT * FROM y2 s WHERE NOT coalesce(k BETWEEN 0 AND 49 AND {there.format(4999)}, false)",
+        f"SELECT {keys}, CASE WHEN k = 95 AND {there.format(7000)} THEN 0.0 ELSE value END AS value, k FROM y3 s",
+        "SELECT * FROM y4 s",
+    ]
+    for n, change in enumerate(changes, 1):
+        parts.append(f"""
+x{n} AS (
+  SELECT {keys}, seq, item, action, value, k, has_k FROM {log} WHERE seq > {cuts[n - 1]} AND seq < {cuts[n]}
+  UNION ALL SELECT {keys}, -1, 0, 'index', value, k, true FROM {before})""")
+        parts += [outcomes(f"x{n}", f"u{n}", keys), state(f"u{n}", f"y{n}", keys), f"\nz{n} AS ({change})"]
+        before = f"z{n}"
+    return tuple(parts)
+
+
 BAD = """
 noop AS (SELECT * REPLACE (CASE WHEN marker THEN 'noop' ELSE action END AS action) FROM rolled),
 bad AS (SELECT segment_id, min(seq) AS seq FROM noop WHERE action = 'noop' GROUP BY segment_id)"""
@@ -270,6 +293,31 @@ ORACLE: dict[str, str] = {
     "q_replay_targets": sql(REQ, ROLLED, POS, """
         per AS (SELECT target, rolled.* FROM rolled JOIN pos ON segment_id >= file_position)""",
         outcomes("per", keys="target, id"), state("o", "s", keys="target, id"), final="SELECT * FROM s"),
+    "q_state_at_by_query": sql(REQ, ROLLED, "early AS (SELECT * FROM rolled WHERE segment_id < 9)", *three_rules("early"),
+        final="SELECT * FROM z4"),
+    "q_replay_targets_by_query": sql(REQ, ROLLED, POS, """
+        per AS (SELECT target, rolled.* FROM rolled JOIN pos ON segment_id >= file_position)""",
+        *three_rules("per", "target, id"), final="SELECT * FROM z4"),
+    "q_dead_letter_store": sql(REQ, DOCS, ROLLED, """
+        bad AS (
+          SELECT rolled.* REPLACE (
+              CASE WHEN seq IN (4999, 7000) OR (action = 'delete' AND seq % 50 = 3) THEN NULL ELSE id END AS id,
+              CASE seq WHEN 4999 THEN 'delete_by_query' WHEN 7000 THEN 'update_by_query' ELSE action END AS action),
+            CASE WHEN seq IN (4999, 7000) THEN NULL WHEN seq % 97 = 5 THEN '[' || doc
+              WHEN seq % 89 = 7 THEN replace(doc, '"value":', '"value":"v","was":') ELSE doc END AS doc
+          FROM rolled JOIN (SELECT seq, doc FROM req_doc) USING (seq)),
+        fate AS (
+          SELECT *, CASE WHEN seq = 4999 THEN 'kind of query not known' WHEN id IS NULL AND action = 'delete' THEN 'no id'
+            WHEN action <> 'delete' AND seq % 97 = 5 THEN 'unreadable document'
+            WHEN action <> 'delete' AND seq % 89 = 7 THEN 'document does not fit the fields' END AS early
+          FROM bad),
+        good AS (SELECT * FROM fate WHERE early IS NULL AND seq <> 7000)""", outcomes("good"), final="""
+        SELECT 'sample1' AS target, segment_id, seq, item, action, id, doc, reason, CAST(1 AS INTEGER) AS attempts,
+          CASE seq WHEN 4999 THEN 'exists' END AS kind
+        FROM (
+          SELECT segment_id, seq, item, action, id, doc, early AS reason FROM fate WHERE early IS NOT NULL
+          UNION ALL SELECT segment_id, seq, item, action, id, doc,
+            CASE action WHEN 'create' THEN 'document exists' ELSE 'document missing' END FROM o WHERE failed)"""),
     "q_skip_segments": sql(REQ, ROLLED, BAD, """
         kept AS (SELECT noop.* FROM noop LEFT JOIN bad USING (segment_id) WHERE bad.seq IS NULL OR noop.seq < bad.seq)""",
         outcomes("kept"), state("o", "s"), final="SELECT * FROM s"),

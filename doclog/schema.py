@@ -46,7 +46,9 @@ MIN_LONG = -9223372036854775808
 
 FULL_WRITES = ("index", "create", "delete")
 DOC_WRITES = ("index", "create", "update")
+KEYED = FULL_WRITES + ("update",)
 BY_QUERY = ("delete_by_query", "update_by_query")
+QUERY_KINDS = ("term", "range", "match_all")
 BULK_ITEM_ACTIONS = ("index", "create", "update", "delete") + BY_QUERY
 
 QUERY = T.StructType(
@@ -104,6 +106,18 @@ SEGMENTS = T.StructType(
     ]
 )
 
+LETTERS = T.StructType(
+    [
+        *REQUEST.fields,
+        T.StructField("position", T.IntegerType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("attempts", T.IntegerType()),
+        T.StructField("target", T.StringType()),
+        T.StructField("segment_id", T.LongType()),
+    ]
+)
+"""A dead letter: the request as it was logged, its place, and why it failed."""
+
 POSITIONS = T.StructType(
     [
         T.StructField("target", T.StringType()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from doclog import schema as S
 from doclog.sources.files import exists
 
 
@@ -16,7 +17,8 @@ def write_dead_letter(letters: DataFrame, path: str) -> None:
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All dead letters; none when nothing was ever stored."""
+    return spark.read.schema(S.LETTERS).parquet(path) if exists(spark, path) else spark.createDataFrame([], S.LETTERS)
 
 
 SEGMENT_ERROR = "segment_id long, seq long, reason string, tries int, skipped boolean"
