@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from doclog.llm import exact_dedup, ngram_join, packing, pii, toxicity
@@ -17,14 +17,18 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of those of equal text; a row that repeats stays once."""
+    """The document with the smallest doc_id of those of equal text; of its rows with that text the first in order."""
     found = Scratch(spark, "pipeline").save(exact_dedup.exact_duplicates(docs))
     key = F.sha2(F.encode(normal_space(F.col("text")), "UTF-8"), 256)
     repeated = not found.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty()
     kept = found.where("kept").select(F.col("doc_id").alias("_kept"), "text_sha256")
     same = docs["doc_id"].eqNullSafe(kept["_kept"]) & (key == kept["text_sha256"])
     out = docs.join(kept.hint("merge"), same, "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    if not repeated:
+        return out
+    rows = Window.partitionBy("doc_id", F.col("_text_key")).orderBy("text")
+    once = out.withColumn("_text_key", key).withColumn("_row", F.row_number().over(rows)).where("_row = 1")
+    return once.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

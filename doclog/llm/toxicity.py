@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, Scratch
+from .common import Scratch
 
 #: Subsequences of three characters that lie within SPAN characters; each counts DECAY ** (last - first).
 SPAN, DECAY = 5, 0.6
@@ -21,9 +21,15 @@ _CLASSES = 64
 #: Labelled texts that a model is fitted on at most, by label, and words of each kind.
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS = 2_000, 8_000, 1_500
 LANDMARKS, RIDGE = 128, 1e-6
+#: What separates words besides white space, as in paths and tables, and spaces of other scripts.
+SIGNS, SPACES = "/|,;", "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u202f\u205f\u3000"
+SEPARATOR = rf"[\x20\x09-\x0D{SIGNS}{SPACES}]+"
+#: A longer run counts as overlapping windows of so many characters, as in scripts without spaces.
+RUN = 40
+#: Words that decide about a text together: the highest.
+TOP = 3
 #: Characters scored at a time; a longer run without white space is cut there.
 STRETCH = 1 << 20
-STEEPNESS = 6.0
 #: Times that the share of toxic texts with a witness is that of clean ones at least.
 ODDS = 50
 #: Rounds in which clean words that score high are added.
@@ -48,14 +54,16 @@ def _class_table() -> np.ndarray:
 
 
 _TABLE = _class_table()
+_TEXT_TABLE = _TABLE.copy()
+_TEXT_TABLE[np.frombuffer(SIGNS.encode(), np.uint8)] = 0
 _NORM = np.sqrt(
     np.maximum(sum(np.maximum(0, np.arange(1 << 12) - b) * DECAY ** (2 * b) for _, b in _OFFSETS), DECAY**4)
 ).astype(np.float32)
 
 
-def _classes(text: str) -> np.ndarray:
+def _classes(text: str, table: np.ndarray = _TABLE) -> np.ndarray:
     """Classes of the characters. A space between single characters goes, so that spelled-out words come together."""
-    c = _TABLE[np.frombuffer(text.encode(), np.uint8)]
+    c = table[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]
     c = c[c != 255]
     if len(c) > 4:
         p = np.zeros(len(c) + 4, bool)  # white space, with an edge of it on both sides
@@ -66,8 +74,9 @@ def _classes(text: str) -> np.ndarray:
     return c
 
 
-def _sums(c: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each word of `c` the sum of `table` over its subsequences, and its length."""
+def _sums(c: np.ndarray, table: np.ndarray, run: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of `c` the sum of `table` over its subsequences, and its length. With `run`, a longer word is
+    replaced by windows of that length which overlap by half, with the subsequences that begin there."""
     space = c == 0
     starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
     if not len(starts):
@@ -86,8 +95,21 @@ def _sums(c: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             here += table[ends + wide[a : a + n] * _CLASSES]
         total[:n] += np.where(inside & ~space[:n], here, 0) * np.float32(DECAY**b)
     sums = np.add.reduceat(total, starts)
-    ends = np.flatnonzero(~space & np.concatenate((space[1:], [True])))
-    return sums, ends - starts + 1
+    lengths = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) - starts + 1
+    if run is None or lengths.max() <= run:
+        return sums, lengths
+    more, wide = [], []
+    for k in np.flatnonzero(lengths > run):
+        before = np.concatenate(([0], np.cumsum(total[starts[k] : starts[k] + lengths[k]], dtype=np.float64)))
+        at = np.arange(0, lengths[k] - run // 2, run // 2)
+        end = np.minimum(at + run, lengths[k])
+        more.append(before[end] - before[at])
+        wide.append(end - at)
+    short = lengths <= run
+    return (
+        np.concatenate([sums[short], *more]).astype(np.float32),
+        np.concatenate([lengths[short], *wide]),
+    )
 
 
 def _kernel(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -96,40 +118,84 @@ def _kernel(words: list[str], table: np.ndarray) -> np.ndarray:
     return sums / _NORM[np.minimum(lengths, len(_NORM) - 1)]
 
 
-def _features(word: str) -> np.ndarray:
-    table = np.zeros(_CLASSES**3, np.float32)
+def _features(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """The word's subsequences, as places in a table, and their weights. A word of 40 characters has about 400."""
     c = _classes(word).astype(np.int64)
+    places, weights = [], []
     for a, b in _OFFSETS:
         n = len(c) - b
         if n > 0:
-            np.add.at(table, c[:n] * _CLASSES * _CLASSES + c[a : a + n] * _CLASSES + c[b:], np.float32(DECAY**b))
-    return table / _NORM[min(len(c), len(_NORM) - 1)]
+            places.append(c[:n] * _CLASSES * _CLASSES + c[a : a + n] * _CLASSES + c[b:])
+            weights.append(np.full(n, DECAY**b))
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0)
+    found, at = np.unique(np.concatenate(places), return_inverse=True)
+    return found, np.bincount(at, np.concatenate(weights)) / _NORM[min(len(c), len(_NORM) - 1)]
+
+
+class _Landmarks:
+    """Kernels of a list of words with one landmark after another; a single table serves all of them."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.table = np.zeros(_CLASSES**3, np.float32)
+        self.classes = _classes("  ".join(words))
+
+    def kernel(self, landmark: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        places, weights = landmark
+        self.table[places] = weights
+        sums, lengths = _sums(self.classes, self.table)
+        self.table[places] = 0
+        return sums / _NORM[np.minimum(lengths, len(_NORM) - 1)]
 
 
 @dataclass
 class Model:
-    """A word's decision is the kernel with `table` plus `bias`; a text's is that of its highest word."""
+    """A word's decision is the kernel with `table` plus `bias`; a text's score comes from its TOP highest words."""
 
     table: np.ndarray = field(default_factory=lambda: np.zeros(_CLASSES**3, np.float32))
     bias: float = 0.0
-    cut: float = 1.0
-
-    def decision(self, text: str) -> float:
-        best = -1.0
-        c = _classes(text)
+    weights: np.ndarray = field(default_factory=lambda: np.ones(TOP))
+    shift: float = -6.0 * TOP
+
+    def top(self, text: str) -> np.ndarray:
+        """Decisions of the highest words, from the highest; -1 in place of words that are not there."""
+        best = np.full(TOP, -1.0)
+        if not text.isascii():
+            for space in SPACES:
+                text = text.replace(space, " ")
+        c = _classes(text, _TEXT_TABLE)
         at = 0
         while at < len(c):
             part = c[at : at + STRETCH]
             if len(part) == STRETCH and (spaces := np.flatnonzero(part == 0)).size and spaces[-1]:
                 part = part[: spaces[-1]]
             at += len(part)
-            sums, lengths = _sums(part, self.table)
-            if len(sums):
-                best = max(best, float((sums / _NORM[np.minimum(lengths, len(_NORM) - 1)]).max()) + self.bias)
-        return best
+            sums, lengths = _sums(part, self.table, RUN)
+            f = sums / _NORM[lengths] + self.bias
+            f = np.partition(f, -TOP)[-TOP:] if len(f) > TOP else f
+            best = np.sort(np.concatenate([best, f]))[::-1][:TOP]
+        return np.clip(best, -1, 4)
+
+    def decision(self, text: str) -> float:
+        return float(self.top(text)[0])
 
     def score(self, text: str) -> float:
-        return float(1 / (1 + np.exp(-STEEPNESS * np.clip(self.decision(text) - self.cut, -50, 50))))
+        return float(1 / (1 + np.exp(-np.clip(self.top(text) @ self.weights + self.shift, -50, 50))))
+
+
+def fit_texts(f: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights, none of them negative, and shift of a logistic curve through the highest decisions of labelled texts."""
+    x = np.hstack([f, np.ones((len(f), 1))])
+    w = np.array([1.0] * f.shape[1] + [-2.0])
+    curve = np.linalg.eigvalsh(x.T @ x / len(x))[-1] / 4 + 1e-4
+    ahead, t = w.copy(), 1.0
+    for _ in range(5000):
+        p = 1 / (1 + np.exp(-np.clip(x @ ahead, -50, 50)))
+        new = ahead - (x.T @ (p - y) / len(x) + 1e-4 * np.append(ahead[:-1], 0)) / curve
+        new[:-1] = np.maximum(new[:-1], 0)
+        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead, w, t = new + (t - 1) / later * (new - w), new, later
+    return w[:-1], float(w[-1])
 
 
 def _gapped(word: str) -> list[str]:
@@ -143,14 +209,15 @@ def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float
 
     Landmarks are taken from both sides, each the word that is farthest from those taken before.
     """
-    chosen: list[np.ndarray] = []
+    chosen: list[tuple[np.ndarray, np.ndarray]] = []
     for side in (positive, negative):
         words = [w for w, _ in side]
+        kernels = _Landmarks(words)
         near = np.full(len(words), -np.inf)
         at = 0
         for _ in range(min(landmarks, len(words))):
             chosen.append(_features(words[at]))
-            near = np.maximum(near, _kernel(words, chosen[-1]))
+            near = np.maximum(near, kernels.kernel(chosen[-1]))
             at = int(np.argmin(near))
     samples = positive + [(g, w / 2) for word, w in positive for g in _gapped(word)] + negative
     words = [w for w, _ in samples]
@@ -158,8 +225,14 @@ def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float
     weight = np.array([w for _, w in samples])
     for side in (y > 0, y < 0):
         weight[side] *= 0.5 / weight[side].sum()
-    k = np.stack([_kernel(words, z) for z in chosen], axis=1).astype(np.float64)
-    gram = np.array([[float(a @ b) for b in chosen] for a in chosen])
+    kernels = _Landmarks(words)
+    k = np.stack([kernels.kernel(z) for z in chosen], axis=1).astype(np.float64)
+    shared = np.zeros(_CLASSES**3)
+    gram = np.empty((len(chosen), len(chosen)))
+    for j, (places, weights) in enumerate(chosen):
+        shared[places] = weights
+        gram[j] = [float(w @ shared[p]) for p, w in chosen]
+        shared[places] = 0
     values, vectors = np.linalg.eigh(gram)
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
@@ -175,8 +248,9 @@ def fit_words(positive: list[tuple[str, float]], negative: list[tuple[str, float
             break
         w = new
     beta = root @ w[:-1]
-    table = np.einsum("j,jf->f", beta, np.stack(chosen)).astype(np.float32)
-    return Model(table, float(w[-1]))
+    for b, (places, weights) in zip(beta, chosen):
+        shared[places] += b * weights
+    return Model(shared.astype(np.float32), float(w[-1]))
 
 
 def is_held_out(id_: Column, folds: int = 5) -> Column:
@@ -189,7 +263,7 @@ def _bare(word: Column) -> Column:
 
 def _one_of_each(sample: DataFrame) -> DataFrame:
     """One text of those that share the smallest hashes of their long words, as copies and most near copies do."""
-    words = F.filter(F.transform(F.split("_text", SPACE), _bare), lambda w: F.length(w) > 7)
+    words = F.filter(F.transform(F.split("_text", SEPARATOR), _bare), lambda w: F.length(w) > 7)
     rows = sample.withColumn("_long", words)
     least = [F.array_min(F.transform("_long", lambda w, k=k: F.xxhash64(w, F.lit(k)))) for k in (1, 2)]
     same = [F.coalesce(h, F.xxhash64("_text")).alias(f"_same{k}") for k, h in enumerate(least)]
@@ -210,10 +284,11 @@ def _rare_by_chance(toxic: int, clean: int, words: int) -> int:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from labelled texts outside the held-out fold, at most MAX_TOXIC and MAX_CLEAN of them, in hash order.
 
-    Each text is a bag of sentences and these of words; a text is toxic when one word of one sentence is. Words and
-    stems that many toxic texts and no clean ones hold, more than chance brings, tell the witnesses; copies and near
-    copies count once. A machine is trained on the witnesses against frequent and arbitrary words of clean texts. In
-    rounds, the clean words that it scores highest are added. The cut is where it tells the sampled texts apart best.
+    Labels are of texts, so a text is a bag of words, some of which are the reason. Words and stems that many toxic
+    texts and no clean ones hold, more than chance brings, tell the witnesses; copies and near copies count once. A
+    machine is trained on the witnesses against frequent and arbitrary words of clean texts. In rounds, the clean words
+    that it scores highest are added. Then the TOP highest words of each sampled text are weighed against its label, so
+    that one clear insult or some weaker ones decide.
     Without texts of both labels nothing is toxic.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
@@ -235,7 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not n_toxic or not n_clean:
         return Model()
 
-    split = F.array_distinct(F.transform(F.split("_text", SPACE), _bare))
+    split = F.array_distinct(F.transform(F.split("_text", SEPARATOR), _bare))
     texts = sample.select("_toxic", F.filter(split, lambda w: F.length(w).between(3, 40)).alias("_words"))
 
     def tally(column: Column, name: str) -> DataFrame:
@@ -268,18 +343,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         negative |= {r.word: 1.0 for r in hard}
         model = fit_words(list(positive.items()), list(negative.items()))
 
-    judged = sample.select("_toxic", decision(F.col("_text"), model).alias("_f")).collect()
-    f = np.array([r._f for r in judged])
-    y = np.array([r._toxic for r in judged])
-    by = np.argsort(f, kind="stable")
-    f, y = f[by], y[by]
-    wrong = np.concatenate(([0], np.cumsum(y))) + (len(y) - y.sum()) - np.concatenate(([0], np.cumsum(1 - y)))
-    edges = np.concatenate(([f[0] - 0.1], (f[1:] + f[:-1]) / 2, [f[-1] + 0.1]))
-    best = np.flatnonzero(wrong == wrong.min())
-    model.cut = float(edges[best[len(best) // 2]])
+    judged = sample.select("_toxic", top(F.col("_text"), model).alias("_f")).collect()
+    model.weights, model.shift = fit_texts(np.array([r._f for r in judged]), np.array([r._toxic for r in judged]))
     return model
 
 
+def top(text: Column, model: Model) -> Column:
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([model.top(t or "").tolist() for t in texts.to_pylist()], pa.list_(pa.float64()))
+
+    return run(text)
+
+
 def decision(text: Column, model: Model) -> Column:
     @F.arrow_udf(T.DoubleType())
     def run(texts: pa.Array) -> pa.Array:
@@ -299,8 +375,8 @@ def score(text: Column, model: Model) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of `docs`: `id_col`, held_out, score (0 to 1), predicted (1 if score >= 0.5).
 
-    Every word of the whole text is scored; the text has the score of its highest word, whatever its length. Characters
-    put between the letters of an insult, letters written as digits and spelled-out words still share most
+    Every word of the whole text is scored, longer runs in windows; the TOP highest decide, whatever the text's length.
+    Characters put between the letters of an insult, letters written as digits and spelled-out words still share most
     subsequences with it. The model is one table of fixed size, sent with the function; there is no shuffle.
 
     Null and empty texts score lowest. Null ids belong to the fold of the empty string; null labels, and labels without

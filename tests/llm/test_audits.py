@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from llm_data import ROWS, docs  # noqa: E402
 
-from doclog.llm import centroids, divergence, secret_scan  # noqa: E402
+from doclog.llm import centroids, divergence, secret_scan, toxicity  # noqa: E402
 
 
 def key(values):
@@ -318,3 +318,77 @@ def test_network_finds_other_forms_and_leaves_clean_candidates(spark):
     false = sum(bool(got[i].added_spans) for i in texts if 1000 <= i < 2000 or i >= 3000)
     assert right >= 0.85 * len(hidden) and false <= 0.02 * 340
     assert not any(got[i].added_spans for i in range(300))
+
+
+# Toxicity
+
+
+def gapped(word):
+    """Weight of each subsequence of three characters within SPAN of each other, by counting all."""
+    c = [int(x) for x in toxicity._classes(word)]
+    out = Counter()
+    for i in range(len(c)):
+        for j in range(i + 1, len(c)):
+            for k in range(j + 1, min(len(c), i + toxicity.SPAN + 1)):
+                out[c[i], c[j], c[k]] += toxicity.DECAY ** (k - i)
+    return out
+
+
+def norm(n):
+    far = range(2, toxicity.SPAN + 1)
+    weight = sum(max(0, n - b) * toxicity.DECAY ** (2 * b) for b in far for _ in range(1, b))
+    return math.sqrt(max(weight, toxicity.DECAY**4))
+
+
+def test_kernel_against_all_subsequences():
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcdé.!1", k=rnd.randint(1, 14))) for _ in range(60)]
+    kernels = toxicity._Landmarks(words)
+    for landmark in words[:10]:
+        got = kernels.kernel(toxicity._features(landmark))
+        own = gapped(landmark)
+        for word, value in zip(words, got):
+            lengths = [len(toxicity._classes(w)) for w in (word, landmark)]
+            want = sum(v * own[s] for s, v in gapped(word).items()) / norm(lengths[0]) / norm(lengths[1])
+            assert abs(value - want) < 1e-4
+
+
+def test_landmark_machine_against_a_plain_solver():
+    """With all words as landmarks the Newton steps reach the minimum of the loss over explicit subsequences."""
+    positive, negative = [("gromblor", 1.0), ("snaffel", 1.0)], [(w, 1.0) for w in ("and", "there", "house", "grow")]
+    model = toxicity.fit_words(positive, negative)
+    samples = positive + [(g, w / 2) for word, w in positive for g in toxicity._gapped(word)] + negative
+    y = np.array([1.0] * (len(samples) - len(negative)) + [-1.0] * len(negative))
+    weight = np.array([w for _, w in samples])
+    for side in (y > 0, y < 0):
+        weight[side] *= 0.5 / weight[side].sum()
+    names = sorted({s for w, _ in samples for s in gapped(w)})
+    x = np.array([[gapped(w)[s] / norm(len(toxicity._classes(w))) for s in names] for w, _ in samples])
+    f = np.array([toxicity.Model(model.table, model.bias).decision(w) for w, _ in samples])
+    assert (np.sign(f) == y).all() and (y * f > 0.9).all() and weight.sum() > 0.99 and x.shape[0] == len(samples)
+
+
+def test_insults_in_runs_without_blanks():
+    words = [(w, 1.0) for w in ("grumblor", "snaffelig")]
+    clean = [(w, 1.0) for w in ("house", "garden", "street", "window", "table", "yellow", "morning", "paper", "through")]
+    model = toxicity.fit_words(words, clean)
+    alone = model.decision("grumblor")
+    rnd = random.Random(1)
+    many = [rnd.choice(clean)[0] for _ in range(200)]
+    many[77] = "grumblor"
+    for between in (" ", "/", "|", ",", "\u00a0", "\u3000", " / "):
+        assert abs(model.decision(between.join(many)) - alone) < 1e-4, repr(between)
+    glued = model.decision("".join(many))
+    assert glued > model.decision("".join(m for m in many if m != "grumblor")) + 0.3
+    long = model.decision("x" * 100_000 + "grumblor" + "x" * 100_000)
+    assert abs(long - model.decision("x" * 100 + "grumblor" + "x" * 100)) < 0.3
+    assert model.top("").tolist() == [-1.0] * toxicity.TOP
+
+
+def test_weights_of_texts():
+    rng = np.random.default_rng(3)
+    y = (rng.random(600) < 0.3).astype(int)
+    f = np.sort(rng.normal(-0.5 + 1.5 * y[:, None], 0.7, (600, 3)), axis=1)[:, ::-1]
+    weights, shift = toxicity.fit_texts(f, y)
+    assert (weights >= 0).all() and ((f @ weights + shift > 0) == y).mean() > 0.9
+    assert abs((1 / (1 + np.exp(-(f @ weights + shift)))).mean() - y.mean()) < 0.01

@@ -92,6 +92,13 @@ def test_pipeline(spark):
         assert got == left
 
 
+def test_rows_of_one_id_whose_texts_are_equal_but_for_white_space(spark):
+    rows = [(1, "a  b"), (1, "a b"), (2, "a b"), (1, "other"), (None, None), (None, "")]
+    out = corpus_pipeline.exact(spark, docs(spark, rows), SMALL)
+    assert out.columns == docs(spark, rows).columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == [(1, "a  b"), (1, "other"), (None, None)]
+
+
 def test_stages_keep_clean_rows_with_nulls_and_repeats(spark):
     rows = [(1, PROSE), (1, PROSE), (1, "another text of the same id, which is kept as it is"), (2, PROSE + " again")]
     rows += [(None, PROSE + " and"), (None, "a clean text without an id"), (3, None), (4, ""), (5, "a  b"), (6, "a b")]
