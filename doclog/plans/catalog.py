@@ -14,7 +14,7 @@ from doclog.functions.scale import shared_dir
 from doclog.operators import barriers, consumers, documents, failures, fold, ordering, routing, segments, shaping
 from doclog.plans import derived_logs as D
 from doclog.plans import jobs
-from doclog.sources import tables
+from doclog.sources import layers, tables
 from doclog.sources.dead_letters import read_dead_letters
 from doclog.sources.log import scan_segments, write_segments
 from doclog.sources.requests import read_requests, stream_requests
@@ -394,6 +394,18 @@ def publish_conflict(spark, sf):
     return tables.read_table(spark, path, base.schema)
 
 
+def delta_publish(spark, sf):
+    """Customers as the table, orders as six runs that add layers, with layers combined in between."""
+    path, base, log = _scratch(spark), D.customer_base(spark, sf), D.order_changes(spark, sf)
+    at = tables.publish_table(base, path, 1, buckets=8)
+    part = log.agg(F.max("seq")).first()[0] // 6 + 1
+    for n in range(6):
+        run = log.where((F.col("seq") >= n * part) & (F.col("seq") < (n + 1) * part))
+        at = layers.publish_layer(layers.effects_of(run), path, n + 2, at)
+        at = layers.compact(spark, path, base.schema, at)
+    return tables.read_table(spark, path, base.schema)
+
+
 def replay_batches(spark, sf):
     """Events captured in four batches and replayed in runs of one segment."""
     root, reqs = _scratch(spark), D.event_requests(spark, sf).drop("marker").to(S.REQUEST)
@@ -489,4 +501,5 @@ QUERIES: dict[str, Query] = {
     "t_replay": stream_replay,
     "q_publish_conflict": publish_conflict,
     "q_replay_batches": replay_batches,
+    "q_delta_publish": delta_publish,
 }

@@ -19,11 +19,13 @@ from doclog.operators.fold import parse_docs, replay, request_outcomes
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
 from doclog.operators.routing import classify_requests, route_requests
 from doclog.operators.shaping import log_rows
-from doclog.sources import tables
+from doclog.sources import layers, tables
 from doclog.sources.dead_letters import SEGMENT_ERROR, write_dead_letter, write_segment_errors
 from doclog.sources.log import last_written, read_manifest, scan_segments, write_segments
 
 SEGMENTS_PER_COMMIT = 10_000
+LAYER_SHARE = 0.25
+"""A run with at most this share of the table's rows as requests adds a layer; a larger one rewrites buckets."""
 
 
 @dataclass
@@ -207,6 +209,7 @@ def _replay_run(
         .agg(
             F.count_if(F.col("action").isin(*S.BY_QUERY)).alias("by_query"),
             F.count_if(F.col("code") == S.CODE_UNKNOWN).alias("unknown"),
+            F.count("*").alias("requests"),
         )
         .collect()
     )
@@ -219,6 +222,8 @@ def _replay_run(
         write_segment_errors(report, table_path)
     changed = None if by_query else [f.bucket for f in facts]
     base = tables.read_table(spark, table_path, schema, at, changed) if at else None
+    few = at is not None and sum(f.requests for f in facts) <= LAYER_SHARE * sum(at.rows.values())
+    as_layer = few and not by_query and doc_type is not None
 
     hot = hot_keys(log, ["id"])
 
@@ -250,6 +255,13 @@ def _replay_run(
 
     if stopped is not None:
         end = stopped
-    tables.publish_table(fold(), table_path, end, ["id"], changed, buckets, node, time.time(), at)
+    if as_layer:
+        done = layers.publish_layer(layers.effects_of(log, hot=hot), table_path, end, at, node=node, ts=time.time())
+        try:
+            layers.compact(spark, table_path, schema, done)
+        except tables.CommitConflict:
+            pass  # whoever came first compacts next time
+    else:
+        tables.publish_table(fold(), table_path, end, ["id"], changed, buckets, node, time.time(), at)
     if stopped is not None:
         raise SegmentError(f"segment {stopped} cannot be applied")

@@ -338,5 +338,8 @@ ORACLE: dict[str, str] = {
     "t_capture": sql(REQ, DOCS, final="SELECT seq, item, action, index, id, doc FROM req_doc WHERE index = 'sample'"),
     "t_replay": sql(REQ, outcomes("req"), state("o", "s"), final="SELECT * FROM s"),
     "q_publish_conflict": "SELECT c_custkey AS id, c_acctbal + 1 AS balance FROM customer",
+    "q_delta_publish": sql(_ORD, outcomes("changes"), final="""
+        SELECT id, arg_max_null(balance, seq) AS balance FROM o WHERE NOT failed GROUP BY id
+        HAVING arg_max(action, seq) FILTER (WHERE action <> 'update') <> 'delete'"""),
     "q_replay_batches": sql(REQ, outcomes("req"), state("o", "s"), final="SELECT * FROM s"),
 }

@@ -2,7 +2,8 @@
 
 Layout: `v=N.A/bucket=B/*.parquet`, a folder for each attempt A at version N, and `_commits/N.json`. A commit is one
 small file created whole and only if it is not there, so a table and its position move together or not at all, and
-of two writers one gets an error and leaves nothing. A publish rewrites only the buckets that changed.
+of two writers one gets an error and leaves nothing. A publish rewrites only the buckets that changed. A run that
+touches few keys adds a layer instead (`layers.py`), which readers put together with the table's parts.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,10 @@ class Commit:
     ts: float = 0.0
     parts: dict[str, str] = field(default_factory=dict)
     """bucket -> folder that holds it"""
+    rows: dict[str, int] = field(default_factory=dict)
+    """bucket -> rows in its folder"""
+    layers: list[dict] = field(default_factory=list)
+    """delta layers from the oldest: folder, level, and rows by bucket"""
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -46,15 +51,27 @@ def last_commit(spark: SparkSession, path: str) -> Commit | None:
     """The last commit that can be read. A record without content was never a commit; its number counts as used."""
     done = sorted((n for n in files.names(spark, f"{path}/_commits") if n[0].isdigit()), reverse=True)
     for name in done:
-        try:
-            found = Commit(**json.loads(files.read_text(spark, f"{path}/_commits/{name}")))
-        except ValueError:
-            continue
-        found.version = int(done[0].split(".")[0])
-        return found
+        found = read_commit(spark, path, name)
+        if found is not None:
+            found.version = int(done[0].split(".")[0])
+            return found
     return None
 
 
+def read_commit(spark: SparkSession, path: str, name: str) -> Commit | None:
+    try:
+        return Commit(**json.loads(files.read_text(spark, f"{path}/_commits/{name}")))
+    except ValueError:
+        return None
+
+
+def rows_by_bucket(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Rows of each bucket that was written; the files' footers tell."""
+    if not any(n.startswith("bucket=") for n in files.names(spark, folder)):
+        return {}
+    return {str(r[0]): r[1] for r in spark.read.parquet(folder).groupBy("bucket").count().collect()}
+
+
 def commit(spark: SparkSession, path: str, record: Commit) -> None:
     name = f"{path}/_commits/{record.version:0{_WIDTH}d}.json"
     try:
@@ -71,14 +88,24 @@ def read_table(
     schema: T.StructType,
     at: Commit | None = None,
     buckets: Iterable[int] | None = None,
+    keys: Sequence[str] = ("id",),
 ) -> DataFrame:
-    """The table as of a commit (the last one by default), or only some of its buckets."""
+    """The table as of a commit (the last one by default), or only some of its buckets; layers are put together with
+    the table by `keys`."""
     at = at or last_commit(spark, path)
+    buckets = None if buckets is None else list(buckets)
     wanted = None if buckets is None else {str(b) for b in buckets}
     parts = [] if at is None else [
         f"{path}/{v}/bucket={b}" for b, v in sorted(at.parts.items()) if wanted is None or b in wanted
     ]
-    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+    base = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+    if at is None or not at.layers:
+        return base
+    from doclog.sources import layers
+
+    fields = [f for f in schema.fields if f.name not in keys]
+    kind = layers.layer_schema([schema[k] for k in keys], fields)
+    return layers.merged(base, layers.read_layers(spark, path, at.layers, kind, buckets), keys)
 
 
 def publish_table(
@@ -108,11 +135,25 @@ def publish_table(
     # Rebalance splits a large bucket over several tasks and joins small ones.
     rows = state.withColumn("bucket", bucket_of(keys, buckets)).hint("rebalance", "bucket")
     rows.write.partitionBy("bucket").parquet(f"{path}/{folder}")
-    here = [n.split("=")[1] for n in files.names(spark, f"{path}/{folder}") if n.startswith("bucket=")]
+    here = rows_by_bucket(spark, f"{path}/{folder}")
     gone = None if changed is None else {str(b) for b in changed}
-    kept = {} if before is None or gone is None else {b: v for b, v in before.parts.items() if b not in gone}
+
+    def others(of: dict) -> dict:
+        return {} if before is None or gone is None else {b: v for b, v in of.items() if b not in gone}
+
+    # `state` has the layers of its buckets in it.
+    left = [] if before is None else [{**layer, "rows": others(layer["rows"])} for layer in before.layers]
     node = (before.node if before else "") if node is None else node
-    record = Commit(version, position, buckets, node, ts, kept | {b: folder for b in here})
+    record = Commit(
+        version,
+        position,
+        buckets,
+        node,
+        ts,
+        others(before.parts if before else {}) | {b: folder for b in here},
+        others(before.rows if before else {}) | here,
+        [layer for layer in left if layer["rows"]],
+    )
     try:
         commit(spark, path, record)
     except CommitConflict:
@@ -136,7 +177,7 @@ def move_position(
     record = (
         Commit(1, position, buckets, node, ts)
         if before is None
-        else Commit(before.version + 1, position, before.buckets, node, ts, before.parts)
+        else replace(before, version=before.version + 1, position=position, node=node, ts=ts)
     )
     commit(spark, path, record)
     return record
