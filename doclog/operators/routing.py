@@ -80,12 +80,16 @@ def detect_renew(
     `name` is the full action name and `indices` what it is limited to: null for an action that names no indices,
     empty for all of them.
     """
-    cuts = [name if ":" in name else S.ADMIN_PREFIX + name for name in renew_actions]
-    aimed = F.arrays_overlap("indices", F.array(*[F.lit(t) for t in targets]).cast("array<string>"))
-    everywhere = F.col("indices").isNull() | (F.array_size("indices") == 0)
-    return actions.withColumn(
-        "renew", F.col("name").isin(*cuts) & (everywhere | F.coalesce(aimed, F.lit(False)))
-    )
+    return actions.withColumn("renew", is_renew(F.col("name"), F.col("indices"), targets, renew_actions))
+
+
+def is_renew(
+    name: Column, indices: Column, targets: Sequence[str], renew_actions: Sequence[str] = S.RENEW_ACTIONS
+) -> Column:
+    cuts = [n if ":" in n else S.ADMIN_PREFIX + n for n in renew_actions]
+    aimed = F.arrays_overlap(indices, F.array(*[F.lit(t) for t in targets]).cast("array<string>"))
+    everywhere = indices.isNull() | (F.array_size(indices) == 0)
+    return name.isin(*cuts) & (everywhere | F.coalesce(aimed, F.lit(False)))
 
 
 def full_action_names(actions: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from doclog.plans import derived_logs as D
 from doclog.plans import jobs
 from doclog.sources import layers, tables
 from doclog.sources.dead_letters import read_dead_letters
-from doclog.sources.log import scan_segments, write_segments
+from doclog.sources.log import WriterFenced, open_writer, scan_segments, write_segments
 from doclog.sources.requests import read_requests, stream_requests
 from doclog.streaming import capture_stream, replay_stream
 
@@ -151,7 +151,7 @@ def segment_stats(spark, sf):
 
 def segment_scan(spark, sf):
     path = _scratch(spark)
-    write_segments(_rolled(spark, sf).drop("marker"), path, 0, arranged=True)
+    write_segments(_rolled(spark, sf).drop("marker"), path, 0)
     return scan_segments(spark, path).select("segment_id", "seq", "item", "action", "id", "doc")
 
 
@@ -435,6 +435,35 @@ def stream_capture(spark, sf):
     return scan_segments(spark, f"{root}/log").select("seq", "item", "action", "index", "id", "doc")
 
 
+def stream_capture_renew(spark, sf):
+    """Every 1000th event is a refresh, which cuts the segment where it stands."""
+    root = _scratch(spark)
+    reqs = D.event_requests(spark, sf)
+    reqs = reqs.withColumn("action", F.when(F.col("marker"), "refresh").otherwise(F.col("action"))).drop("marker")
+    reqs.write.json(f"{root}/in")
+    capture_stream(
+        stream_requests(spark, f"{root}/in"), f"{root}/log", ["sample", "other"], f"{root}/capture",
+        max_bytes=ROLL_BYTES, available_now=True,
+    ).awaitTermination()
+    return scan_segments(spark, f"{root}/log").select("seq", "segment_id")
+
+
+def fenced_capture(spark, sf):
+    """Two captures go on from one state of the log; of each pair only the later writer's batch is in the log, the
+    first one's requests follow as a batch of their own."""
+    path, reqs = f"{_scratch(spark)}/log", D.event_requests(spark, sf).drop("marker")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in S.REQUEST.fields if f.name not in reqs.columns}
+    reqs = reqs.withColumns(blank).select(*S.REQUEST.names)
+    odd, even = (reqs.where(F.expr(f"seq div 1000 % 2 = {k}")) for k in (1, 0))
+    first, second = open_writer(spark, path, "first"), open_writer(spark, path, "second")
+    jobs.capture_batch(even, path, ["sample", "other"], 0, writer=second)
+    try:
+        jobs.capture_batch(odd, path, ["sample", "other"], 1, writer=first)
+    except WriterFenced:
+        jobs.capture_batch(odd, path, ["sample", "other"], 2, writer=open_writer(spark, path, "first"))
+    return scan_segments(spark, path).select("segment_id", "action", "index", "id", "doc")
+
+
 def stream_replay(spark, sf):
     root = _scratch(spark)
     _stream_log(spark, sf, root, ["sample", "other"])
@@ -499,6 +528,8 @@ QUERIES: dict[str, Query] = {
     "q_capture_replay": capture_replay,
     "t_capture": stream_capture,
     "t_replay": stream_replay,
+    "t_capture_renew": stream_capture_renew,
+    "q_fenced_capture": fenced_capture,
     "q_publish_conflict": publish_conflict,
     "q_replay_batches": replay_batches,
     "q_delta_publish": delta_publish,

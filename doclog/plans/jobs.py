@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclog import schema as S
+from doclog.functions.requests import admin_action
 from doclog.functions.scale import hot_keys
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
 from doclog.operators.documents import replay_documents, replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
 from doclog.operators.fold import parse_docs, replay, request_outcomes
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
-from doclog.operators.routing import classify_requests, route_requests
+from doclog.operators.routing import classify_requests, is_renew, route_requests
 from doclog.operators.shaping import log_rows
 from doclog.sources import layers, tables
 from doclog.sources.dead_letters import SEGMENT_ERROR, write_dead_letter, write_segment_errors
-from doclog.sources.log import last_written, read_manifest, scan_segments, write_segments
+from doclog.sources.log import Writer, last_written, open_writer, read_manifest, scan_segments, write_segments
 
 SEGMENTS_PER_COMMIT = 10_000
 LAYER_SHARE = 0.25
@@ -45,28 +46,39 @@ def capture_batch(
     batch_id: int,
     order_by: Sequence[str] | None = None,
     max_bytes: int = S.SEGMENT_BYTES,
+    writer: Writer | None = None,
+    renew_actions: Sequence[str] = S.RENEW_ACTIONS,
 ) -> Captured:
     """Append the requests aimed at `targets` to the log as new segments.
 
     The order is `seq` as given, or a new numbering by `order_by` that goes on after the last request of the log. A
     batch whose `seq` does not lie behind the log's last is moved there as a whole, so that the order of requests and
-    that of segments are one, and a replay comes out the same however segments are grouped into runs. A boolean column `marker`, if there, cuts segments. A batch already in the log is not written again.
+    that of segments are one, and a replay comes out the same however segments are grouped into runs. A batch already
+    in the log is not written again.
+
+    Administrative requests of `renew_actions` that concern a target cut the segment where they stand, and are among
+    `passed`, since they go on to the index. A boolean column `marker`, if there, cuts segments too.
+
+    `writer` is the right to append (`open_writer`); without it, this call takes the log over. WriterFenced or
+    SegmentsTaken tell that another capture came first; the log then holds nothing of this batch.
     """
     spark = reqs.sparkSession
-    has_marker = "marker" in reqs.columns
-    marker = F.coalesce(F.col("marker"), F.lit(False)) if has_marker else F.lit(False)
-    routed = classify_requests(route_requests(reqs, targets))
+    writer = writer or open_writer(spark, path)
+    written = read_manifest(spark, path, batch_id)
+    marker = F.coalesce(F.col("marker"), F.lit(False)) if "marker" in reqs.columns else F.lit(False)
+    named = F.coalesce("indices", F.when(F.col("index").isNotNull(), F.array("index")))
+    renews = is_renew(admin_action(F.col("action")), named, targets, renew_actions)
+    routed = classify_requests(route_requests(reqs, targets)).withColumn("renews", F.coalesce(renews, F.lit(False)))
     route = F.when(F.col("code") == S.CODE_UNKNOWN, "pass").otherwise(F.col("route"))
     routed = routed.withColumn("route", F.when(marker, "marker").otherwise(route)).drop("code")
-    rejected, passed = (routed.where(F.col("route") == r).drop("route") for r in ("reject", "pass"))
-
-    written = read_manifest(spark, path).where(F.col("batch_id") == batch_id)
+    cuts = F.col("renews") | (F.col("route") == "marker")
+    rejected, passed = (routed.where(F.col("route") == r).drop("route", "renews") for r in ("reject", "pass"))
     if not written.isEmpty():
         return Captured(written, rejected, passed)
     segment, seq, _ = last_written(spark, path)
     size = F.coalesce("bytes", F.length(F.to_json(F.struct(*S.REQUEST.names))).cast("long"))
-    taken = routed.where(F.col("route").isin("capture", "marker")).withColumn("bytes", size)
-    log = taken.select(*S.REQUEST.names, *(["marker"] if has_marker else []))
+    taken = routed.where((F.col("route") == "capture") | cuts).withColumns({"bytes": size, "marker": cuts})
+    log = taken.select(*S.REQUEST.names, "marker")
     if order_by is not None:
         # Ordering columns beyond the request's own travel along only until the rows are numbered.
         extra = [c for c in order_by if c not in log.columns]
@@ -76,11 +88,11 @@ def capture_batch(
         low = log.agg(F.min("seq")).first()[0] if seq >= 0 else None
         if low is not None and low <= seq:
             log = log.withColumn("seq", F.col("seq") + (seq + 1 - low))
-    if has_marker:
-        log = roll_by_marker(log, "marker", max_bytes, first=segment + 1).drop("marker")
+    if routed.where(cuts).isEmpty():
+        log = roll_by_size(log.drop("marker"), max_bytes, first=segment + 1)
     else:
-        log = roll_by_size(log, max_bytes, first=segment + 1)
-    return Captured(write_segments(log_rows(log), path, batch_id, arranged=True), rejected, passed)
+        log = roll_by_marker(log, "marker", max_bytes, first=segment + 1).drop("marker")
+    return Captured(write_segments(log_rows(log), path, batch_id, writer=writer), rejected, passed)
 
 
 def table_schema(doc_type: T.StructType | None) -> T.StructType:

@@ -337,6 +337,11 @@ ORACLE: dict[str, str] = {
         outcomes("taken"), state("o", "s"), final="SELECT * FROM s"),
     "t_capture": sql(REQ, DOCS, final="SELECT seq, item, action, index, id, doc FROM req_doc WHERE index = 'sample'"),
     "t_replay": sql(REQ, outcomes("req"), state("o", "s"), final="SELECT * FROM s"),
+    "t_capture_renew": sql(REQ, MARKED, final="""
+        SELECT seq, dense_rank() OVER (ORDER BY epoch, bucket) AS segment_id FROM m2"""),
+    "q_fenced_capture": sql(REQ, DOCS, final="""
+        SELECT CAST(1 AS BIGINT) AS segment_id, action, index, id, doc FROM req_doc WHERE (seq // 1000) % 2 = 0 UNION ALL
+        SELECT 2, action, index, id, doc FROM req_doc WHERE (seq // 1000) % 2 = 1"""),
     "q_publish_conflict": "SELECT c_custkey AS id, c_acctbal + 1 AS balance FROM customer",
     "q_delta_publish": sql(_ORD, outcomes("changes"), final="""
         SELECT id, arg_max_null(balance, seq) AS balance FROM o WHERE NOT failed GROUP BY id

@@ -206,7 +206,8 @@ def test_unreadable_segment_is_tried_alone_then_skipped(spark, tmp_path):
     for n in range(3):
         rows = [request(n, "index", id=str(n), doc=doc(n))]
         capture_batch(request_frame(spark, rows), log, ["sample"], n)
-    (tmp_path / "log/data/batch_id=1/segment_id=2/part-broken.parquet").write_bytes(b"PAR1 not a table PAR1")
+    (folder,) = tmp_path.glob("log/data/batch_id=1/epoch=*/segment_id=2")
+    (folder / "part-broken.parquet").write_bytes(b"PAR1 not a table PAR1")
     with pytest.raises(SegmentError):
         replay_target(spark, log, str(tmp_path / "stop"), BODY, retry=1, skip_error=False, retry_wait=0)
     assert replay_target(spark, log, t, BODY, retry=1, retry_wait=0) == 4
