@@ -10,30 +10,44 @@ from pyspark.sql import functions as F
 from doclog import schema as S
 from doclog.operators.consumers import consumer_list, start_consumer, stop_consumer, target_status
 from doclog.operators.shaping import gather_bulks, render_requests
-from doclog.sources import tables
+from doclog.sources import leases, tables
 from doclog.sources.log import read_manifest, scan_segments
 
 
 def start_target(spark: SparkSession, root: str, target: str, node: str, position: int = 0) -> dict:
     """Make `node` the owner of a target, at `position` if positive, else where it stands, else at 1.
 
-    An error when another node owns it. `replay_target(..., node=node)` then works until the owner changes.
+    An error when another node owns it; of two that start at once one gets CommitConflict. `replay_target(..., node=node)` then works until the owner changes.
     """
-    positions = tables.read_positions(spark, root, target)
-    row = start_consumer(positions, target, node, F.current_timestamp(), position).first()
-    tables.move_position(spark, f"{root}/{target}", row.file_position, node, time.time())
+    path = f"{root}/{target}"
+    at = tables.last_commit(spark, path)
+    row = start_consumer(tables.read_positions(spark, root, target), target, node, F.current_timestamp(), position).first()
+    tables.move_position(spark, path, row.file_position, node, time.time(), base=at)
     return {"node_name": node, "file_position": row.file_position, "doc_type": row.doc_type}
 
 
 def stop_target(spark: SparkSession, root: str, target: str, node: str) -> dict:
     """Give a target up: the owner is blanked, the position stays. Only the owner can."""
+    path = f"{root}/{target}"
+    at = tables.last_commit(spark, path)
     reply = stop_consumer(tables.read_positions(spark, root, target), target, node).first()
     if reply.stop:
-        path = f"{root}/{target}"
-        tables.move_position(spark, path, tables.last_commit(spark, path).position, "", time.time())
+        tables.move_position(spark, path, at.position, "", time.time(), base=at)
     return {"found": reply.found, "stop": reply.stop, "working": reply.working}
 
 
+def take_over_lost(spark: SparkSession, root: str, node: str, alive_seconds: int = S.ALIVE_SECONDS) -> list[str]:
+    """Make `node` the owner of all targets under `root` whose owners give no sign of life, and return those it got.
+
+    Every node calls this from time to time and then replays what it got; of several nodes one gets a target.
+    """
+    positions = tables.read_positions(spark, root)
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("ts")
+    lost = positions.where((F.trim("node_name") != "") & (F.col("node_name") != node) & (age >= alive_seconds))
+    names = [r.target for r in lost.select("target").orderBy("target").toLocalIterator()]
+    return [t for t in names if leases.take_over(spark, root, t, node, alive_seconds)]
+
+
 def status(
     spark: SparkSession,
     log_path: str,

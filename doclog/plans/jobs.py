@@ -20,7 +20,7 @@ from doclog.operators.fold import parse_docs, replay, request_outcomes
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
 from doclog.operators.routing import classify_requests, is_renew, route_requests
 from doclog.operators.shaping import log_rows
-from doclog.sources import layers, tables
+from doclog.sources import layers, leases, tables
 from doclog.sources.dead_letters import SEGMENT_ERROR, write_dead_letter, write_segment_errors
 from doclog.sources.log import Writer, last_written, open_writer, read_manifest, scan_segments, write_segments
 
@@ -133,6 +133,7 @@ def replay_target(
     node: str | None = None,
     buckets: int = tables.BUCKETS,
     retry_wait: float = S.POLL_SECONDS,
+    beat_seconds: float = S.ALIVE_SECONDS / 4,
 ) -> int:
     """Bring a target table up to date with the log and return the position reached.
 
@@ -141,7 +142,8 @@ def replay_target(
     Runs of segments are folded as one distributed job each and committed together with the position, so a run is
     applied exactly once. Only a segment whose files cannot be read is skipped, or stops the replay when `skip_error`
     is off, after `retry` more tries with `retry_wait` seconds between; any other error is raised and changes nothing. With
-    `node`, the replay ends when the table belongs to somebody else or has been stopped.
+    `node`, the replay ends when the table belongs to somebody else or has been stopped, and while a run works the node
+    gives a sign of life every `beat_seconds`; a run that lost its table in between raises CommitConflict.
     """
     size, tries = max_segments, 0
     while True:
@@ -158,9 +160,11 @@ def replay_target(
                 tables.move_position(spark, table_path, start, node, time.time(), buckets, at)
             return start
         try:
-            _replay_run(
-                spark, log_path, table_path, doc_type, due, dead_letter_path, request_retry, skip_error, node, buckets, at
-            )
+            with leases.alive(spark, table_path, node, beat_seconds):
+                _replay_run(
+                    spark, log_path, table_path, doc_type, due, dead_letter_path, request_retry, skip_error, node,
+                    buckets, at,
+                )
             size, tries, position = max_segments, 0, 0
         except (SegmentError, tables.CommitConflict):
             raise

@@ -184,7 +184,10 @@ def move_position(
 
 
 def read_positions(spark: SparkSession, root: str, target: str | None = None) -> DataFrame:
-    """Where the target tables under `root` stand, one row each, or only `target`; one read of all commit records."""
+    """Where the target tables under `root` stand, one row each, or only `target`; one read of all commit records.
+
+    `ts` is the owner's last sign of life, a commit or a beat of `leases`.
+    """
     pattern = f"{root}/{target or '*'}/_commits/[0-9]*.json"
     columns = "position long, node string, ts double"
     if not files.any_match(spark, pattern):
@@ -198,11 +201,19 @@ def read_positions(spark: SparkSession, root: str, target: str | None = None) ->
         F.from_json("value", columns).alias("c"),
     )
     last = found.where("c.position IS NOT NULL").groupBy("target").agg(F.max_by("c", "version").alias("c"))
+    last = last.select("target", "c.*")
+    beats = f"{root}/{target or '*'}/_beats/[0-9]*.json"
+    if files.any_match(spark, beats):
+        owner = F.regexp_extract("_metadata.file_path", "([^/]+)/_beats/[0-9]+[.]json$", 1)
+        signs = spark.read.schema("node string, ts double").option("ignoreMissingFiles", True).json(beats)
+        signs = signs.select(F.url_decode(F.replace(owner, F.lit("+"), F.lit("%2B"))).alias("target"), "node", "ts")
+        signs = signs.groupBy("target", "node").agg(F.max("ts").alias("sign"))
+        last = last.join(signs, ["target", "node"], "left").withColumn("ts", F.greatest("ts", "sign"))
     rows = last.select(
         "target",
         F.lit("index").alias("doc_type"),
-        F.col("c.node").alias("node_name"),
-        F.col("c.position").alias("file_position"),
-        F.timestamp_seconds("c.ts").alias("ts"),
+        F.col("node").alias("node_name"),
+        F.col("position").alias("file_position"),
+        F.timestamp_seconds("ts").alias("ts"),
     )
     return rows.to(S.POSITIONS)
