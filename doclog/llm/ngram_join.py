@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,8 @@ from .components import components
 N, THRESHOLD = 5, 0.8
 #: Share of pairs at the threshold that meet in a band, and hashes that may be spent on it.
 RECALL, HASHES = 0.9995, 128
-#: Pairs whose signatures agree less do not go on to the verification. At the threshold the estimate has a standard
-#: deviation of 0.04 (100 hashes), so fewer than one pair in a million is lost.
-LEAST_ESTIMATE = 0.6
+#: Share of pairs at the threshold that the estimate from their signatures may lose before the verification.
+LOST_BY_ESTIMATE = 1e-6
 #: Classes that a block of a band bucket holds on average at most.
 BUCKET_CLASSES = 1024
 #: Documents, and n-grams, that a block of a group holds on average at most.
@@ -51,6 +51,19 @@ def choose_bands(threshold: float, recall: float = RECALL, hashes: int = HASHES)
     return best
 
 
+def least_agreement(threshold: float, hashes: int, lost: float = LOST_BY_ESTIMATE) -> int:
+    """The most places, of `hashes`, in which a pair at `threshold` agrees but for a share `lost` of such pairs.
+
+    Places agree independently with the probability of the similarity, so their number is binomial.
+    """
+    below = 0.0
+    for agree in range(hashes + 1):
+        below += math.comb(hashes, agree) * threshold**agree * (1 - threshold) ** (hashes - agree)
+        if below > lost:
+            return agree
+    return hashes
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
@@ -252,6 +265,7 @@ def near_duplicates(
     """
     scratch = Scratch(docs.sparkSession, "ngrams")
     bands, rows = choose_bands(threshold)
+    agree = least_agreement(threshold, bands * rows)
     texts = docs.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
     ).withColumn("_same", F.xxhash64("_text"))
@@ -279,7 +293,7 @@ def near_duplicates(
     )
 
     banded = classes.select("cls", F.explode("bands").alias("band"))
-    groups = components(scratch, _likely(banded, classes.select("cls", "signature"), LEAST_ESTIMATE * bands * rows))
+    groups = components(scratch, _likely(banded, classes.select("cls", "signature"), agree))
 
     members = scratch.save(
         classes.select("cls", "copies", "grams", "rep", "rep_same").join(
@@ -407,7 +421,7 @@ def _verified_input(texts: DataFrame, dealt: DataFrame, n: int) -> DataFrame:
 
 def _verified(sets: DataFrame, threshold: float) -> DataFrame:
     """(cls, links, root) of every pair of blocks; a task holds one such pair at a time."""
-    ratio = threshold.as_integer_ratio() if threshold not in (0.8,) else (4, 5)
+    ratio = Fraction(str(threshold)).as_integer_ratio()  # as it is written: 0.7 is 7 of 10
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, out = None, [], ([], [], [])

@@ -217,6 +217,31 @@ def test_near_duplicates_of_a_group_in_blocks(spark, monkeypatch):
     assert got == {k: (0, len(links[k])) for k in range(30)}
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.7, 0.8, 0.9])
+def test_near_duplicates_keep_their_recall_at_any_threshold(spark, threshold):
+    """Pairs just above the threshold and pairs just below, among them some at exactly 2/3 for 0.7."""
+    rnd, data = random.Random(5), []
+    for pair in range(300):
+        words = [f"w{rnd.randrange(10**7)}" for _ in range(104)]
+        # Of 100 grams each, those over the last `cut` words differ: (100 - cut) / (100 + cut) are shared.
+        cut = round(100 * (1 - threshold) / (1 + threshold)) - 1 + (4 if pair % 3 == 0 else 0)
+        copy = words[: 104 - cut] + [f"x{rnd.randrange(10**7)}" for _ in range(cut)]
+        data += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(copy))]
+    links = near_links([t for _, t in data], threshold)
+    want = {i for i, there in enumerate(links) if there}
+    got = {r.doc_id for r in ngram_join.near_duplicates(docs(spark, data), threshold=threshold).collect() if r.n_links}
+    assert 300 <= len(want) < 600 and got <= want
+    assert len(got) >= 0.99 * len(want)
+
+
+def test_thresholds_of_the_estimate():
+    rng = np.random.default_rng(6)
+    for threshold in (0.5, 0.7, 0.8, 0.9):
+        least = ngram_join.least_agreement(threshold, 100, 1e-3)
+        lost = (rng.binomial(100, threshold, 200_000) < least).mean()
+        assert lost < 1.3e-3
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(30)]
