@@ -26,11 +26,12 @@ NOT_MERGED = (
 
 
 def canonical_url(url: Column) -> Column:
-    """Host without case, user, leading www and default port, then path and query without fragment; "/" for no path."""
+    """Host without case, user, leading www and the scheme's own port, then path and query without fragment; "/" for no path."""
     plain = F.regexp_replace(url, "#.*$", "")
     host = F.lower(F.regexp_extract(plain, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
     host = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), "^www[0-9]*[.]", "")
-    host = F.regexp_replace(host, ":(80|443)$", "")
+    own_port = F.when(plain.rlike("^(?i)http://"), ":80$").when(plain.rlike("^(?i)https://"), ":443$").otherwise("$")
+    host = F.regexp_replace(host, own_port, F.lit(""))
     path = F.regexp_extract(plain, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*(.*)$", 1)
     full = F.concat(host, F.when(path == "", "/").otherwise(path))
     return F.when(plain.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), full).otherwise(plain)

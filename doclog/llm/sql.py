@@ -59,7 +59,9 @@ ORACLE = {
         k AS (
             SELECT *, regexp_replace(regexp_replace(regexp_replace(
                        lower(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^.*@', ''),
-                       '^www[0-9]*[.]', ''), ':(80|443)$', '')
+                       '^www[0-9]*[.]', ''),
+                       CASE WHEN plain ILIKE 'http://%' THEN ':80$' WHEN plain ILIKE 'https://%' THEN ':443$'
+                            ELSE '$' END, '')
                    || coalesce(nullif(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*(.*)$', 1), ''), '/') AS key
             FROM p
         ),

@@ -234,6 +234,20 @@ def test_near_duplicates_keep_their_recall_at_any_threshold(spark, threshold):
     assert len(got) >= 0.99 * len(want)
 
 
+def test_canonical_urls(spark):
+    want = {
+        "http://a.org:80/x": "a.org/x",
+        "HTTPS://www.A.org:443": "a.org/",
+        "http://a.org:443/": "a.org:443/",
+        "https://u:p@a.org:80/#f": "a.org:80/",
+        "ftp://a.org:80/": "a.org:80/",
+        "no scheme:80": "no scheme:80",
+    }
+    urls = spark.createDataFrame([(u,) for u in want], "url string")
+    got = urls.select("url", revisits.canonical_url(F.col("url")).alias("key")).collect()
+    assert {r.url: r.key for r in got} == want
+
+
 def test_thresholds_of_the_estimate():
     rng = np.random.default_rng(6)
     for threshold in (0.5, 0.7, 0.8, 0.9):
