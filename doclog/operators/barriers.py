@@ -25,7 +25,6 @@ from doclog.operators.fold import (
     merge_effects,
     replay,
     request_outcomes,
-    takes_effect,
     with_state,
     without_key,
 )
@@ -99,6 +98,8 @@ def by_key(log: DataFrame, keys: Sequence[str] = ("id",), patch: Column | None =
     carried = F.coalesce(F.map_keys("set"), F.array().cast("array<string>"))
     before = F.col("present") if "present" in log.columns else none.cast("array<string>")
     changes["present"] = F.when(is_update, carried).otherwise(before)
+    if "upsert" in log.columns:
+        changes["upsert"] = F.when(~hit, F.col("upsert"))
     # A value that is no key at all matches nothing.
     return log.withColumns(changes).where(~(F.col("lenient") & F.col(key).isNull()))
 
@@ -150,8 +151,8 @@ def reduce_epochs(
     def reduce(part: DataFrame, bits: int | None) -> DataFrame:
         rows = with_state(part, keys, bits, ["epoch"])
         both = [
-            *effects(rows, fields, takes_effect(rows, F.coalesce("known", F.lit(False))), "_a"),
-            *effects(rows, fields, takes_effect(rows, F.coalesce("known", F.lit(True))), "_p"),
+            *effects(rows, fields, F.coalesce("known", F.lit(False)), "_a"),
+            *effects(rows, fields, F.coalesce("known", F.lit(True)), "_p"),
         ]
         if bits is None:
             return rows.groupBy(*keys, "epoch").agg(*both)

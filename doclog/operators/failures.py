@@ -40,6 +40,8 @@ def dead_letters(log: DataFrame, failed: DataFrame, target: str) -> DataFrame:
     rows = failed.join(places, ["segment_id", "seq"]).withColumn("target", F.lit(target))
     if "raw" in failed.columns:
         rows = rows.withColumn("doc", F.col("raw"))
+    if "raw_upsert" in failed.columns:
+        rows = rows.withColumn("upsert", F.col("raw_upsert"))
     kept = [F.col(f.name) if f.name in rows.columns else F.lit(None).alias(f.name) for f in S.LETTERS.fields]
     return rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(kept, S.LETTERS.fields)])
 

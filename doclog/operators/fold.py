@@ -9,7 +9,8 @@ and what crosses a chunk is one flag. The sample only decides how a key is worke
 
 A log for this module has `seq`, `item`, `action`, the key columns and the document: a struct column `doc` plus,
 optionally, `present` (names of the fields the request carries; null means all), `valid` (false for an
-unreadable document) and `fits` (false for one whose values are not of the fields' types).
+unreadable document), `fits` (false for one whose values are not of the fields' types) and `upsert`, the document that
+an update writes where there is none. Such an update never fails, and its document exists afterwards either way.
 """
 
 from __future__ import annotations
@@ -28,9 +29,24 @@ _ODD = "__odd"
 """Where the JSON reader puts a document with a value that is not of its field's type."""
 
 
-def readable(doc: Column, action: Column) -> Column:
-    """Requests that bring a document must bring a JSON object."""
-    return F.json_object_keys(doc).isNotNull() | ~action.isin(*S.DOC_WRITES)
+def readable(log: DataFrame) -> Column:
+    """Requests that bring a document must bring a JSON object, and so must updates that bring one to insert."""
+    action = F.col("action")
+    whole = F.json_object_keys("doc").isNotNull() | ~action.isin(*S.DOC_WRITES)
+    if "upsert" not in log.columns:
+        return whole
+    return whole & (F.col("upsert").isNull() | (action != "update") | F.json_object_keys("upsert").isNotNull())
+
+
+def upsert_text(log: DataFrame) -> dict[str, Column]:
+    """The column `upsert` of updates: as given, or the patch itself where `doc_as_upsert` says so. What was given stays
+    in `raw_upsert`, for dead letters."""
+    if "upsert" not in log.columns or "raw_upsert" in log.columns:
+        return {}
+    given = F.col("upsert")
+    if "doc_as_upsert" in log.columns:
+        given = F.when(F.col("doc_as_upsert"), F.col("doc")).otherwise(given)
+    return {"raw_upsert": F.col("upsert"), "upsert": F.when(F.col("action") == "update", given)}
 
 
 def parse_docs(log: DataFrame, doc_type: T.StructType, strict: bool = False) -> DataFrame:
@@ -41,22 +57,30 @@ def parse_docs(log: DataFrame, doc_type: T.StructType, strict: bool = False) ->
     its request fails as a whole; without, such a value is null. `raw` keeps the text for dead letters; nothing else
     reads it.
     """
-    valid = F.col("valid") if "valid" in log.columns else readable(F.col("doc"), F.col("action"))
+    valid = F.col("valid") if "valid" in log.columns else readable(log)
+    log = log.withColumns(upsert_text(log))
+    texts = ["doc", "upsert"] if "upsert" in log.columns else ["doc"]
     columns = {
         "raw": F.col("doc"),
         "valid": valid,
         "present": F.when(F.col("action") == "update", F.json_object_keys("doc")),
     }
     if not strict:
-        return log.withColumns(columns | {"doc": F.when(valid, F.from_json("doc", doc_type))})
+        return log.withColumns(columns | {c: F.when(valid, F.from_json(c, doc_type)) for c in texts})
     whole = T.StructType([*doc_type.fields, T.StructField(_ODD, T.StringType())])
-    parsed = F.when(valid, F.from_json("doc", whole, {"columnNameOfCorruptRecord": _ODD}))
-    rows = log.withColumns(columns | {"__parsed": parsed})
-    fits = F.col("__parsed").isNull() | F.col("__parsed").getField(_ODD).isNull()
-    doc = F.struct(*[F.col("__parsed").getField(f.name).alias(f.name) for f in doc_type.fields])
-    return rows.withColumns(
-        {"fits": fits, "doc": F.when(F.col("__parsed").isNotNull() & fits, doc)}
-    ).drop("__parsed")
+    parsed = {
+        f"__{c}": F.when(valid, F.from_json(c, whole, {"columnNameOfCorruptRecord": _ODD})) for c in texts
+    }
+    rows = log.withColumns(columns | parsed)
+    fits = F.lit(True)
+    for c in parsed:
+        fits = fits & (F.col(c).isNull() | F.col(c).getField(_ODD).isNull())
+
+    def declared(c: str) -> Column:
+        return F.struct(*[F.col(c).getField(f.name).alias(f.name) for f in doc_type.fields])
+
+    docs = {c: F.when(F.col(f"__{c}").isNotNull() & fits, declared(f"__{c}")) for c in texts}
+    return rows.withColumns({"fits": fits} | docs).drop(*parsed)
 
 
 def doc_fields(log: DataFrame) -> list[T.StructField]:
@@ -85,9 +109,16 @@ def without_key(log: DataFrame, judged: DataFrame, keys: Sequence[str]) -> DataF
     return judged.unionByName(lost.withColumn("exists_before", F.lit(False)).select(*judged.columns))
 
 
+def upserts(log: DataFrame) -> Column:
+    """Updates that insert a document where there is none."""
+    if "upsert" not in log.columns:
+        return F.lit(False)
+    return (F.col("action") == "update") & F.col("upsert").isNotNull()
+
+
 def _defines(log: DataFrame) -> Column:
     """Rows after which existence is known: even a failed create leaves a document behind."""
-    return F.col("action").isin(*S.FULL_WRITES) & is_valid(log)
+    return (F.col("action").isin(*S.FULL_WRITES) | upserts(log)) & is_valid(log)
 
 
 def with_base(log: DataFrame, base: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -138,7 +169,8 @@ def with_state(
 
 def takes_effect(log: DataFrame, exists: Column) -> Column:
     action = F.col("action")
-    return is_valid(log) & ~((action == "create") & exists) & ~((action == "update") & ~exists)
+    missing = (action == "update") & ~exists & ~upserts(log)
+    return is_valid(log) & ~((action == "create") & exists) & ~missing
 
 
 def request_outcomes(
@@ -166,12 +198,11 @@ def label_outcomes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         .when(~fits, "document does not fit the fields")
         .when(~is_valid(rows), "unreadable document")
         .when((action == "create") & exists, "document exists")
-        .when((action == "update") & ~exists, "document missing")
+        .when((action == "update") & ~exists & ~upserts(rows), "document missing")
     )
     done = (
         F.when(action == "delete", F.when(exists, "deleted").otherwise("not_found"))
-        .when((action == "index") & exists, "updated")
-        .when(action == "update", "updated")
+        .when(action.isin("index", "update") & exists, "updated")
         .otherwise("created")
     )
     return (
@@ -189,20 +220,24 @@ def carries(log: DataFrame, field: str) -> Column:
     return full | F.col("present").isNull() | F.array_contains("present", field)
 
 
-def effects(log: DataFrame, fields: Sequence[T.StructField], effective: Column, suffix: str = "") -> list[Column]:
-    """Aggregates that reduce effective requests to their combined effect, latest by `code`.
+def effects(log: DataFrame, fields: Sequence[T.StructField], exists: Column, suffix: str = "") -> list[Column]:
+    """Aggregates that reduce requests to their combined effect, latest by `code`, where `exists` tells whether the
+    document of a request exists before it.
 
-    `exists`: state left by the last full write, null without one. One struct per field: null when no request
-    said anything about the field, else holding the value (which may be null).
+    `exists`: state left by the last full write, null without one; an upsert is one where there is no document. One
+    struct per field: null when no request said anything about the field, else holding the value (which may be null).
     """
-    full = F.col("action").isin(*S.FULL_WRITES) & effective
+    effective, opens = takes_effect(log, exists), upserts(log) & ~exists
+    full = (F.col("action").isin(*S.FULL_WRITES) | opens) & effective
     # The place of the last full write, with what it leaves in the lowest bit.
     state = F.max(F.when(full, F.col("code") * 2 + (F.col("action") != "delete").cast("long")))
     out = [(state % 2 == 1).alias(f"exists{suffix}")]
     for f in fields:
-        at = F.when(effective & carries(log, f.name), F.col("code"))
-        value = F.struct(F.col("doc").getField(f.name).alias("v"))
-        out.append(F.max_by(value, at).alias(f"{f.name}{suffix}"))
+        at = F.when(effective & (carries(log, f.name) | opens), F.col("code"))
+        value = F.col("doc").getField(f.name)
+        if "upsert" in log.columns:
+            value = F.when(opens, F.col("upsert").getField(f.name)).otherwise(value)
+        out.append(F.max_by(F.struct(value.alias("v")), at).alias(f"{f.name}{suffix}"))
     return out
 
 
@@ -231,10 +266,10 @@ def replay(
 
     def fold(part: DataFrame, bits: int | None) -> DataFrame:
         rows = with_state(part, keys, bits)
-        ok = takes_effect(rows, F.coalesce("known", F.lit(False)))
+        exists = F.coalesce("known", F.lit(False))
         if bits is None:
-            return rows.groupBy(*keys).agg(*effects(rows, fields, ok))
-        chunks = rows.groupBy(*keys, "chunk").agg(*effects(rows, fields, ok))
+            return rows.groupBy(*keys).agg(*effects(rows, fields, exists))
+        chunks = rows.groupBy(*keys, "chunk").agg(*effects(rows, fields, exists))
         return chunks.groupBy(*keys).agg(*merge_effects(fields, "chunk"))
 
     merged = by_heat(log, with_base(log, base, keys), keys, fold, hot, chunk_bits)
@@ -276,7 +311,8 @@ def apply_create(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)
 
 
 def apply_update(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Merge patches into existing documents, field by field; patches without a document fail."""
+    """Merge patches into existing documents, field by field. Patches without a document fail, unless they bring one to
+    insert."""
     keys = list(keys)
     fields = doc_fields(reqs)
     updates = reqs.where("action = 'update'").where(is_valid(reqs))
@@ -294,7 +330,10 @@ def apply_update(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)
         .alias(f.name)
         for f in fields
     ]
-    return base.join(patches, keys, "left").select(*keys, *merged)
+    patched = base.join(patches, keys, "left").select(*keys, *merged)
+    if "upsert" not in reqs.columns:
+        return patched
+    return patched.unionByName(replay(updates.join(base.select(*keys), keys, "left_anti"), keys=keys))
 
 
 def apply_delete(reqs: DataFrame, base: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:

@@ -38,7 +38,7 @@ def log_rows(reqs: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "bytes": F.when(first, F.col("bytes")).otherwise(F.lit(0).cast("long")),
-            "valid": readable(F.col("doc"), F.col("action")),
+            "valid": readable(rows),
         }
     )
 

@@ -262,6 +262,19 @@ def replay(spark, sf):
     return fold.replay(D.event_log(spark, sf))
 
 
+def upsert(spark, sf):
+    return fold.replay(fold.parse_docs(D.upsert_requests(spark, sf), D.EVENT_DOC))
+
+
+def upsert_outcomes(spark, sf):
+    log = fold.parse_docs(D.upsert_requests(spark, sf), D.EVENT_DOC)
+    return fold.request_outcomes(log).select("seq", "item", "id", "exists_before", "failed", "result")
+
+
+def upsert_documents(spark, sf):
+    return _event_fields(documents.replay_documents(D.upsert_requests(spark, sf)))
+
+
 def _event_fields(docs):
     return docs.select("id", F.from_json("doc", D.EVENT_DOC).alias("d"), F.json_object_keys("doc").alias("names")).select(
         "id", "d.*", F.array_join(F.sort_array("names"), ",").alias("names")
@@ -510,6 +523,9 @@ QUERIES: dict[str, Query] = {
     "q_dead_letter": dead_letter,
     "q_replay": replay,
     "q_replay_documents": replay_documents,
+    "q_upsert": upsert,
+    "q_upsert_outcomes": upsert_outcomes,
+    "q_upsert_documents": upsert_documents,
     "q_replay_pages": replay_pages,
     "q_documents_by_query": documents_by_query,
     "q_replay_base": replay_base,

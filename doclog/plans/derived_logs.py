@@ -51,6 +51,23 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_docs(event_requests(spark, sf_dir), EVENT_DOC)
 
 
+def upsert_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests, where clicks of every third user bring a document to insert, and purchases of every fifth
+    insert their patch."""
+    kind, user = F.col("event_type"), F.col("user_id")
+    given = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("seq"),
+        F.when(
+            (kind == "click") & (user % 3 == 0),
+            F.to_json(
+                F.struct((F.col("value") + 1).alias("value"), (F.get_json_object("props", "$.k").cast("int") + 100).alias("k"))
+            ),
+        ).alias("upsert"),
+        ((kind == "purchase") & (user % 5 == 0)).alias("doc_as_upsert"),
+    )
+    return event_requests(spark, sf_dir).join(given, "seq")
+
+
 def requests_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same requests, where index requests of odd users leave the id to be made and updates carry a version."""
     action, user = F.col("action"), F.col("id").cast("long")

@@ -14,7 +14,7 @@ from doclog import schema as S
 from doclog.functions.requests import admin_action
 from doclog.functions.scale import hot_keys
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
-from doclog.operators.documents import replay_documents, replay_documents_with_queries
+from doclog.operators.documents import check_docs, replay_documents, replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
 from doclog.operators.fold import parse_docs, replay, request_outcomes
 from doclog.operators.ordering import order_log, roll_by_marker, roll_by_size
@@ -214,7 +214,7 @@ def _replay_run(
     lo, end = due[0], due[-1] + 1
     raw = scan_segments(spark, log_path, lo, due[-1], check=False)
     flat = raw if "in_bulk" in raw.columns else log_rows(raw)
-    log = flat if doc_type is None else parse_docs(flat, doc_type, strict=True)
+    log = check_docs(flat) if doc_type is None else parse_docs(flat, doc_type, strict=True)
     schema = table_schema(doc_type)
     buckets = at.buckets if at else buckets
 

@@ -69,6 +69,26 @@ def state(source: str, name: str, keys: str = "id") -> str:
   HAVING arg_max(action, {at}) FILTER (WHERE action <> 'update') <> 'delete')"""
 
 
+UPSERTS = """
+given AS (
+  SELECT *, (event_type = 'click' AND user_id % 3 = 0) OR (event_type = 'purchase' AND user_id % 5 = 0) AS brings FROM req),
+met AS (
+  SELECT *, coalesce(last_value(CASE WHEN action IN ('index', 'create') OR brings THEN 1 WHEN action = 'delete' THEN 0 END
+    IGNORE NULLS) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1
+    AS exists_before FROM given),
+judged AS (
+  SELECT * REPLACE (CASE WHEN opens AND event_type = 'click' THEN value + 1 ELSE value END AS value,
+      CASE WHEN opens AND event_type = 'click' THEN k + 100 WHEN has_k THEN k END AS k, has_k OR opens AS has_k)
+  FROM (
+    SELECT *, brings AND NOT exists_before AS opens, (action = 'create' AND exists_before)
+      OR (action = 'update' AND NOT exists_before AND NOT brings) AS failed FROM met)),
+inserted AS (
+  SELECT id, arg_max_null(value, seq) AS value, arg_max_null(k, seq) FILTER (WHERE has_k) AS k,
+    max(seq) FILTER (WHERE opens OR action <> 'update') AS opened
+  FROM judged WHERE NOT failed GROUP BY id
+  HAVING arg_max(action, seq) FILTER (WHERE opens OR action <> 'update') <> 'delete')"""
+
+
 def seeded(rest: str, before: str, name: str) -> str:
     """The requests `rest` after a table `before`, whose rows come first as whole documents."""
     return f"""
@@ -273,9 +293,18 @@ ORACLE: dict[str, str] = {
     "q_replay_documents": sql(REQ, outcomes("req"), final="""
         SELECT id, arg_max_null(value, seq) AS value, arg_max_null(k, seq) FILTER (WHERE has_k) AS k, 'k,value' AS names
         FROM o WHERE NOT failed GROUP BY id HAVING arg_max(action, seq) FILTER (WHERE action <> 'update') <> 'delete'"""),
+    "q_upsert": sql(REQ, UPSERTS, final="SELECT id, value, k FROM inserted"),
+    "q_upsert_outcomes": sql(REQ, UPSERTS, final="""
+        SELECT seq, item, id, exists_before, failed, CASE WHEN failed THEN 'failed'
+          WHEN action = 'delete' THEN CASE WHEN exists_before THEN 'deleted' ELSE 'not_found' END
+          WHEN exists_before THEN 'updated' ELSE 'created' END AS result FROM judged"""),
+    "q_upsert_documents": sql(REQ, UPSERTS, final="""
+        SELECT id, any_value(i.value) AS value, any_value(i.k) AS k,
+          CASE WHEN bool_or(event_type <> 'purchase' AND event_type <> 'error') THEN 'k,value' ELSE 'value' END AS names
+        FROM inserted AS i JOIN judged AS j USING (id) WHERE NOT failed AND j.seq >= opened GROUP BY id"""),
     "q_replay_pages": """
         SELECT page_id AS id, url, CAST(CASE WHEN lang IS NULL OR lang = 'en' THEN length(html) ELSE n_chars END AS VARCHAR)
-            AS chars, CASE WHEN lang IS NULL OR lang = 'en' THEN url END AS tag, lang,
+            AS chars, url AS tag, lang,
           CASE WHEN lang = 'en' THEN source END AS source
         FROM pages LEFT JOIN documents ON doc_id = page_id WHERE n_chars IS NULL OR n_chars >= 100""",
     "q_documents_by_query": sql(*THREE_RULES, final="SELECT * FROM s4"),

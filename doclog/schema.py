@@ -72,8 +72,11 @@ ITEM = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("query", QUERY),
         T.StructField("set", SET),
+        T.StructField("upsert", T.StringType()),
+        T.StructField("doc_as_upsert", T.BooleanType()),
     ]
 )
+"""An update inserts `upsert` where there is no document, or its patch with `doc_as_upsert`."""
 
 REQUEST = T.StructType(
     [
@@ -91,6 +94,8 @@ REQUEST = T.StructType(
         T.StructField("set", SET),
         T.StructField("items", T.ArrayType(ITEM)),
         T.StructField("bytes", T.LongType()),
+        T.StructField("upsert", T.StringType()),
+        T.StructField("doc_as_upsert", T.BooleanType()),
     ]
 )
 

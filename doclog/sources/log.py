@@ -195,6 +195,11 @@ def scan_segments(
     schema = T.StructType(
         [T.StructField(f.name, T.LongType() if f.name in parts else f.dataType) for f in sample]
     )
+    if "in_bulk" in sample.names:
+        # The first batch may be older than a column of the request.
+        for f in S.ITEM.fields:
+            if f.name not in sample.names:
+                schema.add(f.name, f.dataType)
     reader = spark.read.schema(schema).option("basePath", data)
     if len(batches) <= BATCH_PATHS:
         rows = reader.parquet(*[f"{data}/{b}" for b in batches])
