@@ -98,8 +98,7 @@ def by_key(log: DataFrame, keys: Sequence[str] = ("id",), patch: Column | None =
     carried = F.coalesce(F.map_keys("set"), F.array().cast("array<string>"))
     before = F.col("present") if "present" in log.columns else none.cast("array<string>")
     changes["present"] = F.when(is_update, carried).otherwise(before)
-    if "upsert" in log.columns:
-        changes["upsert"] = F.when(~hit, F.col("upsert"))
+    changes |= {c: F.when(~hit, F.col(c)) for c in ("upsert", "doc_as_upsert") if c in log.columns}
     # A value that is no key at all matches nothing.
     return log.withColumns(changes).where(~(F.col("lenient") & F.col(key).isNull()))
 

@@ -27,15 +27,7 @@ from doclog.operators.barriers import (
     by_query_outcomes,
     rounds,
 )
-from doclog.operators.fold import (
-    readable,
-    request_outcomes,
-    takes_effect,
-    upsert_text,
-    upserts,
-    with_base,
-    with_state,
-)
+from doclog.operators.fold import brings, readable, request_outcomes, takes_effect, upsert_text, with_base, with_state
 
 FIELDS = "map<string,variant>"
 
@@ -136,7 +128,7 @@ def replay_documents(
     def fold(part: DataFrame, bits: int | None) -> DataFrame:
         rows = with_state(part, keys, bits)
         exists = F.coalesce("known", F.lit(False))
-        opens, doc = upserts(rows) & ~exists, F.when(writes, F.col("doc"))
+        opens, doc = brings(rows) & ~exists, F.when(writes, F.col("doc"))
         if "upsert" in rows.columns:
             doc = F.when(opens, F.col("upsert")).otherwise(doc)
         chunk = F.lit(0).cast("long") if bits is None else F.col("chunk")

@@ -38,6 +38,18 @@ def readable(log: DataFrame) -> Column:
     return whole & (F.col("upsert").isNull() | (action != "update") | F.json_object_keys("upsert").isNotNull())
 
 
+def brings(log: DataFrame) -> Column:
+    """Is it an update that brings a document to insert? A stored log says so, and needs no document for it."""
+    if "brings" in log.columns:
+        return F.coalesce("brings", F.lit(False))
+    if "upsert" not in log.columns:
+        return F.lit(False)
+    given = F.col("upsert").isNotNull()
+    if "doc_as_upsert" in log.columns:
+        given = given | F.coalesce("doc_as_upsert", F.lit(False))
+    return (F.col("action") == "update") & given
+
+
 def upsert_text(log: DataFrame) -> dict[str, Column]:
     """The column `upsert` of updates: as given, or the patch itself where `doc_as_upsert` says so. What was given stays
     in `raw_upsert`, for dead letters."""
@@ -46,7 +58,7 @@ def upsert_text(log: DataFrame) -> dict[str, Column]:
     given = F.col("upsert")
     if "doc_as_upsert" in log.columns:
         given = F.when(F.col("doc_as_upsert"), F.col("doc")).otherwise(given)
-    return {"raw_upsert": F.col("upsert"), "upsert": F.when(F.col("action") == "update", given)}
+    return {"brings": brings(log), "raw_upsert": F.col("upsert"), "upsert": F.when(F.col("action") == "update", given)}
 
 
 def parse_docs(log: DataFrame, doc_type: T.StructType, strict: bool = False) -> DataFrame:
@@ -109,16 +121,9 @@ def without_key(log: DataFrame, judged: DataFrame, keys: Sequence[str]) -> DataF
     return judged.unionByName(lost.withColumn("exists_before", F.lit(False)).select(*judged.columns))
 
 
-def upserts(log: DataFrame) -> Column:
-    """Updates that insert a document where there is none."""
-    if "upsert" not in log.columns:
-        return F.lit(False)
-    return (F.col("action") == "update") & F.col("upsert").isNotNull()
-
-
 def _defines(log: DataFrame) -> Column:
     """Rows after which existence is known: even a failed create leaves a document behind."""
-    return (F.col("action").isin(*S.FULL_WRITES) | upserts(log)) & is_valid(log)
+    return (F.col("action").isin(*S.FULL_WRITES) | brings(log)) & is_valid(log)
 
 
 def with_base(log: DataFrame, base: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -169,7 +174,7 @@ def with_state(
 
 def takes_effect(log: DataFrame, exists: Column) -> Column:
     action = F.col("action")
-    missing = (action == "update") & ~exists & ~upserts(log)
+    missing = (action == "update") & ~exists & ~brings(log)
     return is_valid(log) & ~((action == "create") & exists) & ~missing
 
 
@@ -198,7 +203,7 @@ def label_outcomes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         .when(~fits, "document does not fit the fields")
         .when(~is_valid(rows), "unreadable document")
         .when((action == "create") & exists, "document exists")
-        .when((action == "update") & ~exists & ~upserts(rows), "document missing")
+        .when((action == "update") & ~exists & ~brings(rows), "document missing")
     )
     done = (
         F.when(action == "delete", F.when(exists, "deleted").otherwise("not_found"))
@@ -227,7 +232,7 @@ def effects(log: DataFrame, fields: Sequence[T.StructField], exists: Column, suf
     `exists`: state left by the last full write, null without one; an upsert is one where there is no document. One
     struct per field: null when no request said anything about the field, else holding the value (which may be null).
     """
-    effective, opens = takes_effect(log, exists), upserts(log) & ~exists
+    effective, opens = takes_effect(log, exists), brings(log) & ~exists
     full = (F.col("action").isin(*S.FULL_WRITES) | opens) & effective
     # The place of the last full write, with what it leaves in the lowest bit.
     state = F.max(F.when(full, F.col("code") * 2 + (F.col("action") != "delete").cast("long")))

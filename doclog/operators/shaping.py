@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from doclog import schema as S
 from doclog.functions.requests import ack_fields, generated_id, render_single, segment_name
-from doclog.operators.fold import readable
+from doclog.operators.fold import brings, readable
 
 
 def flatten_bulk(reqs: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def flatten_bulk(reqs: DataFrame) -> DataFrame:
 def log_rows(reqs: DataFrame) -> DataFrame:
     """Requests as the log stores them: bulk items as rows of their own, so every column can be read alone.
 
-    `in_bulk` marks the items, `bytes` stays with the first of them, ids are complete and `valid` tells whether the
-    document can be read. `gather_bulks` puts bulks together again.
+    `in_bulk` marks the items, `bytes` stays with the first of them, ids are complete, `valid` tells whether the
+    document can be read, and `brings` whether an update brings one to insert. `gather_bulks` puts bulks together again.
     """
     in_bulk = F.col("action") == "bulk"
     rows = assign_ids(flatten_bulk(reqs.withColumn("in_bulk", in_bulk)))
@@ -39,6 +39,7 @@ def log_rows(reqs: DataFrame) -> DataFrame:
         {
             "bytes": F.when(first, F.col("bytes")).otherwise(F.lit(0).cast("long")),
             "valid": readable(rows),
+            "brings": brings(rows),
         }
     )
 
@@ -46,7 +47,7 @@ def log_rows(reqs: DataFrame) -> DataFrame:
 def gather_bulks(rows: DataFrame) -> DataFrame:
     """The requests of stored rows: items with the same seq become one bulk again, in order."""
     names = S.ITEM.names
-    kept = [c for c in rows.columns if c not in ("item", "in_bulk", "valid", "bytes", *names)]
+    kept = [c for c in rows.columns if c not in ("item", "in_bulk", "valid", "brings", "bytes", *names)]
     items = F.array_sort(
         F.collect_list(F.struct("item", *[n for n in names])), lambda a, b: a["item"] - b["item"]
     )
@@ -56,7 +57,7 @@ def gather_bulks(rows: DataFrame) -> DataFrame:
         F.transform(items, lambda x: F.struct(*[x[n].alias(n) for n in names])).alias("items"),
     )
     bulks = bulks.withColumns({"action": F.lit("bulk"), "item": F.lit(0)})
-    return rows.where("not in_bulk").drop("in_bulk", "valid").unionByName(bulks, allowMissingColumns=True)
+    return rows.where("not in_bulk").drop("in_bulk", "valid", "brings").unionByName(bulks, allowMissingColumns=True)
 
 
 def retarget(reqs: DataFrame, target: str | None) -> DataFrame:
