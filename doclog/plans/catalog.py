@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.functions.scale import shared_dir
-from doclog.operators import barriers, consumers, documents, failures, fold, ordering, routing, segments, shaping
+from doclog.operators import barriers, consumers, cuts, documents, failures, fold, ordering, routing, segments, shaping
 from doclog.plans import derived_logs as D
 from doclog.plans import jobs
 from doclog.sources import layers, tables
@@ -141,6 +141,10 @@ def roll_size(spark, sf):
     return _rolled(spark, sf).select("seq", "segment_id")
 
 
+def roll_counter(spark, sf):
+    return cuts.roll_by_counter(D.event_requests(spark, sf), ROLL_BYTES).select("seq", "segment_id")
+
+
 def roll_marker(spark, sf):
     return ordering.roll_by_marker(D.event_requests(spark, sf), max_bytes=ROLL_BYTES).select("seq", "segment_id")
 
@@ -504,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "q_flatten_bulk": flatten_bulk,
     "q_order_log": order_log,
     "q_roll_size": roll_size,
+    "q_roll_counter": roll_counter,
     "q_roll_marker": roll_marker,
     "q_segment_stats": segment_stats,
     "q_segment_scan": segment_scan,

@@ -237,6 +237,15 @@ ORACLE: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY {_LAST_LINE}, l_orderkey, l_linenumber) - 1 AS seq, l_orderkey, l_linenumber,
           l_partkey, l_suppkey FROM lineitem""",
     "q_roll_size": sql(REQ, ROLLED, final="SELECT seq, segment_id FROM rolled"),
+    "q_roll_counter": sql(REQ, """
+        offsets AS (
+          SELECT seq, CAST(coalesce(sum(bytes) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS BIGINT) AS b FROM req)""", """
+        starts AS (
+          SELECT min(b) AS s FROM offsets
+          UNION ALL SELECT min(b) FROM starts JOIN offsets ON b > s + 10000 HAVING min(b) IS NOT NULL)""", """
+        ranked AS (SELECT s, row_number() OVER (ORDER BY s) AS segment_id FROM starts)""", final="""
+        SELECT seq, segment_id FROM offsets ASOF JOIN ranked ON b >= s""").replace("WITH", "WITH RECURSIVE", 1),
     "q_roll_marker": sql(REQ, MARKED, final="""
         SELECT seq, dense_rank() OVER (ORDER BY epoch, bucket) AS segment_id FROM m2"""),
     "q_segment_stats": sql(REQ, ROLLED, GAPPED, final="SELECT * FROM stats"),
