@@ -12,9 +12,11 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 #: A document fails with fewer words, or with more than so many per cent of its words in repeated windows.
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
-#: A line goes when more distinct texts of its host hold it, and a document when its lines lose more than this share of
-#: its words or leave fewer than MIN_WORDS.
-MAX_TEXTS, MAX_LOST_PERCENT = 30, 50
+#: A line goes when more documents of its host hold it than the first and than one in so many of the host's, and a
+#: document when its lines lose more than this share of its words or leave fewer than MIN_WORDS.
+MAX_DOCUMENTS, ONE_IN, MAX_LOST_PERCENT = 30, 1000, 50
+#: The sizes of large hosts are repeated so often, so that the lines of one host meet them in many tasks.
+SALTS = 32
 
 
 def _lines(text: Column) -> Column:
@@ -85,23 +87,26 @@ def line_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    max_texts: int = MAX_TEXTS,
+    max_documents: int = MAX_DOCUMENTS,
+    one_in: int = ONE_IN,
     max_lost_percent: int = MAX_LOST_PERCENT,
     with_text: bool = False,
 ) -> DataFrame:
     """A row per row of `docs`: `id_col`, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     n_lost_words, kept, and with `with_text` clean_text, the text without the lines that go.
 
-    A line is compared without regard to case and white space. It goes when more than `max_texts` different texts of its
-    host hold it; exact copies of a text count once, so that they do not condemn it. A document is kept when the base
-    rules pass and its lines that go hold no more than `max_lost_percent` of its words and leave MIN_WORDS.
+    A line is compared without regard to case and white space. It goes when more than `max_documents` documents of its
+    host hold it, and more than one in `one_in` of the host's documents, so that a host that grows does not pass the
+    limit by its size. Every row is a document: copies count each. A document is kept when the base rules pass and its
+    lines that go hold no more than `max_lost_percent` of its words and leave MIN_WORDS.
 
     Texts are read once, into a narrow table of figures and line hashes. Each document brings a line once, counts are
-    made per (host, line, text) and then per (host, line), both with partial aggregation, so a line of any frequency
-    leaves one row per task. Lines above the limit are joined back, and lost words are added up per document.
+    made per (host, line) with partial aggregation, so a line of any frequency leaves one row per task. Hosts of more
+    than `max_documents * one_in` documents, for which the share decides, meet their frequent lines in salted groups.
+    Lines above the limits are joined back, and lost words are added up per document.
 
-    Null texts count as empty, null hosts as one host. Rows that repeat are judged each; ids may be null. Other columns
-    are ignored. An empty document has no words and fails the base rules.
+    Null texts count as empty, null hosts as one host. Rows that repeat are documents and judged each; ids may be null.
+    Other columns are ignored. An empty document has no words and fails the base rules.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     rows = docs.select(
@@ -109,20 +114,26 @@ def line_rules(
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
         F.coalesce(F.col(host_col), F.lit("")).alias("_host"),
     )
-    measured = _measured(rows.withColumnRenamed("_id", "row_id")).withColumn("_key", F.xxhash64("_text"))
+    measured = _measured(rows.withColumnRenamed("_id", "row_id"))
     measured = measured if with_text else measured.drop("_text")
     figures = scratch.save(measured.withColumn("_uid", F.monotonically_increasing_id()))
 
-    lines = figures.select("_uid", "_host", "_key", "n_words", F.inline("_lines"))
-    frequent = (
-        figures.select("_host", "_key", F.explode(F.array_distinct("_lines.hash")).alias("hash"))
-        .groupBy("_host", "hash", "_key")
-        .agg(F.lit(1).alias("one"))
+    lines = figures.select("_uid", "_host", "n_words", F.inline("_lines"))
+    often = (
+        figures.select("_host", F.explode(F.array_distinct("_lines.hash")).alias("hash"))
         .groupBy("_host", "hash")
-        .agg(F.count("*").alias("texts"))
-        .where(F.col("texts") > max_texts)
-        .select("_host", "hash")
+        .agg(F.count("*").alias("documents"))
+        .where(F.col("documents") > max_documents)
+        .withColumn("_salt", F.pmod("hash", F.lit(SALTS)).cast("int"))
     )
+    large = (
+        figures.groupBy("_host")
+        .agg(F.count("*").alias("size"))
+        .where(F.col("size") > max_documents * one_in)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    share = F.coalesce(F.col("documents") * one_in > F.col("size"), F.lit(True))
+    frequent = often.join(large, ["_host", "_salt"], "left").where(share).select("_host", "hash")
     gone = lines.join(frequent, ["_host", "hash"])
     lost = gone.groupBy("_uid").agg(
         F.sum("words").cast("long").alias("lost"), *([F.collect_set("hash").alias("_gone")] if with_text else [])

@@ -26,13 +26,17 @@ ORACLE = {
             SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY rid
         ),
         ln AS (
-            SELECT rid, host, text, line,
+            SELECT rid, host, line,
                    lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
-            FROM (SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
+            FROM (SELECT rid, host, unnest(string_split(text, chr(10))) AS line FROM d)
             WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
         ),
         dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY rid),
-        freq AS (SELECT host, norm FROM ln GROUP BY host, norm HAVING count(DISTINCT text) > 30),
+        hosts AS (SELECT host, count(*) AS size FROM d GROUP BY host),
+        freq AS (
+            SELECT host, norm FROM ln JOIN hosts USING (host) GROUP BY host, norm, size
+            HAVING count(DISTINCT rid) > 30 AND 1000 * count(DISTINCT rid) > size
+        ),
         lost AS (
             SELECT rid, sum(len(string_split(norm, ' '))) AS n FROM ln JOIN freq USING (host, norm) GROUP BY rid
         ),

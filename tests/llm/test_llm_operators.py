@@ -293,7 +293,7 @@ def test_line_rules(rows, none):
     assert line_rules.line_rules(none).count() == 0
 
 
-def test_lines_that_many_texts_hold_go(spark):
+def test_lines_that_many_documents_hold_go(spark):
     words = [f"w{k}" for k in range(300)]
     rnd = random.Random(3)
     data = []
@@ -302,12 +302,40 @@ def test_lines_that_many_texts_hold_go(spark):
         data.append((k, f"Share this Page\n{own}"))
         data.append((100 + k, f"share  this page \n{' '.join(rnd.choices(words, k=2))}\n" + "all rights reserved to us " * 4 + f"\n{k}"))
     data += [(200, data[0][1])] * 1
-    got = {r.doc_id: r for r in line_rules.line_rules(docs(spark, data), max_texts=5, with_text=True).collect()}
+    got = {r.doc_id: r for r in line_rules.line_rules(docs(spark, data), max_documents=5, with_text=True).collect()}
     assert all(got[k].kept and got[k].n_lost_words == 3 for k in range(12))
     assert all(got[k].clean_text == data[2 * k][1].split("\n", 1)[1] for k in range(12))
     assert not any(got[100 + k].kept for k in range(12))
 
 
+def lost_words(rows, max_documents, one_in):
+    """Words of the lines of each row (id, host, text) that go, from a loop over documents."""
+    held, size = defaultdict(int), Counter(host for _, host, _ in rows)
+    lines = [[" ".join(WORD.findall(line)).lower() for line in text.split("\n") if WORD.search(line)] for _, _, text in rows]
+    for (_, host, _), own in zip(rows, lines):
+        for line in set(own):
+            held[host, line] += 1
+    gone = {k for k, n in held.items() if n > max_documents and n * one_in > size[k[0]]}
+    return Counter(
+        (i, sum(len(line.split()) for line in own if (host, line) in gone)) for (i, host, _), own in zip(rows, lines)
+    )
+
+
+@pytest.mark.parametrize("one_in", [1, 3, 10, 1000])
+def test_line_limits_by_documents_and_host(spark, one_in):
+    """Copies are documents each; the share decides in the large host, the floor in the small ones."""
+    rnd = random.Random(one_in)
+    pool = [f"Line {k} of  the pool" for k in range(12)]
+    rows = []
+    for k in range(240):
+        host = "large" if k % 3 else f"h{k % 4}"
+        text = "\n".join(rnd.choices(pool, [2**-j for j in range(12)], k=rnd.randint(0, 4)))
+        rows += [(k, host, text)] * rnd.choice([1, 1, 1, 4])
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = line_rules.line_rules(frame, max_documents=5, one_in=one_in).collect()
+    assert Counter((r.doc_id, r.n_lost_words) for r in got) == lost_words(rows, 5, one_in)
+
+
 BASE = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
