@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from doclog import schema as S
+from doclog.functions.scale import meet
 from doclog.sources.files import exists
 
 
 def write_dead_letter(letters: DataFrame, path: str) -> None:
-    """Store dead letters by target and segment; storing a segment's again replaces them."""
+    """Store dead letters by target and segment; storing a segment's again replaces them.
+
+    A segment's letters meet before they are written, so there is a file for each segment and not one for each segment
+    and task.
+    """
     (
-        letters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        meet(letters, ["target", "segment_id"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("target", "segment_id").parquet(path)
     )
 

@@ -1,7 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
+from doclog import schema as S
 from doclog.plans.jobs import capture_batch
 from doclog.sources import log as L
+from doclog.sources.dead_letters import read_dead_letters, write_dead_letter
 from doclog.sources.log import SegmentsTaken, WriterFenced, last_written, open_writer, read_manifest, scan_segments
 from helpers import doc, request, request_frame
 
@@ -85,3 +88,16 @@ def test_a_refresh_cuts_the_segment(spark, tmp_path):
     got = capture_batch(request_frame(spark, rows), path, ["sample"], 0)
     assert ids(spark, path) == [(1, "a"), (2, "b"), (3, "c")]
     assert sorted(r.seq for r in got.passed.collect()) == [1, 3, 5, 6, 8]
+
+
+def test_dead_letters_of_a_segment_are_one_file(spark, tmp_path):
+    names = [f.name for f in S.LETTERS.fields if f.name not in ("seq", "target", "segment_id")]
+    letters = spark.range(0, 400, 1, 8).select(
+        F.col("id").alias("seq"),
+        *[F.lit(None).cast(S.LETTERS[n].dataType).alias(n) for n in names],
+        F.lit("t").alias("target"),
+        (F.col("id") % 5).alias("segment_id"),
+    )
+    write_dead_letter(letters, str(tmp_path / "dead"))
+    assert len(list(tmp_path.glob("dead/*/*/*.parquet"))) == 5
+    assert sorted(r.seq for r in read_dead_letters(spark, str(tmp_path / "dead")).collect()) == list(range(400))
