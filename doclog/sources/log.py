@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.functions.requests import request_code
+from doclog.functions.scale import meet
 from doclog.operators.segments import segment_stats
 from doclog.sources import files
 
@@ -86,8 +87,8 @@ def write_segments(
 ) -> DataFrame:
     """Write a log with `segment_id` as one batch, commit it and return its manifest rows.
 
-    A segment becomes one file: its size is bounded by the limit it was cut at. Segment ids must lie behind those of
-    the log. Without `writer` one is opened for this batch. WriterFenced or SegmentsTaken leave the log as it is; what
+    A segment becomes one file, or several where it has more than GROUP_ROWS rows: the limit it was cut at bounds the
+    bytes that its requests declare, not the rows that a task holds. Segment ids must lie behind those of the log. Without `writer` one is opened for this batch. WriterFenced or SegmentsTaken leave the log as it is; what
     was written then is never visible.
     """
     spark = log.sparkSession
@@ -95,7 +96,7 @@ def write_segments(
     place = f"batch_id={batch_id}/epoch={writer.epoch}"
     data, manifest = f"{path}/data/{place}", f"{path}/manifest/{place}"
     (
-        log.repartition("segment_id")
+        meet(log, ["segment_id"])
         .sortWithinPartitions("segment_id", "seq", *(["item"] if "item" in log.columns else []))
         .write.mode("overwrite").partitionBy("segment_id").parquet(data)
     )

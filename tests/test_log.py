@@ -101,3 +101,15 @@ def test_dead_letters_of_a_segment_are_one_file(spark, tmp_path):
     write_dead_letter(letters, str(tmp_path / "dead"))
     assert len(list(tmp_path.glob("dead/*/*/*.parquet"))) == 5
     assert sorted(r.seq for r in read_dead_letters(spark, str(tmp_path / "dead")).collect()) == list(range(400))
+
+
+def test_a_task_writes_a_bounded_part_of_a_segment(spark, tmp_path):
+    """Requests may declare few bytes or none; their number does not land in one task."""
+    path, n = tmp_path / "log", 600_000
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in S.REQUEST.fields if f.name != "seq"}
+    log = spark.range(n).select(F.col("id").alias("seq"), *[c.alias(k) for k, c in blank.items()], F.lit(1).cast("long").alias("segment_id"))
+    log = log.withColumns({"item": F.lit(0), "action": F.lit("delete"), "bytes": F.lit(0).cast("long")})
+    (segment,) = L.write_segments(log, str(path), 0).collect()
+    assert (segment.requests, segment.min_seq, segment.max_seq) == (n, 0, n - 1)
+    files = spark.read.parquet(str(path / "data")).groupBy(F.input_file_name()).count().collect()
+    assert sum(f["count"] for f in files) == n and max(f["count"] for f in files) < n / 2
