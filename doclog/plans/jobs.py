@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.functions.requests import admin_action
-from doclog.functions.scale import hot_keys
+from doclog.functions.scale import hot_keys, materialize
 from doclog.operators.barriers import outcomes_with_queries, replay_with_queries
 from doclog.operators.documents import check_docs, replay_documents, replay_documents_with_queries
 from doclog.operators.failures import apply_error_policy, dead_letters, segment_errors, split_failures
@@ -85,10 +85,12 @@ def capture_batch(
         kept = log.columns
         log = order_log(taken.select(*kept, *extra).drop("seq"), order_by, seq + 1).select(*kept)
     else:
+        # Stored, since numbering, cutting and writing each read the requests.
+        log = materialize(log, "taken")
         low = log.agg(F.min("seq")).first()[0] if seq >= 0 else None
         if low is not None and low <= seq:
             log = log.withColumn("seq", F.col("seq") + (seq + 1 - low))
-    if routed.where(cuts).isEmpty():
+    if log.where("marker").isEmpty():
         log = roll_by_size(log.drop("marker"), max_bytes, first=segment + 1)
     else:
         log = roll_by_marker(log, "marker", max_bytes, first=segment + 1).drop("marker")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from doclog import schema as S
 from doclog.functions.requests import request_code
-from doclog.functions.scale import meet
+from doclog.functions.scale import materialize, meet
 from doclog.operators.segments import segment_stats
 from doclog.sources import files
 
@@ -95,13 +95,14 @@ def write_segments(
     writer = writer or open_writer(spark, path)
     place = f"batch_id={batch_id}/epoch={writer.epoch}"
     data, manifest = f"{path}/data/{place}", f"{path}/manifest/{place}"
+    # Stored before it is dealt, so the statistics need not list and open every segment's file again.
+    log = materialize(log, "segments")
     (
-        meet(log, ["segment_id"])
+        meet(log, ["segment_id"], stored=True)
         .sortWithinPartitions("segment_id", "seq", *(["item"] if "item" in log.columns else []))
         .write.mode("overwrite").partitionBy("segment_id").parquet(data)
     )
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in log.schema.fields])
-    stats = segment_stats(spark.read.schema(schema).parquet(data)).withColumn("finished_at", F.current_timestamp())
+    stats = segment_stats(log).withColumn("finished_at", F.current_timestamp())
     stats.write.mode("overwrite").json(manifest)
     kinds = S.SEGMENTS.fields[:-1]
     wrote = spark.read.schema(T.StructType(kinds)).json(manifest).withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -172,6 +173,15 @@ def vacuum_log(spark: SparkSession, path: str) -> list[str]:
     return gone
 
 
+def _stored_schema(spark: SparkSession, data: str, batch: str, first: int) -> T.StructType:
+    """Columns of a batch as they are stored. One segment tells; the whole batch is listed only where it cannot."""
+    reader = spark.read.option("basePath", data)
+    try:
+        return reader.parquet(f"{data}/{batch}/segment_id={first}").schema
+    except Exception:  # the segment's files are gone or broken
+        return reader.parquet(f"{data}/{batch}").schema
+
+
 def scan_segments(
     spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None, check: bool = True
 ) -> DataFrame:
@@ -185,13 +195,15 @@ def scan_segments(
         bounds, among = bounds & (F.col("segment_id") >= lo), among & (F.col("last") >= lo)
     if hi is not None:
         bounds, among = bounds & (F.col("segment_id") <= hi), among & (F.col("first") <= hi)
-    wanted = read_commits(spark, path).where(among).select("batch_id", "epoch")
-    batches = [f"batch_id={r[0]}/epoch={r[1]}" for r in wanted.limit(BATCH_PATHS + 1).collect()]
+    commits = read_commits(spark, path).where(among)
+    wanted = commits.select("batch_id", "epoch")
+    found = commits.select("batch_id", "epoch", "first").limit(BATCH_PATHS + 1).collect()
+    batches = [f"batch_id={r.batch_id}/epoch={r.epoch}" for r in found]
     data = f"{path}/data"
     if not batches:
         empty = T.StructType([*S.REQUEST.fields, T.StructField("segment_id", T.LongType())])
         return spark.createDataFrame([], empty)
-    sample = spark.read.option("basePath", data).parquet(f"{data}/{batches[0]}").schema
+    sample = _stored_schema(spark, data, batches[0], found[0].first)
     parts = ("segment_id", "batch_id", "epoch")
     schema = T.StructType(
         [T.StructField(f.name, T.LongType() if f.name in parts else f.dataType) for f in sample]

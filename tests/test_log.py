@@ -113,3 +113,22 @@ def test_a_task_writes_a_bounded_part_of_a_segment(spark, tmp_path):
     assert (segment.requests, segment.min_seq, segment.max_seq) == (n, 0, n - 1)
     files = spark.read.parquet(str(path / "data")).groupBy(F.input_file_name()).count().collect()
     assert sum(f["count"] for f in files) == n and max(f["count"] for f in files) < n / 2
+
+
+def test_a_capture_reads_its_requests_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [request(n, "refresh" if n % 50 == 49 else "index", id=str(n), doc=doc(n)) for n in range(200)]
+    reqs = request_frame(spark, rows)
+    got = capture_batch(reqs.mapInArrow(count, reqs.schema), str(tmp_path / "log"), ["sample"], 0, max_bytes=1000)
+    assert seen.value == 200 and sum(r.requests for r in got.segments.collect()) == 196
+    # Stored columns are known from one segment, also when its files are lost.
+    for file in tmp_path.glob("log/data/*/*/segment_id=1/*"):
+        file.unlink()
+    assert scan_segments(spark, str(tmp_path / "log"), lo=2).where("segment_id > 2").count() < 196
+    assert L._stored_schema(spark, str(tmp_path / "log/data"), "batch_id=0/epoch=1", 1)["doc"].dataType.typeName() == "string"
