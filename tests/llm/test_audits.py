@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 from llm_data import ROWS, docs  # noqa: E402
 
 from doclog.llm import centroids, divergence, secret_scan, toxicity  # noqa: E402
+from doclog.llm.common import Scratch  # noqa: E402
 
 
 def key(values):
@@ -320,6 +321,43 @@ def test_network_finds_other_forms_and_leaves_clean_candidates(spark):
     assert not any(got[i].added_spans for i in range(300))
 
 
+def test_network_learns_from_all_candidates_over_shards(spark, monkeypatch):
+    """More findings and others than one task learns from; hidden forms are still found."""
+    monkeypatch.setattr(secret_scan, "SHARD", 1024)
+    rnd = random.Random(4)
+
+    def hexa(n):
+        return "".join(rnd.choices("0123456789abcdef", k=n))
+
+    def prose():
+        return " ".join("".join(rnd.choices("aeioulnrst", k=rnd.randint(2, 9))) for _ in range(8))
+
+    data = [(k, f'{prose()} token = "{hexa(40)}" {prose()}') for k in range(1200)]
+    data += [(5000 + k, f"{prose()} release-2024.{k} {prose()} page{k}.html") for k in range(1800)]
+    hidden = {9000 + k: hexa(20) for k in range(40)}
+    data += [(i, f"{prose()} token is {v} {prose()}") for i, v in hidden.items()]
+    learnt = []
+    examples = secret_scan._examples
+    monkeypatch.setattr(secret_scan, "_examples", lambda *a: learnt.append(examples(*a)) or learnt[-1])
+    got = {r.doc_id: r for r in secret_scan.find_secrets(docs(spark, data)).collect()}
+    known = learnt[0][0].where("length(before) > 0").groupBy("found").count().collect()
+    assert {r.found: r["count"] for r in known} == {True: 1200, False: 3640}
+    texts = dict(data)
+    right = sum([texts[i][s.start : s.end] for s in got[i].added_spans] == [v] for i, v in hidden.items())
+    false = sum(bool(got[i].added_spans) for i in texts if 5000 <= i < 9000)
+    assert right >= 0.85 * len(hidden) and false <= 0.02 * 1800
+
+
+def test_pieces_have_the_windows_of_the_whole(spark):
+    for n in (1, 64, 65, 112, 113, 207, 208, 209, 1000):
+        value = bytes(33 + k % 90 for k in range(n))
+        row = spark.createDataFrame([(b"key ", value, b" x", 1)], "before binary, value binary, behind binary, label int")
+        pieces = secret_scan._examples(Scratch(spark, "test"), row)[0].where("found").collect()
+        whole = {w.tobytes() for w in secret_scan.windows(b"key ", value, b" x")}
+        assert {w.tobytes() for r in pieces for w in secret_scan.windows(r.before, r.value, r.behind)} == whole
+        assert all(len(r.value) <= secret_scan.PIECE for r in pieces)
+
+
 # Toxicity
 
 
